@@ -67,7 +67,7 @@ def money_text(c, thousands: bool = True) -> Column:
     rounded = F.round(col(c).cast("decimal(38,6)"), 2)
     if thousands:
         return F.format_number(rounded, 2)
-    return F.format_string("%.2f", rounded)
+    return rounded.cast("decimal(38,2)").cast("string")
 
 
 def parse_date(c) -> Column:

@@ -14,6 +14,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 SCALE_CONF = {
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

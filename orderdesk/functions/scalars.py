@@ -45,16 +45,16 @@ def supplier_in_parens(c) -> Column:
 
 def number_in_text(c, pattern: str = P.NUMBER_PATTERN) -> Column:
     """First number in a text (``str.extract`` + ``to_numeric(errors='coerce')``)."""
-    return F.try_cast(F.regexp_extract(col(c), pattern, 1), "double")
+    return F.regexp_extract(col(c), pattern, 1).try_cast("double")
 
 
 def currency_to_number(c) -> Column:
     """Strip ``$`` and thousands commas, then to number; bad text -> null."""
-    return F.try_cast(F.regexp_replace(col(c), r"[$,]", ""), "double")
+    return F.regexp_replace(col(c), r"[$,]", "").try_cast("double")
 
 
 def strip_words_to_number(c, pattern: str = "EaOnly|,") -> Column:
-    return F.try_cast(F.regexp_replace(col(c), pattern, ""), "double")
+    return F.regexp_replace(col(c), pattern, "").try_cast("double")
 
 
 def item_codes(c, pattern: str = P.ITEM_CODE_PATTERN) -> Column:

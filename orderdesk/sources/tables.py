@@ -17,6 +17,25 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 USED_TABLES = ("supplier", "part", "orders", "lineitem", "conversations")
+# Tables whose size grows with the data; a dimension such as supplier is
+# left as read.
+FACT_TABLES = ("part", "orders", "lineitem", "conversations")
+
+
+def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
+    """Read a parquet table; spread it when it arrives in too few splits.
+
+    A large table in a few unsplittable files (one row group each) would run
+    every step before the first shuffle in a handful of tasks. When the scan
+    yields fewer splits than the cluster's parallelism it is round-robin
+    repartitioned once; at scale (thousands of files) this is a no-op.
+    """
+    df = spark.read.parquet(path)
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
 
 _registered: dict[int, str] = {}
 
@@ -29,7 +48,7 @@ def register(spark: SparkSession, sf_dir: str) -> None:
     # Dates cast from the parquet timestamps must not depend on the host zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     for t in USED_TABLES:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        read_table(spark, f"{sf_dir}/{t}.parquet", spread=t in FACT_TABLES).createOrReplaceTempView(t)
     for name, sql in VIEW_SQL.items():
         spark.sql(sql).createOrReplaceTempView(name)
     _registered[key] = sf_dir

@@ -1,0 +1,7 @@
+"""Streaming: none needed.
+
+The original application has no watermark, window, state or late-event
+logic; its only incremental step is "messages received after the send date"
+(a plain filter, ``operators.shipping.read_messages``). Reply reading is a
+batch job over the message table. This package stays empty on purpose.
+"""

@@ -25,11 +25,13 @@ def check(name: str, oracle: str | None = None):
 
 
 def run(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
+    load_all()
     tables.register(spark, sf_dir)
     return CHECKS[name][0](spark)
 
 
 def oracle(name: str) -> str | None:
+    load_all()
     sql = CHECKS[name][1]
     return None if sql is None else tables.with_views(sql)
 

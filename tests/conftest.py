@@ -11,7 +11,9 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from orderdesk.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4)
+    import tempfile
+    wh = tempfile.mkdtemp(prefix="orderdesk-wh-")
+    s = build_session(master="local[4]", shuffle_partitions=4, extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

@@ -136,3 +136,10 @@ def test_sinks(spark, tmp_path):
     spark.range(40).withColumn("PRODCT", F.lit("x")).createOrReplaceTempView("t_big")
     got = sinks.triage_tables(spark, ["t_small", "t_big"], str(tmp_path / "tri"))
     assert got == [("t_small", "skip"), ("t_big", "t_big_prod")]
+
+
+def test_replace_table(spark):
+    df = spark.createDataFrame([("T1", "a@x")], "SUPPLR string, EMAIL string")
+    sinks.replace_table(df, "supplier_emails")
+    sinks.replace_table(df.union(df), "supplier_emails")
+    assert spark.table("supplier_emails").count() == 2

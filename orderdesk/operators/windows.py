@@ -23,15 +23,17 @@ def row_numbers(df: DataFrame, part: list[str], order: list[str], name: str = "R
     """1..n per ``part`` in ``order`` (which must be unique within ``part``).
 
     The data are range-partitioned on (part, order); each range slice numbers
-    its own rows, and a per-(slice, group) count table (at most slices x
-    groups rows) gives every slice its offset.
+    its own rows (window keyed by (slice, part)), and a per-(slice, group)
+    count table (at most slices x groups rows) gives every slice its offset.
+    The count table and the join back reuse the window's partitioning, so
+    the rows are shuffled once after the range split.
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *part, *order).withColumn("_slice", F.spark_partition_id())
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_slice", *part).orderBy(*order)))
-    counts = ranged.groupBy("_slice", *part).agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = local.groupBy("_slice", *part).agg(F.max("_local").alias("_cnt"))
     before = Window.partitionBy(*part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
     out = local.join(offsets, ["_slice", *part], "inner")
@@ -43,16 +45,16 @@ def forward_fill(df: DataFrame, part: str, order: str, cols: list[str],
     """pandas ``ffill`` per group: null takes the last non-null value before it.
 
     Rows are cut into slices of ``slice_rows`` consecutive order values. Each
-    slice fills itself; the value carried into a slice is the last non-null
-    value of the slices before it, taken from a one-row-per-slice table.
+    slice fills itself (window keyed by (group, slice)); the last filled value
+    of every slice forms a one-row-per-slice table, whose running last value
+    is carried into the next slices. The slice table and the join back reuse
+    the window's partitioning: the rows themselves are shuffled once.
     """
     sl = F.floor(F.col(order) / F.lit(slice_rows))
     data = df.withColumn("_sl", sl)
     inside = Window.partitionBy(part, "_sl").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = data.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(inside) for c in cols})
-    # last non-null value of every slice (max_by over rows where the column is set)
-    tails = data.groupBy(part, "_sl").agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_t_{c}") for c in cols])
+    tails = filled.groupBy(part, "_sl").agg(*[F.max_by(f"_f_{c}", F.col(order)).alias(f"_t_{c}") for c in cols])
     prev = Window.partitionBy(part).orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
     carry = tails.select(part, "_sl", *[F.last(f"_t_{c}", ignorenulls=True).over(prev).alias(f"_c_{c}")
                                         for c in cols])
@@ -66,14 +68,21 @@ def look_ahead(df: DataFrame, part: str, row_no: str, value: Column | str, steps
     """Add ``<prefix>1..<prefix>k`` = value of the row 1..k places further on.
 
     ``row_no`` must be dense (1, 2, 3, ... per group), as produced at scan
-    time. Each row sends its value to the rows 1..k before it; a group-by on
-    (part, row) collects them. Keys are single rows, so no group is hot.
+    time. Every row is sent to its own key (with the whole row) and, value
+    only, to the keys of the 1..k rows before it; one group-by on
+    (part, row) puts them together. Keys are single rows, so no group is hot,
+    and the input is read and shuffled once.
     """
     v = F.col(value) if isinstance(value, str) else value
-    keyed = df.withColumn("_v", v)
-    sends = keyed.select(
-        part, F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("_k"), row_no, "_v"
-    ).select(part, (F.col(row_no) - F.col("_k")).alias(row_no), "_k", "_v")
-    got = sends.groupBy(part, row_no).agg(*[
-        F.max_by("_v", F.when(F.col("_k") == k, F.lit(1))).alias(f"{prefix}{k}") for k in range(1, steps + 1)])
-    return keyed.drop("_v").join(got, [part, row_no], "left")
+    cols = [c for c in df.columns if c not in (part, row_no)]
+    sends = df.select(part, row_no, v.alias("_v"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
+                      F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("_k"))
+    sends = sends.select(part, (F.col(row_no) - F.col("_k")).alias(row_no), "_k", "_v",
+                         F.when(F.col("_k") == 0, F.col("_row")).alias("_row"))
+    got = sends.groupBy(part, row_no).agg(
+        F.max_by("_row", F.when(F.col("_k") == 0, F.lit(1))).alias("_row"),
+        F.max(F.when(F.col("_k") == 0, F.lit(1))).alias("_self"),
+        *[F.max_by("_v", F.when(F.col("_k") == k, F.lit(1))).alias(f"{prefix}{k}") for k in range(1, steps + 1)])
+    got = got.where(F.col("_self") == 1)
+    return got.select(part, row_no, *[F.col("_row")[c].alias(c) for c in cols],
+                      *[f"{prefix}{k}" for k in range(1, steps + 1)])

@@ -24,6 +24,12 @@ def write_per_vendor(df: DataFrame, path: str, vendor: str = "SUPPLR", order: li
     out.write.mode("overwrite").partitionBy(vendor).option("header", True).csv(path)
 
 
+def first_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """T4: the first rows shown for a look at a result (a display limit, the
+    feature itself; Spark keeps only the top ``n`` per task before merging)."""
+    return df.orderBy(*order).limit(n)
+
+
 def replace_table(df: DataFrame, name: str) -> None:
     """Load and replace a managed table."""
     df.write.mode("overwrite").saveAsTable(name)

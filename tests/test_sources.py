@@ -143,3 +143,8 @@ def test_replace_table(spark):
     sinks.replace_table(df, "supplier_emails")
     sinks.replace_table(df.union(df), "supplier_emails")
     assert spark.table("supplier_emails").count() == 2
+
+
+def test_first_rows(spark):
+    df = spark.range(100).selectExpr("id", "100 - id as k")
+    assert [r["k"] for r in sinks.first_rows(df, ["k"], 5).collect()] == [1, 2, 3, 4, 5]

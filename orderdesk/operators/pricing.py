@@ -53,19 +53,29 @@ def fx_table(spark: SparkSession, table=FX_TABLE) -> DataFrame:
         .select(F.col("RATE").cast("decimal(18,1)").alias("RATE"), "CURR", "SYMBOL")
 
 
+def currency_aggs(cost: str = "COST", cost_for: str = "COST_FOR") -> list:
+    """G9 aggregates: does foreign cost differ anywhere (two nulls count as
+    equal), and the mean rate rounded to one digit."""
+    return [any_flag(~F.col(cost).eqNullSafe(F.col(cost_for))).alias("DIFFERS"),
+            F.round(F.avg(ratio(cost_for, cost)).cast("decimal(18,6)"), 1).alias("RATE")]
+
+
+def name_currency(per: DataFrame, fx: DataFrame) -> DataFrame:
+    """Currency and symbol of each rate (null when not in the table or
+    when the costs do not differ). ``fx`` holds a handful of parameter rows:
+    a size-bounded broadcast."""
+    out = per.join(F.broadcast(fx), "RATE", "left")
+    return out.withColumns({"RATE": F.col("RATE").cast("double"),
+                            "CURR": F.when(F.col("DIFFERS"), F.col("CURR")),
+                            "SYMBOL": F.when(F.col("DIFFERS"), F.col("SYMBOL"))})
+
+
 def infer_currency(items: DataFrame, fx: DataFrame, key: str = "SUPPLR",
                    cost: str = "COST", cost_for: str = "COST_FOR") -> DataFrame:
-    """G9 + J16: per vendor, whether foreign cost differs from cost anywhere
-    (two nulls count as equal), the mean rate rounded to 1 digit, and the
-    currency of that rate (null when the rate is not in the table)."""
-    per = items.groupBy(key).agg(
-        any_flag(~F.col(cost).eqNullSafe(F.col(cost_for))).alias("DIFFERS"),
-        F.round(F.avg(ratio(cost_for, cost)).cast("decimal(18,6)"), 1).alias("RATE"))
-    # fx holds a handful of parameter rows: a size-bounded broadcast
-    out = per.join(F.broadcast(fx), "RATE", "left")
-    return out.select(key, "DIFFERS", F.col("RATE").cast("double").alias("RATE"),
-                      F.when(F.col("DIFFERS"), F.col("CURR")).alias("CURR"),
-                      F.when(F.col("DIFFERS"), F.col("SYMBOL")).alias("SYMBOL"))
+    """G9 + J16: per vendor, whether foreign cost differs from cost, the mean
+    rate and its currency."""
+    per = items.groupBy(key).agg(*currency_aggs(cost, cost_for))
+    return name_currency(per, fx).select(key, "DIFFERS", "RATE", "CURR", "SYMBOL")
 
 
 # --- price requests --------------------------------------------------------
@@ -117,9 +127,10 @@ def price_requests(items: DataFrame, contacts: DataFrame, fx: DataFrame,
     ROW_NO numbers items per vendor by PRODCT.
     """
     req = request_items(items, contacts, season)
-    cur = infer_currency(req, fx)
-    sizes = req.groupBy("SUPPLR").agg(F.count(F.lit(1)).alias("N_ITEMS"))
-    out = req.join(cur, "SUPPLR", "left").join(sizes, "SUPPLR", "left")
+    # currency and item count per vendor in one aggregation, joined back once
+    per = req.groupBy("SUPPLR").agg(*currency_aggs(), F.count(F.lit(1)).alias("N_ITEMS"))
+    per = name_currency(per, fx).select("SUPPLR", "DIFFERS", "CURR", "SYMBOL", "N_ITEMS")
+    out = req.join(per, "SUPPLR", "left")
     out = out.select(
         "SUPPLR", "Supplier_name", "EMAIL", "PRODCT", "STATUS", "ITEST",
         F.when(F.col("DIFFERS"), F.col("COST_FOR")).otherwise(F.col("COST")).cast("double").alias("COST"),

@@ -310,7 +310,14 @@ def shipping_grouped(ship: DataFrame) -> DataFrame:
 def insert_absent(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """Insert-if-absent on all columns; returns the table after the append.
 
-    ``subtract`` is EXCEPT DISTINCT: null-safe on every column, one shuffle.
+    New rows: incoming and stored rows are tagged, united and grouped on every
+    column (grouping treats nulls as equal, so the test is null-safe); a value
+    never stored is added once. Partial aggregation collapses a value repeated
+    many times before the shuffle. Stored rows pass through untouched.
     """
-    new_rows = incoming.subtract(existing)
+    cols = existing.columns
+    tagged = existing.select(*cols).withColumn("_old", F.lit(1)).unionByName(
+        incoming.select(*cols).withColumn("_old", F.lit(0)))
+    new_rows = (tagged.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.max("_old").alias("_old"))
+                .where(F.col("_old") == 0).select(*cols))
     return existing.unionByName(new_rows)

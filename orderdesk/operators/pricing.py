@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.rules import any_flag, flag, money_text, ne, ratio, round_ratio, truthy
+from ..functions.rules import any_flag, flag, money_text, ne, ratio, truthy
 from ..params import (FX_TABLE, LONGNAME_FIXES, NEW_YEARS, PHOTO_ITEM_LIMIT, FIRST_YEAR,
                       REPORT_YEAR, SEASON)
 from .windows import row_numbers

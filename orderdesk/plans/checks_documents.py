@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import contacts as K
 from ..operators import documents as D
-from ..params import MAIL_MARKER
 from .registry import check
 
 

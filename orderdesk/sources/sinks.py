@@ -4,7 +4,6 @@ table triage export. Writers run one distributed write each."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..params import TRIAGE_MIN_ROWS
 

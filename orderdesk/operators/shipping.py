@@ -307,17 +307,21 @@ def shipping_grouped(ship: DataFrame) -> DataFrame:
                                       F.sum("late").cast("bigint").alias("late"))
 
 
-def insert_absent(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Insert-if-absent on all columns; returns the table after the append.
+def rows_to_insert(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+    """Incoming rows whose whole value is not stored yet (once each).
 
-    New rows: incoming and stored rows are tagged, united and grouped on every
-    column (grouping treats nulls as equal, so the test is null-safe); a value
-    never stored is added once. Partial aggregation collapses a value repeated
-    many times before the shuffle. Stored rows pass through untouched.
+    Incoming and stored rows are tagged, united and grouped on every column
+    (grouping treats nulls as equal, so the test is null-safe). Partial
+    aggregation collapses a value repeated many times before the shuffle.
     """
     cols = existing.columns
     tagged = existing.select(*cols).withColumn("_old", F.lit(1)).unionByName(
         incoming.select(*cols).withColumn("_old", F.lit(0)))
-    new_rows = (tagged.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.max("_old").alias("_old"))
-                .where(F.col("_old") == 0).select(*cols))
-    return existing.unionByName(new_rows)
+    return (tagged.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.max("_old").alias("_old"))
+            .where(F.col("_old") == 0).select(*cols))
+
+
+def insert_absent(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+    """The table after insert-if-absent on all columns (stored rows are
+    kept as they are; ``sinks.append_rows`` writes only ``rows_to_insert``)."""
+    return existing.unionByName(rows_to_insert(incoming, existing))

@@ -34,6 +34,11 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
+def append_rows(df: DataFrame, name: str) -> None:
+    """A17 sink: append new rows to a stored table (stored rows untouched)."""
+    df.write.mode("append").saveAsTable(name)
+
+
 def triage_tables(spark: SparkSession, names: list[str], out_dir: str,
                   min_rows: int = TRIAGE_MIN_ROWS) -> list[tuple[str, str]]:
     """Export every table with at least ``min_rows`` rows as CSV, with a

@@ -41,3 +41,13 @@ def test_contact_audit_flags(spark):
     contacts = spark.createDataFrame([("T1", "a@x"), ("T2", "e@x")], "SUPPLR string, EMAIL string")
     got = {r["SUPPLR"]: (r["DIFFERS"], r["KNOWN"]) for r in K.contact_audit(listing, contacts).collect()}
     assert got == {"T1": (0, 1), "T2": (1, 1), "T3": (1, 0)}
+
+
+def test_rows_to_insert_appended(spark):
+    schema = "purord int, supplr string, item string"
+    existing = spark.createDataFrame([(1, "T1", None), (2, "T1", "B")], schema)
+    incoming = spark.createDataFrame([(1, "T1", None), (3, "H2", "C"), (3, "H2", "C")], schema)
+    from orderdesk.sources import sinks
+    sinks.replace_table(existing, "shipments_t")
+    sinks.append_rows(SH.rows_to_insert(incoming, existing), "shipments_t")
+    assert sorted(r[0] for r in spark.table("shipments_t").collect()) == [1, 2, 3]

@@ -76,16 +76,15 @@ def correct_dates(kept: DataFrame, p: ShippingParams = ShippingParams(),
     """If any line is moved more than ``alarm_days``, every line moved more
     than ``reset_days`` gets its original date back.
 
-    The whole-table condition is a one-row aggregate joined back with an
-    explicit broadcast (its size is one row whatever the input size).
+    The whole-table condition is a scalar subquery (``DataFrame.scalar``): one
+    boolean computed once and read by every task, no join.
     """
-    alarm = kept.agg(any_flag(F.col("DATEDFF") > p.alarm_days).alias("ALARM"))
-    reset = F.col("ALARM") & truthy(F.col("DATEDFF") > p.reset_days)
-    out = kept.crossJoin(F.broadcast(alarm))
+    alarm = kept.agg(any_flag(F.col("DATEDFF") > p.alarm_days)).scalar()
+    reset = alarm & truthy(F.col("DATEDFF") > p.reset_days)
+    out = kept
     if keep_before:
-        out = out.withColumn("NEWCONDAT_BEFORE", F.col("NEWCONDAT"))
-    out = out.withColumn("NEWCONDAT", F.when(reset, F.col("CONDAT")).otherwise(F.col("NEWCONDAT")))
-    return out if keep_before else out.drop("ALARM")
+        out = out.withColumns({"NEWCONDAT_BEFORE": F.col("NEWCONDAT"), "ALARM": alarm})
+    return out.withColumn("NEWCONDAT", F.when(reset, F.col("CONDAT")).otherwise(F.col("NEWCONDAT")))
 
 
 def date_correction(lines: DataFrame, p: ShippingParams = ShippingParams()) -> DataFrame:

@@ -42,12 +42,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder (set on the
+    context or in the session conf) and is used as is. Only when it is unset
+    everywhere (local tests) a scratch folder is created.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = (sc.getCheckpointDir()
+               or sc.getConf().get("spark.checkpoint.dir", None)
+               or spark.conf.get("spark.checkpoint.dir", None))
     if not current:
         current = tempfile.mkdtemp(prefix="orderdesk-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # a core setting on some deployments; the context call below suffices
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current

@@ -59,10 +59,11 @@ def test_no_python_in_job_plans(spark, small_dir):
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
 
 
-def test_date_alarm_flag_is_broadcast(spark, small_dir):
+def test_date_alarm_is_a_scalar_subquery(spark, small_dir):
     from orderdesk.plans import registry
     registry.load_all()
     df = registry.run(spark, "open_orders", small_dir)
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" in plan or "BroadcastExchange" in plan
+    assert "Subquery" in plan
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan

@@ -111,19 +111,22 @@ def read_customer_csv(spark: SparkSession, path: str) -> DataFrame:
                      F.col("Ext Cost").try_cast("double").alias("Ext Cost"))
 
 
+SPREADSHEET_SCHEMA = ("Worksheet array<struct<Table: struct<Row: array<struct<"
+                      "Cell: array<struct<Data: string>>>>>>>")
+
+
 def read_spreadsheet_xml(spark: SparkSession, path: str) -> DataFrame:
-    """SpreadsheetML confirmation: first Row = headers, Cells by position,
-    empty Cell = null, rows without Product dropped, seven columns."""
+    """SpreadsheetML confirmation: the first worksheet's table; first Row
+    = headers, Cells by position, an empty Cell is null, rows without Product
+    dropped, seven columns. Each file is parsed by ``from_xml`` with a fixed
+    schema, then rows and cells are ``posexplode``-d into the long form."""
     raw = _with_file(spark.read.text(path, wholetext=True))
-    rows = raw.select("file", "file_name", F.posexplode(
-        F.split(F.col("value"), r"<(?:ss:)?Row[\s>/]")).alias("row_pos", "row_xml")).where("row_pos > 0")
-    rows = rows.withColumn("row_xml", F.element_at(F.split("row_xml", r"</(?:ss:)?Row>"), 1))
-    cells = rows.select("file", "file_name", (F.col("row_pos") - 1).alias("line_no"),
-                        F.posexplode(F.split("row_xml", r"<(?:ss:)?Cell[\s>/]")).alias("cell_pos", "cell_xml")) \
-        .where("cell_pos > 0")
-    cells = cells.select("file", "file_name", "line_no", (F.col("cell_pos") - 1).alias("cell_no"),
-                         F.nullif(F.regexp_extract("cell_xml", r"<(?:ss:)?Data[^>]*>([^<]*)</(?:ss:)?Data>", 1),
-                                  F.lit("")).alias("value"))
+    wb = raw.select("file", "file_name",
+                    F.from_xml("value", F.lit(SPREADSHEET_SCHEMA), {"rowTag": "Workbook"}).alias("wb"))
+    table = F.element_at(F.col("wb.Worksheet"), 1)["Table"]
+    rows = wb.select("file", "file_name", F.posexplode(table["Row"]).alias("line_no", "row"))
+    cells = rows.select("file", "file_name", "line_no", F.posexplode("row.Cell").alias("cell_no", "cell")) \
+        .select("file", "file_name", "line_no", "cell_no", F.col("cell.Data").alias("value"))
     out = table_after_header(cells, fixed_header(cells, 0), CONFIRMATION_COLS)
     return out.where(F.col("Product").isNotNull()).select("file", *[F.col(f"`{c}`") for c in CONFIRMATION_COLS])
 

@@ -32,8 +32,12 @@ def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame
     """
     df = spark.read.parquet(path)
     if spread:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
+        try:
+            want = spark.sparkContext.defaultParallelism
+            have = df.rdd.getNumPartitions()
+        except Exception:  # no context access (e.g. a remote session): read as is
+            return df
+        if have < want:
             df = df.repartition(want)
     return df
 

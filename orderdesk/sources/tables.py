@@ -27,8 +27,9 @@ def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame
 
     A large table in a few unsplittable files (one row group each) would run
     every step before the first shuffle in a handful of tasks. When the scan
-    yields fewer splits than the cluster's parallelism it is round-robin
-    repartitioned once; at scale (thousands of files) this is a no-op.
+    yields fewer splits than the cluster's parallelism it is hash-partitioned
+    once on its leading key column; at scale (thousands of files) this is a
+    no-op.
     """
     df = spark.read.parquet(path)
     if spread:
@@ -38,7 +39,10 @@ def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame
         except Exception:  # no context access (e.g. a remote session): read as is
             return df
         if have < want:
-            df = df.repartition(want)
+            # hash on the leading key column (l_orderkey / o_orderkey): the
+            # joins and windows of the views run on it, so this exchange is
+            # reused instead of followed by another one
+            df = df.repartition(want, df.columns[0])
     return df
 
 _registered: dict[int, str] = {}

@@ -169,6 +169,13 @@ def vendor_row_numbers(spark):
         "SUPPLR", "PRODCT", "ROW_NO")
 
 
+@check("vendor_partitions", f"with {PREP}, {REQUESTS} select * from requests")
+def vendor_partitions(spark):
+    from ..sources import sinks
+    req = PR.price_requests(_items(spark), _contacts(spark), PR.fx_table(spark))
+    return sinks.per_vendor_layout(req, "SUPPLR", ["ROW_NO"])
+
+
 @check("cover_sheet", f"with {COVER} select * from cover")
 def cover_sheet(spark):
     return _cover(spark)

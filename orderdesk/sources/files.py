@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.rules import ne, truthy
+from ..operators.documents import drop_null_columns
 
 MAX_COLS = 48
 CONFIRMATION_GLOB = "[oO]rder_[cC]onfirmation_[pP]*"
@@ -194,8 +195,7 @@ def office_sheet(spark: SparkSession, path: str, marker: str, new_year: int = 20
         F.min("cell_no").alias("pos")).orderBy("pos").collect()]
     names = [x for x in names if x != "IN/OUT/   PACK PCS"]
     wide = body.groupBy("file", "file_name", "line_no").pivot("name", names).agg(F.first("value"))
-    from ..operators.documents import drop_null_columns  # F20, one pass at plan time
-    wide = drop_null_columns(wide)
+    wide = drop_null_columns(wide)  # F20, one aggregate row at plan time
     names = [x for x in names if x in wide.columns]
     if "DIMENSIONS (INCHES)" in names:
         wide = wide.withColumn("DIMENSIONS (INCHES)", S.break_before(S.collapse_blanks(F.col("`DIMENSIONS (INCHES)`")), "CTN"))

@@ -14,13 +14,19 @@ def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+def per_vendor_layout(df: DataFrame, vendor: str = "SUPPLR", order: list[str] | None = None) -> DataFrame:
+    """Rows as the per-vendor writer lays them out: clustered by vendor,
+    sorted within each task. A vendor's rows may span several tasks (files
+    in its folder) when AQE splits a large partition; none is lost."""
+    out = df.repartition(vendor)
+    return out.sortWithinPartitions(vendor, *order) if order else out
+
+
 def write_per_vendor(df: DataFrame, path: str, vendor: str = "SUPPLR", order: list[str] | None = None) -> None:
     """One output folder per vendor in a single job (``partitionBy``);
     rows sorted within each vendor's files."""
-    out = df.repartition(vendor)
-    if order:
-        out = out.sortWithinPartitions(vendor, *order)
-    out.write.mode("overwrite").partitionBy(vendor).option("header", True).csv(path)
+    per_vendor_layout(df, vendor, order).write.mode("overwrite").partitionBy(vendor) \
+        .option("header", True).csv(path)
 
 
 def first_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:

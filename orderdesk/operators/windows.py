@@ -58,7 +58,13 @@ def forward_fill(df: DataFrame, part: str, order: str, cols: list[str],
     prev = Window.partitionBy(part).orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
     carry = tails.select(part, "_sl", *[F.last(f"_t_{c}", ignorenulls=True).over(prev).alias(f"_c_{c}")
                                         for c in cols])
-    out = filled.join(carry, [part, "_sl"], "left")
+    # only slices that actually receive a value are joined back: one-slice
+    # groups (the usual case) drop out, and the join side stays small
+    has_carry = None
+    for c in cols:
+        cond = F.col(f"_c_{c}").isNotNull()
+        has_carry = cond if has_carry is None else (has_carry | cond)
+    out = filled.join(carry.where(has_carry), [part, "_sl"], "left")
     return out.withColumns({c: F.coalesce(F.col(f"_f_{c}"), F.col(f"_c_{c}")) for c in cols}).drop(
         "_sl", *[f"_f_{c}" for c in cols], *[f"_c_{c}" for c in cols])
 

@@ -125,12 +125,24 @@ def price_requests(items: DataFrame, contacts: DataFrame, fx: DataFrame,
     Cost is shown in the vendor's currency when its foreign cost differs;
     photo links only for vendors with fewer than ``photo_limit`` items;
     ROW_NO numbers items per vendor by PRODCT.
+
+    Every per-vendor figure (all-UNQ test, currency, item count) comes from
+    one aggregation of the season's items: the vendor filters (inactive,
+    listed OUT, not yet sent) keep or drop whole vendors, so they do not
+    change the figures of the vendors kept. The items are then read once
+    more for the rows.
     """
-    req = request_items(items, contacts, season)
-    # currency and item count per vendor in one aggregation, joined back once
-    per = req.groupBy("SUPPLR").agg(*currency_aggs(), F.count(F.lit(1)).alias("N_ITEMS"))
-    per = name_currency(per, fx).select("SUPPLR", "DIFFERS", "CURR", "SYMBOL", "N_ITEMS")
-    out = req.join(per, "SUPPLR", "left")
+    prepared = prepare_items(items, season)
+    unsent = unsent_vendors(contacts)
+    per = prepared.where(F.col("SUPPLR").isNotNull()).groupBy("SUPPLR").agg(
+        F.countDistinct("PRODCT").alias("_n"), F.count_if(F.col("SELSTA") == "UNQ").alias("_unq"),
+        *currency_aggs(), F.count(F.lit(1)).alias("_items"))
+    per = per.where(F.col("_n") != F.col("_unq")).join(listed_inactive(contacts), "SUPPLR", "left_anti")
+    # an item is asked once per contact row of its vendor (as the inner join does)
+    per = per.join(unsent.groupBy("SUPPLR").agg(F.count(F.lit(1)).alias("_c")), "SUPPLR", "inner")
+    per = name_currency(per, fx).select("SUPPLR", "DIFFERS", "CURR", "SYMBOL",
+                                        (F.col("_items") * F.col("_c")).alias("N_ITEMS"))
+    out = prepared.join(unsent, "SUPPLR", "inner").join(per, "SUPPLR", "inner")
     out = out.select(
         "SUPPLR", "Supplier_name", "EMAIL", "PRODCT", "STATUS", "ITEST",
         F.when(F.col("DIFFERS"), F.col("COST_FOR")).otherwise(F.col("COST")).cast("double").alias("COST"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.rules import any_flag, flag, ne, parse_date, ratio, truthy
 from ..params import TYPE_NAMES, ShippingParams
+from ..session import ensure_checkpoint_dir
 
 LINE_COLS = ["PURORD", "SUPPLR", "PRODCT", "ORDQTY", "OUTQTY", "CONDAT", "NEWCONDAT",
              "DATEDFF", "TYPE", "PCTSHIP"]
@@ -151,6 +152,56 @@ def tracking_summary(orders: DataFrame, p: ShippingParams = ShippingParams(),
     return summarise_tracking(flag_lines(orders, p, reset_stock))
 
 
+def tracking_summary_from_lines(lines: DataFrame, contacts: DataFrame,
+                                p: ShippingParams = ShippingParams(), reset_stock: bool = True) -> DataFrame:
+    """C1 + B9 + C2 in one read of the order lines: the same result as
+    ``tracking_summary(split_orders(open_orders(lines, contacts))[1])``.
+
+    The whole-table date alarm (G11) decides which contract date every line
+    uses, so the per-supplier figures are aggregated for both outcomes in one
+    pass, with the alarm's per-supplier part alongside; that per-supplier
+    table is checkpointed, and the alarm is a scalar subquery over it that
+    picks the figures.
+    Contacts are joined after the aggregation (one row per supplier): e-mail
+    is their smallest address, and the late count is multiplied by the
+    number of contact rows, as the row-level join would.
+    """
+    kept = kept_lines(lines, p)
+    first = S.first_chars("SUPPLR", 1)
+    in_rest = (ne(first, F.lit("C")) & truthy(F.col("TYPE") == "S")) | truthy(F.col("TYPE") == "C")
+    lateline = S.days_before(p.as_of, p.late_days)
+    corrected = F.when(truthy(F.col("DATEDFF") > p.reset_days), F.col("CONDAT")).otherwise(F.col("NEWCONDAT"))
+
+    def figures(newdate, tag):
+        attn = truthy(newdate < lateline)
+        z = truthy(F.col("TYPE") == "C") & attn
+        if reset_stock:
+            attn = attn & ~(truthy(F.col("TYPE") == "S") & truthy(F.col("PCTSHIP") < F.lit(p.stock_reset_share)))
+        return [F.min(F.when(in_rest, newdate)).alias(f"_d{tag}"),
+                F.count_if(in_rest & truthy(newdate < F.lit(p.as_of))).alias(f"_l{tag}"),
+                F.max(F.when(in_rest, F.when(attn, 1).otherwise(0))).alias(f"_a{tag}"),
+                any_flag(in_rest & z).cast("int").alias(f"_z{tag}")]
+
+    per = kept.groupBy("SUPPLR").agg(any_flag(F.col("DATEDFF") > p.alarm_days).alias("_alarm"),
+                                     F.count_if(in_rest).alias("_rest"),
+                                     *figures(corrected, "c"), *figures(F.col("NEWCONDAT"), "p"))
+    # the per-supplier table (one row per supplier) is written once to the
+    # shared checkpoint folder: the alarm and the figures then read it, and
+    # the order lines are read a single time
+    ensure_checkpoint_dir(per.sparkSession)
+    per = per.checkpoint(eager=True)
+    alarm = per.agg(any_flag(F.col("_alarm"))).scalar()
+    per = per.where(F.col("SUPPLR").isNotNull() & (F.col("_rest") > 0))
+    cc = contacts.groupBy("SUPPLR").agg(F.min("EMAIL").alias("EMAIL"), F.count(F.lit(1)).alias("_c"))
+    out = per.join(cc, "SUPPLR", "left")
+
+    def pick(name):
+        return F.when(alarm, F.col(f"_{name}c")).otherwise(F.col(f"_{name}p"))
+    return out.select("SUPPLR", "EMAIL", pick("d").alias("NEWCONDAT"),
+                      (pick("l") * F.coalesce(F.col("_c"), F.lit(1))).cast("bigint").alias("LATE"),
+                      pick("a").alias("ATTN"), pick("z").alias("Z_ITEMS"))
+
+
 def late_orders(orders: DataFrame, p: ShippingParams = ShippingParams()) -> DataFrame:
     """Late lines (sort by SUPPLR, NEWCONDAT at the sink)."""
     return flag_lines(orders, p).where(F.col("LATE") == 1)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.rules import truthy
+from .. import params as P
 from .documents import drop_null_columns
 from .windows import forward_fill, look_ahead
 
@@ -72,8 +73,7 @@ def fl2658(df: DataFrame) -> DataFrame:
     if len([c for c in df.columns if c not in KEYS]) <= 3:
         return df.sparkSession.createDataFrame([], "doc_id bigint, row_no int, Product string, Qty double, "
                                                "`Unit Cost` double, `Ext Cost` double")
-    out = df.withColumnsRenamed({"ITEM NO.": "Product", "QTY": "Qty", "Unit Price": "Unit Cost",
-                                 "SubTotal": "Ext Cost"})
+    out = df.withColumnsRenamed(P.LAYOUT_FL2658)
     out = out.where(F.col("Product").isNotNull() & _q("Unit Cost").isNotNull())
     return out.select(*KEYS, "Product", *[S.currency_to_number(_q(c)).alias(c) for c in LINE[1:]])
 
@@ -81,7 +81,7 @@ def fl2658(df: DataFrame) -> DataFrame:
 def pa1683(df: DataFrame) -> DataFrame:
     """Layout PA1683: four named columns by position, '$' and commas off,
     numbers coerced, Product and Qty required."""
-    out = df.select(*KEYS, *[_q(c) for c in ("SUPPLIER #", "QTY", "PRICE/UN", "AMOUNT")])
+    out = df.select(*KEYS, *[_q(c) for c in P.LAYOUT_PA1683])
     out = rename_by_position(out, LINE)
     out = out.withColumns({"Unit Cost": S.currency_to_number(_q("Unit Cost")),
                            "Ext Cost": S.currency_to_number(_q("Ext Cost"))})
@@ -92,7 +92,7 @@ def az1239(df: DataFrame) -> DataFrame:
     """Layout AZ1239: names mapped, 'EaOnly' and commas stripped, numeric
     columns kept, item column found by content when unnamed (B6 + F8),
     all-null columns dropped, four columns renamed by position (B5)."""
-    out = df.withColumnsRenamed({"Vendor Part No": "Product", "Order Cost": "Unit Cost"})
+    out = df.withColumnsRenamed(P.LAYOUT_AZ1239)
     text = [c for c in out.columns if c not in KEYS]
     out = out.select(*KEYS, *[F.regexp_replace(_q(c), "EaOnly|,", "").alias(c) for c in text])
     if "Product" not in out.columns:
@@ -113,14 +113,13 @@ def nv0356(df: DataFrame) -> DataFrame:
     first-row value 'UPC' (B6), names mapped, forward fill (W1), item-code
     rows (B14), numbers out of text (F5)."""
     upc = find_column(df.where(F.col("row_no") == df.agg(F.min("row_no")).first()[0]), r"^UPC$")
-    ren = {"Style description / Vendor style": "Product", "Extended cost": "Ext Cost",
-           "Unit cost": "Unit Cost", "Ordered qty": "Qty"}
+    ren = dict(P.LAYOUT_NV0356)
     if upc:
         ren[upc] = "UPC"
     out = df.withColumnsRenamed(ren)
     if "Product" not in out.columns:
-        out = out.withColumnRenamed("Style description / Vendor style Expected rec date", "Product")
-    cols = ["Product", "Qty", "Unit Cost", "Ext Cost", "Unit retail", "UPC"]
+        out = out.withColumnRenamed(P.LAYOUT_NV0356_PRODUCT_ALT, "Product")
+    cols = list(P.LAYOUT_NV0356_COLUMNS)
     out = forward_fill(out.select(*KEYS, *[_q(c) for c in cols]), "doc_id", "row_no", cols)
     out = out.where(F.col("Product").isNotNull() & truthy(F.col("Product").rlike(r"^[A-Z0-9]{1,9}$")))
     return out.withColumns({c: S.number_in_text(_q(c)) for c in ("Qty", "Unit Cost", "Ext Cost")})
@@ -129,9 +128,10 @@ def nv0356(df: DataFrame) -> DataFrame:
 def ma0603_retail(df: DataFrame) -> DataFrame:
     """Layout MA0603 pages after the first (W3): the column holding 'UNIT
     RETAIL' gives Retail from two rows further on; rows with a barcode kept."""
-    retail_col = find_column(df, "UNIT RETAIL", how="contains")
-    out = df.withColumnsRenamed({c: "DESCRIPTION" for c in df.columns if "DESCRIPTION" in c})
+    desc, marker, barcode = (P.LAYOUT_MA0603[k] for k in ("description", "retail_marker", "barcode"))
+    retail_col = find_column(df, marker, how="contains")
+    out = df.withColumnsRenamed({c: desc for c in df.columns if desc in c})
     if retail_col is not None:
         out = look_ahead(out, "doc_id", "row_no", _q(retail_col), 2, prefix="_R").withColumnRenamed(
             "_R2", "Retail").drop("_R1")
-    return out.where(_q("UPC-A/EAN").isNotNull())
+    return out.where(_q(barcode).isNotNull())

@@ -58,6 +58,26 @@ LONGNAME_FIXES = (
 )
 # Photo links are built from the lower-cased item code.
 PHOTO_BASE = "https://images.example/catalog/product"
+# Customer sheet exports: rows to skip above the header, header renames.
+SHEET_TEMPLATES = {
+    "CL7158": (23, {"STYLE #": "Product", "QTY": "Qty", "Unit Total": "Unit Cost", "Total Cost": "Ext Cost"}),
+    "PA6502": (0, {"Item": "Product", "Unit Price": "Unit Cost", "Total": "Ext Cost"}),
+    "FL4494": (15, {"SKU Number  Description": "Description", "Vendor Part No.": "Product",
+                    "Qty Ord/ Pcs": "Qty", "Unit Retail": "Retail", "Extended Cost": "Ext Cost"}),
+    "SALEREP": (0, {}),
+}
+# Extracted-table layouts of customer order documents: header names.
+LAYOUT_FL2658 = {"ITEM NO.": "Product", "QTY": "Qty", "Unit Price": "Unit Cost", "SubTotal": "Ext Cost"}
+LAYOUT_PA1683 = ("SUPPLIER #", "QTY", "PRICE/UN", "AMOUNT")
+LAYOUT_AZ1239 = {"Vendor Part No": "Product", "Order Cost": "Unit Cost"}
+LAYOUT_NV0356 = {"Style description / Vendor style": "Product", "Extended cost": "Ext Cost",
+                 "Unit cost": "Unit Cost", "Ordered qty": "Qty"}
+LAYOUT_NV0356_PRODUCT_ALT = "Style description / Vendor style Expected rec date"
+LAYOUT_NV0356_COLUMNS = ("Product", "Qty", "Unit Cost", "Ext Cost", "Unit retail", "UPC")
+LAYOUT_MA0603 = {"description": "DESCRIPTION", "retail_marker": "UNIT RETAIL", "barcode": "UPC-A/EAN"}
+# Office price sheets: renamed and dropped headers.
+OFFICE_RENAMES = {"NW/GW LBS": "NW/GW"}
+OFFICE_DROP = "IN/OUT/   PACK PCS"
 # --- end of fixed values ----------------------------------------------------
 
 

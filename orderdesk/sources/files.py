@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.rules import ne, truthy
+from ..params import OFFICE_DROP, OFFICE_RENAMES, SHEET_TEMPLATES
 from ..operators.documents import drop_null_columns
 
 MAX_COLS = 48
@@ -23,15 +24,6 @@ CONFIRMATION_SCHEMA = ("Product string, Description string, Ordered int, `B/O'd`
                        "Price double, `Expected Date` string")
 CONFIRMATION_COLS = ["Product", "Description", "Ordered", "B/O'd", "To Ship", "Price", "Expected Date"]
 
-# --- fixed values: sheet templates per customer (rows to skip, header renames)
-SHEET_TEMPLATES = {
-    "CL7158": (23, {"STYLE #": "Product", "QTY": "Qty", "Unit Total": "Unit Cost", "Total Cost": "Ext Cost"}),
-    "PA6502": (0, {"Item": "Product", "Unit Price": "Unit Cost", "Total": "Ext Cost"}),
-    "FL4494": (15, {"SKU Number  Description": "Description", "Vendor Part No.": "Product",
-                    "Qty Ord/ Pcs": "Qty", "Unit Retail": "Retail", "Extended Cost": "Ext Cost"}),
-    "SALEREP": (0, {}),
-}
-# --- end of fixed values
 
 
 def _decoded(c: Column) -> Column:
@@ -185,15 +177,21 @@ def office_sheet(spark: SparkSession, path: str, marker: str, new_year: int = 20
     c = cells.join(hdr, "file")
     head = c.where(F.col("line_no") == F.col("header_no")).select(
         "file", "cell_no", F.trim("value").alias("name"))
+    # the first header holding a year is that year's cost column (per file)
     n = F.col("name")
-    head = head.withColumn("name", F.when(n.contains(str(new_year)), f"{new_year} COST")
-                           .when(n.contains(str(old_year)), f"{old_year} COST")
-                           .when(n == "NW/GW LBS", "NW/GW").when(n == f"{old_year} PURCH", "PURCH").otherwise(n))
+    firsts = head.groupBy("file").agg(
+        F.min(F.when(n.contains(str(new_year)), F.col("cell_no"))).alias("_new"),
+        F.min(F.when(n.contains(str(old_year)), F.col("cell_no"))).alias("_old"))
+    head = head.join(firsts, "file").withColumn(
+        "name", F.when(F.col("cell_no") == F.col("_new"), f"{new_year} COST")
+        .when(F.col("cell_no") == F.col("_old"), f"{old_year} COST")
+        .when(n == f"{old_year} PURCH", "PURCH").otherwise(n)).drop("_new", "_old")
+    head = head.withColumn("name", S.replace_values("name", list(OFFICE_RENAMES.items())))
     body = c.where(F.col("line_no") > F.col("header_no")).join(head, ["file", "cell_no"])
     # plan time: header names present in the data (one small distinct)
     names = [r["name"] for r in head.select("name", "cell_no").groupBy("name").agg(
         F.min("cell_no").alias("pos")).orderBy("pos").collect()]
-    names = [x for x in names if x != "IN/OUT/   PACK PCS"]
+    names = [x for x in names if x != OFFICE_DROP]
     wide = body.groupBy("file", "file_name", "line_no").pivot("name", names).agg(F.first("value"))
     wide = drop_null_columns(wide)  # F20, one aggregate row at plan time
     names = [x for x in names if x in wide.columns]

@@ -93,15 +93,15 @@ def test_quote_sheets_header_rules_and_vendor(spark, tmp_path):
 
 
 def test_office_sheet(spark, tmp_path):
-    text = ("EXCHANGE RATE,,,,\nMARKER PRICE LIST,,,,\nITEM,2024 PRICE,2025 PRICE,DIMENSIONS (INCHES),IN/OUT/   PACK PCS,EMPTY\n"
-            "AB1,2.00,2.20,10  X 12 CTN  3,6,\nAB2,4.00,4.00,5 X 5,12,\n")
+    text = ("EXCHANGE RATE,,,,\nMARKER PRICE LIST,,,,\nITEM,2024 PRICE,2025 PRICE,DIMENSIONS (INCHES),IN/OUT/   PACK PCS,EMPTY,2024 PURCH\n"
+            "AB1,2.00,2.20,10  X 12 CTN  3,6,,100\nAB2,4.00,4.00,5 X 5,12,,\n")
     _write(str(tmp_path / "o" / "office sheet T00001.csv"), text)
     df = FS.office_sheet(spark, str(tmp_path / "o"), "MARKER")
     rows = {r["ITEM"]: r for r in df.collect()}
     assert "IN/OUT/   PACK PCS" not in df.columns and "EMPTY" not in df.columns
     assert abs(rows["AB1"]["% Change"] - 0.1) < 1e-9 and rows["AB2"]["% Change"] == 0.0
     assert rows["AB1"]["DIMENSIONS (INCHES)"] == "10 X 12 \nCTN 3"
-    assert rows["AB1"]["SUPPLR"] == "T00001"
+    assert rows["AB1"]["SUPPLR"] == "T00001" and rows["AB1"]["PURCH"] == "100"
 
 
 def test_landed_report(spark, tmp_path):

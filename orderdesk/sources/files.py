@@ -140,11 +140,13 @@ def read_template_sheet(spark: SparkSession, path: str, template: str, names: li
 
 
 def header_rules(year: int) -> Column:
-    """Canonical names from header content (item / year price / minimum)."""
+    """Canonical names from header content (item / year price / minimum);
+    when several rules match, the minimum wins over the price, the price over
+    the item (the order in which the renames are applied)."""
     n = F.col("name")
-    return (F.when(n.contains("Item") | n.contains("ITEM"), "PRODCT")
+    return (F.when(n.contains("MIN"), "MOQ")
             .when(n.contains(str(year)), "NEW_COST")
-            .when(n.contains("MIN"), "MOQ").otherwise(n))
+            .when(n.contains("Item") | n.contains("ITEM"), "PRODCT").otherwise(n))
 
 
 def read_quote_sheets(spark: SparkSession, folder: str, year: int = 2025, skip: int = 3,

@@ -20,8 +20,6 @@ from ..operators.documents import drop_null_columns
 
 MAX_COLS = 48
 CONFIRMATION_GLOB = "[oO]rder_[cC]onfirmation_[pP]*"
-CONFIRMATION_SCHEMA = ("Product string, Description string, Ordered int, `B/O'd` int, `To Ship` int, "
-                       "Price double, `Expected Date` string")
 CONFIRMATION_COLS = ["Product", "Description", "Ordered", "B/O'd", "To Ship", "Price", "Expected Date"]
 
 
@@ -89,11 +87,15 @@ def find_header(cells: DataFrame, marker: str, column: int = 0) -> DataFrame:
 # --- confirmations and customer orders -------------------------------------
 
 def read_confirmations(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Order confirmation CSV, rows without Product dropped."""
-    reader = spark.read.option("header", True).schema(CONFIRMATION_SCHEMA)
+    """Order confirmation CSV, columns taken by header name (any
+    order, extra columns kept), numbers cast, rows without Product dropped."""
+    reader = spark.read.option("header", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return _with_file(reader.csv(path)).where(F.col("Product").isNotNull())
+    df = _with_file(reader.csv(path))
+    types = {"Ordered": "int", "B/O'd": "int", "To Ship": "int", "Price": "double"}
+    df = df.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items() if c in df.columns})
+    return df.where(F.col("Product").isNotNull())
 
 
 def read_customer_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Open purchase orders, late suppliers, reminders and replies (C1-C5, C19,
 C20, B7-B9, G1, G11, G12, G14, G15, J13, J14, A17, A18).
 
-Plan shape at scale: the order lines are read once; the contact list joins
+Plan shape at scale: the tracking summary reads the order lines once; the
+row-level jobs read them a second time, pruned to five columns, for the
+whole-table date alarm (G11). The contact list joins
 on SUPPLR (AQE turns it into a broadcast only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold``); the only forced broadcast is the
-one-row global date-alarm flag. Per-supplier and per-contact results are
+``spark.sql.autoBroadcastJoinThreshold``); the global date-alarm flag is a
+scalar subquery. Per-supplier and per-contact results are
 ``groupBy`` with partial (map-side) aggregation, so a supplier holding a third
 of all lines is pre-aggregated in every task before the shuffle.
 """

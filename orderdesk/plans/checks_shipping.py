@@ -26,10 +26,10 @@ base as (
  from v_open_po_lines),
 due as (select * from base where CONDAT <= last_day(date '1998-06-15' + 10)),
 kept as (select * from due where not (coalesce(PCTSHIP < 0.1, false) and coalesce(INTQTY = 0, false))),
-alarm as (select coalesce(bool_or(DATEDFF > 150), false) as ALARM from kept),
-corrected as (select k.*, a.ALARM, k.NEWCONDAT as NEWCONDAT_BEFORE,
-  case when a.ALARM and coalesce(k.DATEDFF > 100, false) then k.CONDAT else k.NEWCONDAT end as NEWCONDAT_AFTER
-  from kept k cross join alarm a),
+flagged_kept as (select *, (select coalesce(bool_or(DATEDFF > 150), false) from kept) as ALARM from kept),
+corrected as (select *, NEWCONDAT as NEWCONDAT_BEFORE,
+  case when ALARM and coalesce(DATEDFF > 100, false) then CONDAT else NEWCONDAT end as NEWCONDAT_AFTER
+  from flagged_kept),
 open_orders as (select c.PURORD, c.SUPPLR, c.PRODCT, c.ORDQTY, c.OUTQTY, c.CONDAT,
   c.NEWCONDAT_AFTER as NEWCONDAT, c.DATEDFF, c.TYPE, c.PCTSHIP, s.EMAIL
   from corrected c left join (select SUPPLR, EMAIL from v_supplier_contacts) s on c.SUPPLR = s.SUPPLR),

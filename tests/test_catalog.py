@@ -41,3 +41,14 @@ def test_job_count_does_not_grow_with_vendors(spark, name):
     small = _jobs(spark, name, "/root/testdata/sf0.001", f"{name}-small")
     big = _jobs(spark, name, "/root/testdata/sf0.01", f"{name}-big")
     assert big <= small + 2, (small, big)
+
+
+def test_filters_and_columns_reach_the_parquet_scan(spark, small_dir):
+    """The read-time spreading of fact tables does not block pushdown: the
+    filter and the two-column projection reach the scan."""
+    tables.register(spark, small_dir)
+    df = catalog.direct_query(spark, "select l_orderkey, l_quantity from lineitem where l_quantity > :q", {"q": 45.0})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.split("\n") if "FileScan parquet" in ln][0]
+    assert "GreaterThan(l_quantity,45.0)" in scan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in scan

@@ -22,18 +22,24 @@ def row_numbers(df: DataFrame, part: list[str], order: list[str], name: str = "R
                 slices: int | None = None) -> DataFrame:
     """1..n per ``part`` in ``order`` (which must be unique within ``part``).
 
-    The data are range-partitioned on (part, order); each range slice numbers
-    its own rows (window keyed by (slice, part)), and a per-(slice, group)
-    count table (at most slices x groups rows) gives every slice its offset.
-    The count table and the join back reuse the window's partitioning, so
-    the rows are shuffled once after the range split.
+    The data are range-partitioned on (part, order) and each row is tagged
+    with its range slice; that tagged set is checkpointed (the range bounds
+    come from a sample, so the tag must be fixed once: the numbering and the
+    offset table below both read it, and a recomputation after a lost
+    executor must see the same slices). Each slice numbers its own rows
+    (window keyed by (slice, part)); a per-(slice, group) count table (at most
+    slices x groups rows) gives every slice its offset.
     """
+    from ..session import ensure_checkpoint_dir
+
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
     ranged = df.repartitionByRange(n, *part, *order).withColumn("_slice", F.spark_partition_id())
+    ranged = ranged.checkpoint(eager=True)
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_slice", *part).orderBy(*order)))
-    counts = local.groupBy("_slice", *part).agg(F.max("_local").alias("_cnt"))
+    counts = ranged.groupBy("_slice", *part).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
     out = local.join(offsets, ["_slice", *part], "inner")

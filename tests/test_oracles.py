@@ -35,3 +35,12 @@ def test_contract_keys_match():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 70
+
+
+@pytest.mark.parametrize("name", ["price_requests", "vendor_row_numbers"])
+def test_row_numbered_checks_at_sf01(spark, name):
+    """Regression: at sf0.1 the range bounds of the row numbering come from a
+    partial sample; numbering and offsets must use the same slices."""
+    sf = "/root/testdata/sf0.1"
+    res = compare.compare(spark, name, sf, compare.duck(sf))
+    assert res["ok"], res

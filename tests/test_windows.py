@@ -67,3 +67,17 @@ def test_date_alarm_is_a_scalar_subquery(spark, small_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" in plan
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_row_numbers_keep_every_row_when_sampling_is_partial(spark):
+    """Every row is numbered exactly once and densely, with many rows per
+    slice (partial range sample) and a hot group."""
+    df = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("V"), (F.col("id") % 50).cast("string"))).alias("g"),
+        F.format_string("P%07d", (F.col("id") * 7919) % 1000003).alias("k")).dropDuplicates(["g", "k"])
+    out = W.row_numbers(df, ["g"], ["k"], "n", slices=16)
+    stats = out.groupBy("g").agg(F.count("*").alias("c"), F.countDistinct("n").alias("d"),
+                                 F.min("n").alias("lo"), F.max("n").alias("hi"))
+    total = df.count()
+    assert out.count() == total
+    assert stats.where("c != d or lo != 1 or hi != c").count() == 0

@@ -14,6 +14,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..session import ensure_checkpoint_dir
 
 
+#: Input bytes handled at once in a Python worker (one longer text makes a longer slice).
+SLICE_BYTES = 2_000_000
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -40,7 +44,7 @@ def add_columns(df: DataFrame, fn: Callable[..., Sequence[pa.Array]], inputs: Se
 
     ``keep`` names the columns that pass through (all by default); an input
     column named like an output is replaced by it. ``fn`` is built once per
-    task and called once per Arrow batch.
+    task and called on slices of about ``SLICE_BYTES`` of each Arrow batch.
     """
     new = [n for n, _ in outputs]
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
@@ -52,14 +56,15 @@ def add_columns(df: DataFrame, fn: Callable[..., Sequence[pa.Array]], inputs: Se
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = fn()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(i) for i in range(len(kept))]
-            made = call(*[batch.column(len(kept) + i) for i in range(len(slots))])
-            yield pa.RecordBatch.from_arrays(
-                cols + [m if isinstance(m, pa.Array) else pa.array(m, type=arrow.field(n).type)
-                        for m, n in zip(made, new)],
-                names=kept + new)
+            step = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes)))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                cols = [part.column(i) for i in range(len(kept))]
+                made = call(*[part.column(len(kept) + i) for i in range(len(slots))])
+                yield pa.RecordBatch.from_arrays(
+                    cols + [m if isinstance(m, pa.Array) else pa.array(m, type=arrow.field(n).type)
+                            for m, n in zip(made, new)],
+                    names=kept + new)
 
     return narrow.mapInArrow(run, schema)
 

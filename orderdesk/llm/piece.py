@@ -17,11 +17,11 @@ from __future__ import annotations
 
 import re
 import struct
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import add_columns, text_of
@@ -30,7 +30,9 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NONE = np.int64(1) << 40
 #: Words kept per task; the cache starts anew beyond it (bounded memory).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
+#: Words whose merge rounds run at once.
+BATCH_WORDS = 50_000
 
 
 def _fields(buf: bytes):
@@ -100,15 +102,30 @@ class PieceModel:
                 if left is not None and right is not None:
                     pairs[left << 20 | right] = (i, order[-scores[i]])
         keys = sorted(pairs)
-        self.pair_key = np.array(keys + [1 << 60], dtype=np.int64)
         self.pair_piece = np.array([pairs[k][0] for k in keys] + [0], dtype=np.int64)
         self.pair_rank = np.array([pairs[k][1] for k in keys] + [NONE], dtype=np.int64)
+        # open addressing: slot -> number of the pair; every pair lies within ``probes`` of its slot
+        self.bits = max(4, (8 * len(keys)).bit_length())
+        self.slot_key = np.full((1 << self.bits) + 64, -1, dtype=np.int64)
+        self.slot_pair = np.full((1 << self.bits) + 64, len(keys), dtype=np.int64)
+        self.probes = 1
+        for i, (k, at) in enumerate(zip(keys, self._slot(np.array(keys, dtype=np.int64)).tolist())):
+            far = at
+            while self.slot_key[far] != -1:
+                far += 1
+            self.slot_key[far], self.slot_pair[far] = k, i
+            self.probes = max(self.probes, far - at + 1)
         self.reach = 2 * max(map(len, normal), default=1)
         cuts = any(p[j] != SPACE and p[j + 1] == SPACE for p in normal for j in range(len(p) - 1))
         inside = set("".join(normal))
         alone = "".join(c for c in "\n\t\r" if c not in inside)
-        self.split = None if cuts else re.compile(
-            (f"[{alone}]|" if alone else "") + f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
+        # a letter and a mark that never stand together in a piece are never merged
+        letter = re.compile(r"[^\W\d_]")
+        joined = {b for p in normal for a, b in zip(p, p[1:]) if letter.match(a)}
+        marks = "".join(re.escape(c) for c in ".,!?;:%*#&$|" if c not in joined)
+        parts = [f"[{alone}]"] * bool(alone) + [rf"{SPACE}*[^\W\d_]+(?=[{marks}])"] * bool(marks)
+        self.split = None if cuts else re.compile("|".join([*parts, f"{SPACE}*[^{SPACE}{alone}]+", f"{SPACE}+"]))
+        self.decimal = [str(i) for i in range(len(pieces))]
         blob = []
         for p, k in zip(pieces, kinds):
             blob.append(bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL
@@ -127,10 +144,22 @@ class PieceModel:
         return self.split.findall(text) if self.split else [text]
 
     def _lookup(self, left, right):
-        key = (left << 20) | right
-        at = np.searchsorted(self.pair_key, key)
-        hit = (self.pair_key[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.pair_rank[at], NONE), np.where(hit, self.pair_piece[at], 0)
+        key = np.where((left >= 0) & (right >= 0), (left << 20) | right, -2)
+        at = self._slot(key)
+        found = self.slot_key[at]
+        pair = np.where(found == key, self.slot_pair[at], len(self.pair_rank) - 1)
+        open_ = np.flatnonzero((found != key) & (found != -1))
+        for k in range(1, self.probes):
+            if not len(open_):
+                break
+            found = self.slot_key[at[open_] + k]
+            hit = found == key[open_]
+            pair[open_[hit]] = self.slot_pair[at[open_[hit]] + k]
+            open_ = open_[~hit & (found != -1)]
+        return self.pair_rank[pair], self.pair_piece[pair]
+
+    def _slot(self, key):
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as the bytes of an int32 array."""
@@ -235,6 +264,30 @@ class PieceModel:
         return out
 
 
+class Coder:
+    """Encodes whole texts of one task; words met before are taken from a bounded cache."""
+
+    def __init__(self, model: PieceModel):
+        self.model, self.ids = model, {}
+
+    def _learn(self, rows: list[list[str]]) -> None:
+        new = {w for ws in rows for w in ws if w not in self.ids}
+        if len(self.ids) + len(new) > CACHE_WORDS and self.ids:
+            self.ids = {}
+            new = {w for ws in rows for w in ws}
+        new = list(new)
+        for at in range(0, len(new), BATCH_WORDS):
+            part = new[at:at + BATCH_WORDS]
+            self.ids.update(zip(part, self.model.encode_words(part)))
+
+    def texts(self, texts):
+        """For each text its ids as an int32 array."""
+        rows = [self.model.words(t or "") for t in texts]
+        self._learn(rows)
+        for ws in rows:
+            yield np.frombuffer(b"".join(map(self.ids.__getitem__, ws)), dtype="<i4")
+
+
 _MODELS: dict[bytes, PieceModel] = {}
 
 
@@ -262,27 +315,12 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
     shared = df.sparkSession.sparkContext.broadcast(model_bytes(model_path))
 
     def build():
-        model, cache = load(shared.value), {}
+        coder = Coder(load(shared.value))
 
         def call(texts):
-            out = [None] * len(texts)
-            rows = []
-            for i, t in enumerate(texts.to_pylist()):
-                rows.append((i, model.words(t or "")))
-                if sum(map(len, (r[1] for r in rows[-64:]))) > 200_000 or i + 1 == len(texts):
-                    new = {w for _, ws in rows for w in ws if w not in cache}
-                    if len(cache) + len(new) > CACHE_WORDS and cache:
-                        cache.clear()
-                        new = {w for _, ws in rows for w in ws}
-                    if new:
-                        new = list(new)
-                        cache.update(zip(new, model.encode_words(new)))
-                    for k, ws in rows:
-                        out[k] = b"".join(map(cache.__getitem__, ws))
-                    rows = []
-            ends = np.r_[0, np.cumsum([len(x) // 4 for x in out])].astype(np.int32)
-            flat = np.frombuffer(b"".join(out), dtype="<i4")
-            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+            out = list(coder.texts(texts.to_pylist()))
+            ends = np.r_[0, np.cumsum([len(x) for x in out])].astype(np.int32)
+            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out)))]
 
         return call
 
@@ -307,9 +345,27 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decode
 
 
 def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
-    """Digests of encoding and decoding every whole text (contract of the query)."""
-    coded = encode(docs.select("doc_id", text_of().alias("text")), model_path, keep=["doc_id"])
-    coded = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "ids")
-    back = decode(coded, model_path, keep=["doc_id", "n_tokens", "ids_sha256"])
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Digests of encoding and decoding every whole text, in one pass over the texts.
+
+    Per row: doc_id, n_tokens, ids_sha256, decoded_sha256. Nulls, repeats and
+    empty tables as in ``encode`` and ``decode``.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model_bytes(model_path))
+
+    def build():
+        model = load(shared.value)
+        coder = Coder(model)
+
+        def call(texts):
+            n, said, back = [], [], []
+            for ids in coder.texts(texts.to_pylist()):
+                n.append(len(ids))
+                said.append(sha256(",".join([model.decimal[i] for i in ids.tolist()]).encode()).hexdigest())
+                back.append(sha256(model.decode_flat(ids, np.array([0, len(ids)]))[0].encode()).hexdigest())
+            return [n, said, back]
+
+        return call
+
+    return add_columns(docs.select("doc_id", text_of().alias("text")), build, ["text"],
+                       [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())],
+                       keep=["doc_id"])

@@ -87,13 +87,14 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     masks = ", ".join(f"struct({i} as k, fp & {_literal(m)} as v)" for i, m in enumerate(block_masks(distance)))
     keys = fps.select("fp", F.expr(f"inline(array({masks}))"))
     shared = keys.groupBy("k", "v").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("k", "v")
-    suspects = materialise(keys.join(shared, ["k", "v"], "left_semi").select("fp").distinct(), "suspects")
+    suspects = materialise(keys.join(shared.hint("merge"), ["k", "v"], "left_semi").select("fp").distinct(), "suspects")
     low, high = distance // 2, distance - distance // 2
     spread = suspects.repartition("fp").select(
         "fp", F.explode(F.expr(f"array({', '.join(map(_literal, ball(high)))})")).alias("m"))
     spread = spread.select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("z"), (F.bit_count("m") <= low).alias("near"))
     hubs = spread.where("near").groupBy("z").agg(F.min("fp").alias("hub"))
-    return (spread.join(hubs, "z").where("fp <> hub")
+    # a size estimate does not see the explosion: never broadcast these
+    return (spread.hint("merge").join(hubs.hint("merge"), "z").where("fp <> hub")
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= distance)
             .select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct())
 

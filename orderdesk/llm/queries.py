@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import piece, simhash
+from . import decontam, piece, secrets, simhash, toxicity
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -23,12 +23,24 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece.round_trip(read(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op5_simhash)
+    f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_simhash, op7_decontamination, op8_secrets)
 }
 #: None of these has an exact SQL form except where given here.
 ORACLES: dict[str, str] = {}

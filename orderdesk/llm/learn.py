@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from .common import fold, text_of
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int = 5):
-    """At most ``per_class`` labelled training texts of each class, on the driver: [(text, 0 or 1)].
+def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: tuple[int, int], folds: int = 5):
+    """At most ``per_class`` labelled training texts of class 0 and 1, on the driver: [(text, 0 or 1)].
 
     Only rows whose crc32(doc_id) mod ``folds`` is not 0 are taken, in the
     order of a hash of doc_id (the bound is a parameter; a doc_id counts once,
@@ -21,7 +21,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds
               .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
     taken = None
     for y in (0, 1):
-        part = marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        part = marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class[y])
         taken = part if taken is None else taken.unionByName(part)
     texts = docs.select("doc_id", text_of().alias("text"), F.xxhash64(text_of()).alias("th"))
     rows = texts.join(F.broadcast(taken), "doc_id").select("doc_id", "th", "text", "y").collect()
@@ -31,7 +31,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50):
-    """Weights (mean, scale, w, b) of a ridge logistic regression, classes weighted alike, by Newton steps."""
+    """Weights (mean, scale, w, b) of a ridge logistic regression, by Newton steps."""
     mean, scale = x.mean(0), x.std(0) + 1e-9
     z = np.c_[(x - mean) / scale, np.ones(len(x))]
     w = np.zeros(z.shape[1])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, piece, secrets, simhash, toxicity
+from . import decontam, piece, ppm, secrets, simhash, toxicity
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -39,8 +39,12 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(read(spark, sf_dir, "documents"))
 
 
+def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_simhash, op7_decontamination, op8_secrets)
+    f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_simhash, op7_decontamination, op8_secrets, op10_ppm)
 }
 #: None of these has an exact SQL form except where given here.
 ORACLES: dict[str, str] = {}

@@ -25,8 +25,8 @@ PER_CLASS = 3000
 WINDOW, STEP = 64, 48
 COMMON_BYTES, OWN_BYTES = 8192, 1024
 LEVEL = 9
-RECURS = 0.01
-GRAM, RARER = 6, 5
+#: A stem recurs if this share of the toxic sample has it, and is rare elsewhere if so many times as rare.
+STEM, RECURS, RARER = 5, 0.02, 8
 SHORTER = (1, 2, 3, 4, 5, 6)
 
 
@@ -36,27 +36,15 @@ def windows(text: str) -> list[bytes]:
     return [raw[i:i + WINDOW] for i in range(0, max(1, len(raw) - WINDOW + STEP), STEP)]
 
 
-def _grams(raw: bytes) -> set[bytes]:
-    return {raw[i:i + GRAM] for i in range(len(raw) - GRAM + 1)}
-
-
 def _recurring(texts: list[str], others: list[str]) -> list[bytes]:
-    """The stretches of distinct ``texts`` made of grams that recur there and are rare in ``others``."""
-    raws = [f" {' '.join(t.lower().split())} ".encode() for t in dict.fromkeys(texts)]
-    df = Counter(g for r in raws for g in _grams(r))
-    often = {g for g, n in df.items() if n >= max(2, RECURS * len(raws))}
-    plain = Counter(g for t in dict.fromkeys(others) for g in _grams(f" {' '.join(t.lower().split())} ".encode()) & often)
-    own = {g for g in often if df[g] / len(raws) >= RARER * (plain[g] + 1) / (len(others) + 1)}
-    out = []
-    for r in raws:
-        kept, end = [], -1
-        for i in range(len(r) - GRAM + 1):
-            if r[i:i + GRAM] in own:
-                kept.append(r[max(i, end):i + GRAM] if i <= end else r[i:i + GRAM])
-                end = i + GRAM
-        if kept:
-            out.append(b"".join(kept))
-    return out
+    """Of each distinct text the words whose stem recurs among ``texts`` and is rare in ``others``."""
+    texts, others = list(dict.fromkeys(texts)), list(dict.fromkeys(others))
+    df = Counter(w for t in texts for w in {w[:STEM] for w in t.lower().split()})
+    plain = Counter(w for t in others for w in {w[:STEM] for w in t.lower().split()})
+    own = {w for w, n in df.items()
+           if n >= max(2, RECURS * len(texts)) and n / len(texts) >= RARER * (plain[w] + 0.5) / len(others)}
+    kept = ([w for w in t.lower().split() if w[:STEM] in own] for t in texts)
+    return [f" {' '.join(ws)} ".encode() for ws in kept if ws]
 
 
 def _dictionary(records: list[bytes], size: int, **params) -> bytes:
@@ -111,8 +99,8 @@ def train(rows: list[tuple[str, int]]) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
-    """A model from at most ``per_class`` labelled training texts of each class (label ``toxic``)."""
-    return train(sample(docs, labels, "toxic", per_class))
+    """A model from at most ``per_class`` toxic and twice as many ordinary labelled training texts."""
+    return train(sample(docs, labels, "toxic", (2 * per_class, per_class)))
 
 
 def score(docs: DataFrame, model: Model, column: str = "toxicity", keep=None) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, piece, ppm, secrets, simhash, toxicity
+from . import decontam, piece, ppm, repeats, secrets, simhash, toxicity
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -27,6 +28,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -44,7 +50,7 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_simhash, op7_decontamination, op8_secrets, op10_ppm)
+    f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op4_repeats, op5_simhash, op7_decontamination, op8_secrets, op10_ppm)
 }
 #: None of these has an exact SQL form except where given here.
 ORACLES: dict[str, str] = {}

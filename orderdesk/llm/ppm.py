@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,8 @@ from .common import fold, materialise, text_of
 ORDER = 4
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 16_000_000
+#: Largest gram table that is broadcast to the join (16 bytes a row).
+SENT_GRAMS = 1_000_000
 START, END = 0xFE, 0xFF  # bytes that no UTF-8 text has
 PACK = T.StructType([T.StructField("block", T.LongType()), T.StructField("n_bytes", T.LongType()),
                      T.StructField("payload", T.BinaryType())])
@@ -109,27 +111,60 @@ def _counted(parts: list[np.ndarray]):
     return g[first], np.diff(np.r_[first, len(g)])
 
 
+def _merged(parts):
+    """Sums of (gram, n) parts by gram."""
+    g, n = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    order = np.argsort(g, kind="stable")
+    g, n = g[order], n[order]
+    first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]]) if len(g) else np.zeros(0, np.int64)
+    return g[first], np.add.reduceat(n, first) if len(g) else n
+
+
+class _Tally:
+    """Distinct grams with counts, gathered a few MB at a time."""
+
+    def __init__(self):
+        self.parts, self.wait, self.size = [], [], 0
+
+    def add(self, g: np.ndarray) -> None:
+        self.wait.append(g)
+        self.size += len(g)
+        if self.size > 2_000_000:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.wait:
+            self.parts.append(_counted(self.wait))
+            self.wait, self.size = [], 0
+            if len(self.parts) > 4:
+                self.parts = [_merged(self.parts)]
+
+    def result(self):
+        self.flush()
+        return _merged(self.parts)
+
+
 def gather(packs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
     """(block, gram, n) and (block, word, n): what each block holds, n counted in training texts (0: held out only)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                known, other, seen, both = [], [], Counter(), Counter()
+                known, other, seen, both = _Tally(), _Tally(), Counter(), set()
                 for _, held_out, text in unpack(payload):
-                    (other if held_out else known).append(grams(text, order))
+                    (other if held_out else known).add(grams(text, order))
                     (both if held_out else seen).update(text.lower().split())
-                kg, kn = _counted(known) if known else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-                og = np.setdiff1d(np.unique(np.concatenate(other)), kg, assume_unique=True) if other else np.zeros(0, np.int64)
-                g, n = np.r_[kg, og], np.r_[kn, np.zeros(len(og), np.int64)]
+                (g, n), (og, _) = known.result(), other.result()
+                og = np.setdiff1d(og, g, assume_unique=True)
+                g, n = np.r_[g, og], np.r_[n, np.zeros(len(og), np.int64)]
                 words = list(seen) + [w for w in both if w not in seen]
                 counts = np.array([seen[w] for w in words], dtype=np.int64)
-                for at in range(0, len(g), 100_000):
-                    m = len(g[at:at + 100_000])
+                for at in range(0, len(g), 50_000):
+                    m = len(g[at:at + 50_000])
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block)), pa.array(g[at:at + m]), pa.nulls(m, pa.binary()),
                                                       pa.array(n[at:at + m])], names=["block", "gram", "word", "n"])
-                for at in range(0, len(words), 100_000):
-                    m = len(words[at:at + 100_000])
+                for at in range(0, len(words), 50_000):
+                    m = len(words[at:at + 50_000])
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block)), pa.nulls(m, pa.int64()),
                                                       pa.array(words[at:at + m], pa.binary()), pa.array(counts[at:at + m])],
                                                      names=["block", "gram", "word", "n"])
@@ -139,6 +174,38 @@ def gather(packs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
             held.where("word is not null").select("block", "word", "n"))
 
 
+class GramTable:
+    """Values of distinct grams by open addressing."""
+
+    def __init__(self, g: np.ndarray, value: np.ndarray):
+        self.bits = max(4, (4 * len(g)).bit_length())
+        self.key = np.full((1 << self.bits) + 1024, -1, dtype=np.int64)
+        self.value = np.zeros(len(self.key))
+        left, at = np.arange(len(g)), self._slot(g)
+        while len(left):
+            free = self.key[at] == -1
+            _, one = np.unique(at[free], return_index=True)
+            put = np.flatnonzero(free)[one]
+            self.key[at[put]], self.value[at[put]] = g[left[put]], value[left[put]]
+            rest = np.ones(len(left), dtype=bool)
+            rest[put] = False
+            left, at = left[rest], at[rest] + 1
+            if len(at) and at.max() >= len(self.key):
+                raise MemoryError("table too full")
+
+    def _slot(self, g):
+        return ((g.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def total(self, g: np.ndarray) -> float:
+        """Sum of the values of grams that are all in the table."""
+        at = self._slot(g)
+        miss = np.flatnonzero(self.key[at] != g)
+        while len(miss):
+            at[miss] += 1
+            miss = miss[self.key[at[miss]] != g[miss]]
+        return float(self.value[at].sum())
+
+
 def log_probabilities(grams_: DataFrame, order: int = ORDER) -> DataFrame:
     """(gram, logp): log10 probability of the last byte of every distinct gram given the bytes before it.
 
@@ -198,31 +265,43 @@ def score(docs: DataFrame, order: int = ORDER, folds: int = 7, out: int = 2) ->
     packs = materialise(pack(docs, folds, out), "packs")
     held_grams, held_words = gather(packs, order)
     logp = materialise(log_probabilities(held_grams.select("gram", "n"), order), "logp")
+    if logp.count() <= SENT_GRAMS:  # a checked size; beyond it the join shuffles
+        logp = F.broadcast(logp)
     by_gram = held_grams.select("block", "gram").join(logp, "gram").select(
         "block", "gram", F.lit(None).cast("binary").alias("word"), F.col("logp").alias("value"))
-    vocabulary = held_words.groupBy("word").agg(F.sum("n").alias("c"))
-    known = held_words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.countDistinct("word")).first()
+    # one row per block and word: its count everywhere, sent back only where the block cannot know it
+    everywhere = Window.partitionBy("word")
+    counted = held_words.select("block", "word", "n", F.sum("n").over(everywhere).alias("c"),
+                                F.row_number().over(everywhere.orderBy("block")).alias("k"))
+    counted = counted.select("block", F.when(F.col("c") != F.col("n"), F.col("word")).alias("word"), "c",
+                             ((F.col("k") == 1) & (F.col("c") > 0)).alias("new")).where("word is not null or new")
+    counted = materialise(counted, "words")
+    distinct = counted.where("new").count()
+    tokens = held_words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     ends = docs.agg(F.coalesce(F.sum((fold("doc_id", folds) != out).cast("long")), F.lit(0))).first()[0]
-    train_tokens, distinct = known[0] + ends, known[1] + (1 if ends else 0)
-    by_word = held_words.select("block", "word").join(vocabulary, "word").select(
+    train_tokens, distinct = tokens + ends, distinct + (1 if ends else 0)
+    by_word = counted.where("word is not null").select(
         "block", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double").alias("value"))
 
     def scored(key, left, right):
         word = right["word"].to_numpy(dtype=object)
-        at = np.array([w is not None for w in word])
-        count = dict(zip(word[at], right["value"].to_numpy()[at].astype(np.int64).tolist()))
-        g = right["gram"].to_numpy(dtype=np.float64)[~at].astype(np.int64)
-        v = right["value"].to_numpy()[~at]
-        order_ = np.argsort(g)
-        g, v = g[order_], v[order_]
+        at = np.array([w is not None for w in word], dtype=bool)
+        table = GramTable(right["gram"].to_numpy(dtype=np.float64)[~at].astype(np.int64), right["value"].to_numpy()[~at])
+        elsewhere = dict(zip(word[at], right["value"].to_numpy()[at].astype(np.int64).tolist()))
+        del right, word
         whole = np.log10(float(train_tokens) + distinct + 1) if train_tokens else 0.0
         rows = []
         for payload in left["payload"]:
+            count = Counter()
+            for _, held_out, text in unpack(payload):
+                if not held_out:
+                    count.update(text.lower().split())
+            count = dict(count)
+            count.update(elsewhere)
             for doc_id, held_out, text in unpack(payload):
-                c = np.array([count[w] for w in text.lower().split()] + [ends], dtype=np.float64)
-                spot = grams(text, order)
+                c = np.array([count.get(w, 0) for w in text.lower().split()] + [ends], dtype=np.float64)
                 rows.append((doc_id, held_out, len(c), int((c > 0).sum()), train_tokens,
-                             float((np.log10(c + 1) - whole).sum()), float(v[np.searchsorted(g, spot)].sum())))
+                             float((np.log10(c + 1) - whole).sum()), table.total(grams(text, order))))
         return pd.DataFrame(rows, columns=OUT.names)
 
     return packs.groupBy("block").cogroup(by_gram.unionByName(by_word).groupBy("block")).applyInPandas(scored, OUT)

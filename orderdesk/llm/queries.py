@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, piece, ppm, repeats, secrets, simhash, toxicity
+from . import covertree, decontam, licences, piece, ppm, quality, repeats, secrets, simhash, toxicity
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -24,6 +24,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece.round_trip(read(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op2_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -37,6 +41,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.matches(read(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -45,12 +53,17 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(read(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op4_repeats, op5_simhash, op7_decontamination, op8_secrets, op10_ppm)
+    f.__name__: f for f in (op1_sentencepiece, op2_covertree, op3_toxicity, op4_repeats, op5_simhash, op6_licences,
+                            op7_decontamination, op8_secrets, op9_quality, op10_ppm)
 }
 #: None of these has an exact SQL form except where given here.
 ORACLES: dict[str, str] = {}

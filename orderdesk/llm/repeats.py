@@ -12,7 +12,9 @@ digit down and drop what is already settled:
 2. The second digit is the whole region that the windows of a row cover. Rows
    equal in it are repeated as a whole. A gram with one region only is settled.
 3. Where a gram has several regions, one row of each region is opened into its
-   windows, and the last digit, the hash of the whole window, decides.
+   windows, and the last digit, the hash of the whole window, decides: in the
+   task that holds the gram, or, for grams with very many regions, by a shuffle
+   of the windows themselves.
 
 Every pass counts with partial aggregation, so a passage shared by a third of
 all documents is one row per task and pass. Rows are told apart by doc_id and a
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,41 +128,116 @@ def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
                        ).where(F.octet_length("raw") >= length).mapInArrow(run, ROWS)
 
 
-def _open_windows(texts: DataFrame, length: int) -> DataFrame:
-    """The windows of the listed rows: a, b (window hash; gram and offset), n, and where they start."""
+REGIONS = "doc_id long, th long, pos int, hi int, lo int, n long, gram long, members long, bytes binary"
+#: Regions of one gram that a task decides by itself; larger groups are opened into windows and shuffled.
+GROUP = 20_000
 
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, th and the text compressed, for the joins that move texts."""
+    def build():
+        coder = zstandard.ZstdCompressor(level=3)
+        return lambda raws: [[coder.compress(r) for r in raws.to_pylist()]]
+
+    text = text_of()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("raw"))
+    return add_columns(rows, build, ["raw"], [("packed", T.BinaryType())], keep=["doc_id", "th"])
+
+
+def _unpacked(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
+def _region_bytes(asked: DataFrame, length: int) -> DataFrame:
+    """The bytes that the windows of each listed row cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, th, text, rows in zip(*(batch.column(i) for i in range(4))):
-                raw, rows = np.frombuffer(text.as_py(), dtype=np.uint8), rows.as_py()
-                pos, hi, lo, n, gram = (np.array([r[k] for r in rows], dtype=np.int64) for k in ("pos", "hi", "lo", "n", "gram"))
-                # near rows share one running sum over at most a chunk of the text
-                order = np.argsort(pos)
-                i = 0
-                while i < len(order):
-                    base = pos[order[i]] - hi[order[i]]
-                    j = i
-                    while j < len(order) and pos[order[j]] - lo[order[j]] + length - base <= CHUNK:
-                        j += 1
-                    k = order[i:max(j, i + 1)]
-                    i = max(j, i + 1)
-                    base = (pos[k] - hi[k]).min()
-                    hashes = Hashes(raw[base:(pos[k] - lo[k]).max() + length])
-                    count = hi[k] - lo[k] + 1
-                    row = np.repeat(np.arange(len(k)), count)
-                    start = (pos[k] - hi[k])[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                    h = hashes.of(start - base, start - base + length).view(np.int64)
-                    key = _mixed((gram[k][row] ^ ((pos[k][row] - start) << 40)).view(np.uint64)).view(np.int64)
-                    m = len(row)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([ids.as_py()] * m, pa.int64()) if ids.as_py() is None else pa.array(np.full(m, ids.as_py())),
-                         pa.array(np.full(m, th.as_py())), pa.array(start.astype(np.int32)), pa.array(n[k][row]), pa.array(h), pa.array(key)],
-                        names=["doc_id", "th", "start", "n", "a", "b"])
-
-    return texts.mapInArrow(run, "doc_id long, th long, start int, n long, a long, b long")
-
-
-def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+            for doc_id, th, packed, rows in zip(*(batch.column(i) for i in range(4))):
+                raw, rows = _unpacked(packed.as_py()), rows.as_py()
+                made = [{"doc_id": doc_id.as_py(), "th": th.as_py(), **r, "bytes": raw[r["pos"] - r["hi"]:r["pos"] - r["lo"] + length]}
+                        for r in rows]
+                yield pa.RecordBatch.from_pylist(made, schema=schema)
+
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("hi", pa.int32()), ("lo", pa.int32()),
+                        ("n", pa.int64()), ("gram", pa.int64()), ("members", pa.int64()), ("bytes", pa.binary())])
+    return asked.mapInArrow(run, REGIONS)
+
+
+class _Windows:
+    """All windows of a set of regions: row, start in the text, and a key equal for equal windows."""
+
+    def __init__(self, rows: pa.RecordBatch, length: int):
+        col = {n: np.asarray(rows.column(rows.schema.get_field_index(n))).astype(np.int64) for n in ("pos", "hi", "lo", "n", "gram", "th")}
+        texts = rows.column(rows.schema.get_field_index("bytes")).to_pylist()
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        hashes = Hashes(np.frombuffer(b"".join(texts), dtype=np.uint8))
+        count = size - length + 1
+        self.row = np.repeat(np.arange(len(size)), count)
+        inside = np.arange(len(self.row)) - np.repeat(np.cumsum(count) - count, count)
+        at = (np.cumsum(size) - size)[self.row] + inside
+        self.n = col["n"][self.row]
+        self.start = (col["pos"] - col["hi"])[self.row] + inside
+        offset = col["hi"][self.row] - inside
+        self.window = hashes.of(at, at + length).view(np.int64)
+        self.place = _mixed((col["gram"][self.row] ^ (offset << 40)).view(np.uint64)).view(np.int64)
+
+
+def _settle(regions: DataFrame, length: int) -> DataFrame:
+    """(doc_id, th, start, end) of the repeated windows of regions that stand alone, group by group."""
+    def found(rows: pa.RecordBatch):
+        w = _Windows(rows, length)
+        key = _mixed((w.window ^ w.place).view(np.uint64))
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+        total = np.add.reduceat(w.n[order], first)
+        twice = np.empty(len(key), dtype=bool)
+        twice[order] = np.repeat(total > 1, np.diff(np.r_[first, len(key)]))
+        hit = np.flatnonzero(twice & (w.n == 1))
+        if not len(hit):
+            return None
+        new = np.flatnonzero(np.r_[True, (np.diff(hit) != 1) | (np.diff(w.row[hit]) != 0)])
+        begin, last = hit[new], hit[np.r_[new[1:] - 1, len(hit) - 1]]
+        row = pa.array(w.row[begin])
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0).take(row), rows.column(1).take(row), pa.array(w.start[begin].astype(np.int32)),
+             pa.array((w.start[last] + length).astype(np.int32))], names=["doc_id", "th", "start", "end"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            g = np.asarray(held.column(6))
+            whole = int(np.flatnonzero(g != g[-1])[-1]) + 1 if len(g) and (g != g[-1]).any() else 0
+            if whole:
+                out = found(held.slice(0, whole))
+                held = held.slice(whole)
+                if out is not None:
+                    yield out
+        if held is not None and held.num_rows:
+            out = found(held)
+            if out is not None:
+                yield out
+
+    return (regions.repartition("gram").sortWithinPartitions("gram")
+            .mapInArrow(run, "doc_id long, th long, start int, end int"))
+
+
+def _open_windows(regions: DataFrame, length: int) -> DataFrame:
+    """The windows of the regions: a, b (window hash; gram and offset), n, and where they start."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                rows = batch.slice(i, 500)
+                w = _Windows(rows, length)
+                row = pa.array(w.row)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0).take(row), rows.column(1).take(row), pa.array(w.start.astype(np.int32)), pa.array(w.n),
+                     pa.array(w.window), pa.array(w.place)], names=["doc_id", "th", "start", "n", "a", "b"])
+
+    return regions.mapInArrow(run, "doc_id long, th long, start int, n long, a long, b long")
+
+
+def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """(doc_id, th, spans): for each row with repeated strings, stretches [start, end) of bytes they cover."""
     key = ["gram", "region", "hi", "lo"]
     rows = materialise(anchors(docs, length, gram), "anchors")
@@ -167,16 +245,17 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     rows = materialise(rows.join(twice.hint("merge"), "gram", "left_semi"), "shared")
     regions = materialise(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "pos")).alias("one")), "regions")
     whole = rows.join(regions.where("n > 1").select(*key), key, "left_semi")
-    several = regions.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
-    ask = regions.join(several, "gram", "left_semi").select("one.*", "hi", "lo", "n", "gram")
-    ask = ask.groupBy("doc_id", "th").agg(F.collect_list(F.struct("pos", "hi", "lo", "n", "gram")).alias("rows"))
-    text = text_of()
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_th"), text.cast("binary").alias("raw"))
-    asked = texts.join(ask, texts["_id"].eqNullSafe(ask["doc_id"]) & (texts["_th"] == ask["th"])).select("doc_id", "th", "raw", "rows")
-    windows = materialise(_open_windows(asked, length), "windows")
+    several = regions.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    ask = regions.join(several, "gram").select("one.*", "hi", "lo", "n", "gram", "members")
+    ask = ask.groupBy("doc_id", "th").agg(F.collect_list(F.struct("pos", "hi", "lo", "n", "gram", "members")).alias("rows"))
+    texts = _packed(docs.where(F.octet_length(text_of()) >= length)).withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    asked = texts.join(ask.hint("merge"), texts["_id"].eqNullSafe(ask["doc_id"]) & (texts["_th"] == ask["th"]))
+    asked = materialise(_region_bytes(asked.select("doc_id", "th", "packed", "rows"), length), "opened")
+    windows = _open_windows(asked.where(F.col("members") > group), length)
     equal = windows.groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 1").select("a", "b")
-    single = windows.where("n = 1").join(equal, ["a", "b"], "left_semi")
+    single = windows.where("n = 1").join(equal.hint("merge"), ["a", "b"], "left_semi")
     spans = whole.select("doc_id", "th", (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + length).alias("end"))
+    spans = spans.unionByName(_settle(asked.where(F.col("members") <= group), length))
     spans = spans.unionByName(single.select("doc_id", "th", "start", (F.col("start") + length).alias("end")))
     return spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
@@ -192,22 +271,22 @@ def cut(raw: bytes, spans) -> tuple[bytes, int, int]:
     return np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
-def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept (binary).
 
     Null and empty texts and texts under ``length`` bytes lose nothing; repeated
     rows are texts that repeat each other; an empty table gives an empty table.
     """
-    found = repeated(docs, length, gram).withColumnsRenamed({"doc_id": "_id", "th": "_th"})
-    text = text_of()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("raw"))
-    rows = texts.join(found, texts["doc_id"].eqNullSafe(F.col("_id")) & (texts["th"] == F.col("_th")), "left")
+    found = repeated(docs, length, gram, group).withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    texts = _packed(docs)
+    rows = texts.join(found.hint("merge"), texts["doc_id"].eqNullSafe(F.col("_id")) & (texts["th"] == F.col("_th")), "left")
 
     def build():
-        def call(raws, spans):
-            made = [(r, 0, 0) if not s else cut(r, s) for r, s in zip(raws.to_pylist(), spans.to_pylist())]
-            return [[len(r) for r in raws.to_pylist()], [m[1] for m in made], [m[2] for m in made], [m[0] for m in made]]
+        def call(packed, spans):
+            raws = [_unpacked(p) for p in packed.to_pylist()]
+            made = [(r, 0, 0) if not s else cut(r, s) for r, s in zip(raws, spans.to_pylist())]
+            return [[len(r) for r in raws], [m[1] for m in made], [m[2] for m in made], [m[0] for m in made]]
         return call
 
-    return add_columns(rows, build, ["raw", "spans"], [("n_bytes", T.LongType()), ("n_removed", T.LongType()),
+    return add_columns(rows, build, ["packed", "spans"], [("n_bytes", T.LongType()), ("n_removed", T.LongType()),
                                                        ("n_spans", T.LongType()), ("kept", T.BinaryType())], keep=["doc_id"])

@@ -29,7 +29,8 @@ from .graph import components
 THRESHOLD = 0.9
 #: Vectors of the sample that the top centres come from; centres; vectors in a block.
 SAMPLE, CENTRES, BLOCK = 2048, 64, 4096
-RADII = (1.0, 0.5, 0.25)
+#: Radius of the cells' net, then of the nested nets inside a block.
+TOP, RADII = 1.0, (0.5, 0.25, 0.125)
 SLACK = 1e-4
 DENSE = 1024
 
@@ -137,15 +138,19 @@ class _Join:
     def run(self):
         (ca, ra, ma), (cb, rb, mb) = self.a.nodes[0], self.b.nodes[0]
         xa, xb = self.a.x[ca].astype(np.float32), self.b.x[cb].astype(np.float32)
-        low = 1 - (self.reach + SLACK + ra.max(initial=0) + rb) ** 2 / 2
-        for s in range(0, len(ca), DENSE):
-            cos = xa[s:s + DENSE] @ xb.T
-            i, j = np.nonzero(cos >= (low - SLACK)[None, :])
-            gap = _apart(cos[i, j].astype(np.float64))
-            keep = gap <= self.reach + ra[s + i] + rb[j] + 2e-2 * (gap < 0.1) + SLACK
-            for u, v in zip((s + i[keep]).tolist(), j[keep].tolist()):
-                if not self.same or u <= v:
-                    self._pair(0, ma[u], mb[v], self.same and u == v)
+        # single vectors have radius zero: one bound for all of them, bounds of their own for the other nodes
+        wide_a, wide_b = np.flatnonzero(ra > 0), np.flatnonzero(rb > 0)
+        thin_a, thin_b = np.flatnonzero(ra == 0), np.flatnonzero(rb == 0)
+        for rows, cols in ((thin_a, thin_b), (wide_a, np.arange(len(cb))), (thin_a, wide_b)):
+            for s in range(0, len(rows), DENSE):
+                part = rows[s:s + DENSE]
+                if not len(cols):
+                    break
+                reach = self.reach + SLACK + (0.0 if cols is thin_b else ra[part][:, None] + rb[cols][None, :])
+                i, j = np.nonzero(xa[part] @ xb[cols].T >= (1 - SLACK - reach ** 2 / 2))
+                for u, v in zip(part[i].tolist(), cols[j].tolist()):
+                    if not self.same or u <= v:
+                        self._pair(0, ma[u], mb[v], self.same and u == v)
         return self
 
     def _pair(self, level, ia, ib, one):
@@ -219,7 +224,7 @@ def _top(classes: DataFrame, threshold: float):
     sizes = [len(r["embedding"]) for r in rows]
     dim = max(set(sizes), key=sizes.count)
     x = units([r["embedding"] for r in rows if len(r["embedding"]) == dim])
-    return x[net(x, RADII[0], CENTRES)]
+    return x[net(x, TOP, CENTRES)]
 
 
 def _blocks(cells, centres, reach):

@@ -21,7 +21,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -283,15 +282,18 @@ def score(docs: DataFrame, order: int = ORDER, folds: int = 7, out: int = 2) ->
     by_word = counted.where("word is not null").select(
         "block", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double").alias("value"))
 
+    result = pa.schema([(f.name, {"bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}[f.dataType.simpleString()])
+                        for f in OUT])
+
     def scored(key, left, right):
-        word = right["word"].to_numpy(dtype=object)
-        at = np.array([w is not None for w in word], dtype=bool)
-        table = GramTable(right["gram"].to_numpy(dtype=np.float64)[~at].astype(np.int64), right["value"].to_numpy()[~at])
-        elsewhere = dict(zip(word[at], right["value"].to_numpy()[at].astype(np.int64).tolist()))
-        del right, word
+        mine = right.filter(pc.is_valid(right.column("gram")))
+        table = GramTable(mine.column("gram").to_numpy(), mine.column("value").to_numpy())
+        mine = right.filter(pc.is_valid(right.column("word")))
+        elsewhere = dict(zip(mine.column("word").to_pylist(), mine.column("value").to_numpy().astype(np.int64).tolist()))
+        del right, mine
         whole = np.log10(float(train_tokens) + distinct + 1) if train_tokens else 0.0
         rows = []
-        for payload in left["payload"]:
+        for payload in left.column("payload").to_pylist():
             count = Counter()
             for _, held_out, text in unpack(payload):
                 if not held_out:
@@ -302,9 +304,9 @@ def score(docs: DataFrame, order: int = ORDER, folds: int = 7, out: int = 2) ->
                 c = np.array([count.get(w, 0) for w in text.lower().split()] + [ends], dtype=np.float64)
                 rows.append((doc_id, held_out, len(c), int((c > 0).sum()), train_tokens,
                              float((np.log10(c + 1) - whole).sum()), table.total(grams(text, order))))
-        return pd.DataFrame(rows, columns=OUT.names)
+        return pa.Table.from_pylist([dict(zip(OUT.names, r)) for r in rows], schema=result)
 
-    return packs.groupBy("block").cogroup(by_gram.unionByName(by_word).groupBy("block")).applyInPandas(scored, OUT)
+    return packs.groupBy("block").cogroup(by_gram.unionByName(by_word).groupBy("block")).applyInArrow(scored, OUT)
 
 
 OUT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),

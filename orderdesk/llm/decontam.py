@@ -80,7 +80,7 @@ class Bench:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.vocab: dict[str, int] = {}
-        self.memo: dict[str, tuple[int, int]] = {}
+        self.memo: dict[str, int] = {}
         self.items, by_size = [], defaultdict(lambda: defaultdict(list))
         for item, text in items:
             tokens = TOKEN.findall(text)
@@ -99,11 +99,10 @@ class Bench:
         memo, vocab = self.memo, self.vocab
         if len(memo) > CACHE_WORDS:
             memo.clear()
-        for t in set(tokens):
-            if t not in memo:
-                memo[t] = (vocab.get(t.lower(), 0), _flags(t))
-        both = np.array([memo[t] for t in tokens], dtype=np.int64).reshape(-1, 2)
-        return both[:, 0], both[:, 1]
+        for t in set(tokens).difference(memo):
+            memo[t] = vocab.get(t.lower(), 0) << 4 | _flags(t)
+        both = np.fromiter(map(memo.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        return both >> 4, both & 15
 
     def template(self, tokens: list[str]):
         return canonical(*self.codes(tokens))

@@ -81,10 +81,9 @@ class Index:
     def ids(self, words: list[str]) -> np.ndarray:
         if len(self.memo) > CACHE_WORDS:
             self.memo.clear()
-        for w in set(words):
-            if w not in self.memo:
-                self.memo[w] = self.vocab.get(w.lower(), 0)
-        return np.array([self.memo[w] for w in words], dtype=np.int64)
+        for w in set(words).difference(self.memo):
+            self.memo[w] = self.vocab.get(w.lower(), 0)
+        return np.fromiter(map(self.memo.__getitem__, words), dtype=np.int64, count=len(words))
 
     def find(self, text: str) -> list[dict]:
         words = WORD.findall(text)

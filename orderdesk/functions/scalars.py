@@ -43,18 +43,24 @@ def supplier_in_parens(c) -> Column:
     return F.nullif(F.regexp_extract(col(c), P.SUPPLIER_IN_PARENS, 1), F.lit(""))
 
 
+def as_number(c) -> Column:
+    """Number of a plain number text, else null: a cast alone also reads '12D' and '5f'."""
+    text = col(c)
+    return F.when(text.rlike(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"), text.try_cast("double"))
+
+
 def number_in_text(c, pattern: str = P.NUMBER_PATTERN) -> Column:
     """First number in a text (``str.extract`` + ``to_numeric(errors='coerce')``)."""
-    return F.regexp_extract(col(c), pattern, 1).try_cast("double")
+    return as_number(F.regexp_extract(col(c), pattern, 1))
 
 
 def currency_to_number(c) -> Column:
     """Strip ``$`` and thousands commas, then to number; bad text -> null."""
-    return F.regexp_replace(col(c), r"[$,]", "").try_cast("double")
+    return as_number(F.regexp_replace(col(c), r"[$,]", ""))
 
 
 def strip_words_to_number(c, pattern: str = "EaOnly|,") -> Column:
-    return F.regexp_replace(col(c), pattern, "").try_cast("double")
+    return as_number(F.regexp_replace(col(c), pattern, ""))
 
 
 def item_codes(c, pattern: str = P.ITEM_CODE_PATTERN) -> Column:
@@ -64,7 +70,7 @@ def item_codes(c, pattern: str = P.ITEM_CODE_PATTERN) -> Column:
 
 def upc_word(c) -> Column:
     """First word that starts with '4' and is longer than 10 characters."""
-    picked = F.filter(F.split(col(c), " "), lambda w: w.startswith("4") & (F.length(w) > 10))
+    picked = F.filter(words(c), lambda w: w.startswith("4") & (F.length(w) > 10))
     return F.try_element_at(picked, F.lit(1))
 
 

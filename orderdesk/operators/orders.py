@@ -25,15 +25,11 @@ def outlet(df: DataFrame) -> DataFrame:
 
 def restrict_items(inventory: DataFrame, lines: DataFrame) -> DataFrame:
     """Inventory rows of the items ordered (the reference's IN-list)."""
-    return inventory.join(lines.select("Product"), inventory["Item"] == F.col("Product"), "left_semi")
+    return inventory.join(lines.select("Product").distinct(), inventory["Item"] == F.col("Product"), "left_semi")
 
 
 def join_inventory(lines: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Order lines left-joined with inventory (Product = Item).
-
-    A plain left join: Spark's runtime filter prunes the inventory side
-    from the order side's keys, which is what the reference's IN-list did.
-    """
+    """Order lines left-joined with inventory (Product = Item)."""
     return lines.join(inventory, lines["Product"] == inventory["Item"], "left")
 
 

@@ -167,7 +167,9 @@ def cover_sheet(items: DataFrame, quotes: DataFrame, worklist: DataFrame | None
         items = items.join(worklist.select("SUPPLR").distinct(), "SUPPLR", "left_semi")
     q = quotes.select("SUPPLR", "PRODCT", "NEW_COST", "MOQ").withColumn("_quoted", F.lit(True))
     j = items.join(q, ["SUPPLR", "PRODCT"], "left")
-    dup_keys = (q.groupBy("SUPPLR", "PRODCT").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # duplicates count only among the vendor's own items, as after the join
+    own = items.select("SUPPLR", "PRODCT").distinct()
+    dup_keys = (q.join(own, ["SUPPLR", "PRODCT"], "left_semi").groupBy("SUPPLR", "PRODCT").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
                 .groupBy("SUPPLR").agg(F.lit(True).alias("HAS_DUP")))
     j = j.join(dup_keys, "SUPPLR", "left").withColumn("HAS_DUP", F.coalesce("HAS_DUP", F.lit(False)))
     pct = F.round(((ratio("NEW_COST", "COST_FOR") - 1) * 100).cast("decimal(18,6)"), 1)
@@ -298,14 +300,20 @@ def new_items_by_year(new_items: DataFrame, first_year: int = FIRST_YEAR) -> Dat
         F.count("Item").alias("N_ITEMS"))
 
 
-def new_items_pivot(counts: DataFrame, years=NEW_YEARS) -> DataFrame:
-    """Years to columns; the year list is given so no extra job runs and
-    the schema is fixed. Missing combinations are null."""
+def report_years(dates: DataFrame, year, first_year: int = FIRST_YEAR) -> list[int]:
+    """Years of the report: those of ``NEW_YEARS`` and every later year in the data (one aggregate row)."""
+    last = dates.agg(F.max(year)).first()[0]
+    return list(range(first_year, max(NEW_YEARS[-1], last or 0) + 1))
+
+
+def new_items_pivot(counts: DataFrame, years=None) -> DataFrame:
+    """Years to columns, none left out (``years`` fixes the list). Missing combinations are null."""
+    years = report_years(counts, "YEAR") if years is None else years
     p = counts.groupBy("Supplier").pivot("YEAR", list(years)).agg(F.first("N_ITEMS"))
     return p.select("Supplier", *[F.col(str(y)).alias(f"y{y}") for y in years])
 
 
-def vendor_new_items(new_items: DataFrame, first_year: int = FIRST_YEAR, years=NEW_YEARS) -> DataFrame:
+def vendor_new_items(new_items: DataFrame, first_year: int = FIRST_YEAR, years=None) -> DataFrame:
     """New items per vendor group and year, for every origin letter at once.
 
     Vendors are grouped by (first four letters of the code, first word of the
@@ -313,6 +321,7 @@ def vendor_new_items(new_items: DataFrame, first_year: int = FIRST_YEAR, years=N
     code order, the long name cut to its first three words.
     """
     data = _new_items_years(new_items, first_year)
+    years = report_years(data, "YEAR", first_year) if years is None else years
     supp = data.select("Supplier", "Longname",
                        S.first_chars("Supplier", 4).alias("primary"),
                        S.first_word("Longname").alias("shortname")).distinct()

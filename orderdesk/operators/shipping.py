@@ -257,7 +257,9 @@ def missing_contacts(orders: DataFrame) -> DataFrame:
 def quality_counts(lines: DataFrame, contacts: DataFrame,
                    p: ShippingParams = ShippingParams()) -> DataFrame:
     """Data-quality rules of the shipping run in one scan."""
-    due = due_lines(lines, p).join(contacts.select("SUPPLR", "EMAIL"), "SUPPLR", "left")
+    # one row per supplier, so that a second contact does not count a line twice
+    mail = contacts.groupBy("SUPPLR").agg(F.max("EMAIL").alias("EMAIL"))
+    due = due_lines(lines, p).join(mail, "SUPPLR", "left")
     miss = missing_condition(p)
     counts = due.agg(
         F.count_if(~miss & F.col("EMAIL").isNull()).alias("missing_email"),

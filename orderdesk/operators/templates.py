@@ -63,7 +63,7 @@ def numeric_columns(df: DataFrame, cols: list[str]) -> list[str]:
     """Columns where at least one value converts to a number."""
     if not cols:
         return []
-    hits = df.agg(*[F.count(_q(c).try_cast("double")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    hits = df.agg(*[F.count(S.as_number(_q(c))).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     return [c for i, c in enumerate(cols) if hits[f"n{i}"] > 0]
 
 

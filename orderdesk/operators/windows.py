@@ -42,7 +42,12 @@ def row_numbers(df: DataFrame, part: list[str], order: list[str], name: str = "R
     counts = ranged.groupBy("_slice", *part).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
-    out = local.join(offsets, ["_slice", *part], "inner")
+    # null-safe on the group keys: rows without a key are a group of their own
+    offsets = offsets.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(part)} | {"_slice": "_s"})
+    same = F.col("_slice") == F.col("_s")
+    for i, c in enumerate(part):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    out = local.join(offsets, same, "inner").drop("_s", *[f"_k{i}" for i in range(len(part))])
     return out.withColumn(name, (F.col("_local") + F.col("_off")).cast("int")).drop("_slice", "_local", "_off")
 
 

@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                or sc.getConf().get("spark.checkpoint.dir", None)
                or spark.conf.get("spark.checkpoint.dir", None))
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="orderdesk-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", current)

@@ -40,7 +40,7 @@ def named_query(spark: SparkSession, name: str, items=None) -> DataFrame:
     if items is None or key is None:
         return spark.sql(sql)
     if isinstance(items, DataFrame):
-        keys = items.select(F.col(items.columns[0]).alias("_key")).where(F.col("_key").isNotNull())
+        keys = items.select(F.col(items.columns[0]).alias("_key")).where(F.col("_key").isNotNull()).distinct()
         base = spark.sql(sql)
         return base.join(keys, base[key] == keys["_key"], "left_semi")
     return spark.sql(f"select * from ({sql}) t where array_contains(:items, t.{key})",

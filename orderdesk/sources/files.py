@@ -225,7 +225,7 @@ def landed_report(spark: SparkSession, path: str, catalog_items: DataFrame, skip
     items = per_row.select(item.alias("Item")).where(
         F.col("Item").isNotNull() & ~truthy(F.col("Item").contains("PRODCT")) & ne("Item", F.lit("OV0001")))
     cat = catalog_items.select("SUPPLR", "PRODCT")
-    return cat.join(items, cat["PRODCT"] == items["Item"], "left_semi")
+    return cat.join(items.distinct(), cat["PRODCT"] == items["Item"], "left_semi")
 
 
 # --- routing and lookup ----------------------------------------------------

@@ -16,9 +16,9 @@ def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
 
 def per_vendor_layout(df: DataFrame, vendor: str = "SUPPLR", order: list[str] | None = None) -> DataFrame:
     """Rows as the per-vendor writer lays them out: clustered by vendor,
-    sorted within each task. A vendor's rows may span several tasks (files
-    in its folder) when AQE splits a large partition; none is lost."""
-    out = df.repartition(vendor)
+    sorted within each task. The rebalance hint lets AQE split a hot vendor
+    over several tasks (several files in its folder); none is lost."""
+    out = df.hint("rebalance", vendor)
     return out.sortWithinPartitions(vendor, *order) if order else out
 
 

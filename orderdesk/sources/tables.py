@@ -17,33 +17,13 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 USED_TABLES = ("supplier", "part", "orders", "lineitem", "conversations")
-# The two tables whose size dominates every run; the smaller tables are left
-# as read (spreading them costs a shuffle and buys nothing).
-FACT_TABLES = ("orders", "lineitem")
-
-
-def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
-    """Read a parquet table; spread it when it arrives in too few splits.
-
-    A large table in a few unsplittable files (one row group each) would run
-    every step before the first shuffle in a handful of tasks. When the scan
-    yields fewer splits than the cluster's parallelism it is hash-partitioned
-    once on its leading key column; at scale (thousands of files) this is a
-    no-op.
-    """
-    df = spark.read.parquet(path)
-    if spread:
-        try:
-            want = spark.sparkContext.defaultParallelism
-            have = df.rdd.getNumPartitions()
-        except Exception:  # no context access (e.g. a remote session): read as is
-            return df
-        if have < want:
-            # hash on the leading key column (l_orderkey / o_orderkey): the
-            # joins and windows of the views run on it, so this exchange is
-            # reused instead of followed by another one
-            df = df.repartition(want, df.columns[0])
-    return df
+
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a parquet table as it is stored: the same plan at every size."""
+    return spark.read.parquet(path)
+
 
 _registered: dict[int, str] = {}
 
@@ -56,7 +36,7 @@ def register(spark: SparkSession, sf_dir: str) -> None:
     # Dates cast from the parquet timestamps must not depend on the host zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     for t in USED_TABLES:
-        read_table(spark, f"{sf_dir}/{t}.parquet", spread=t in FACT_TABLES).createOrReplaceTempView(t)
+        read_table(spark, f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     for name, sql in VIEW_SQL.items():
         spark.sql(sql).createOrReplaceTempView(name)
     _registered[key] = sf_dir

@@ -18,10 +18,17 @@ from ..functions.rules import ne, truthy
 from ..params import OFFICE_DROP, OFFICE_RENAMES, SHEET_TEMPLATES
 from ..operators.documents import drop_null_columns
 
-MAX_COLS = 48
 CONFIRMATION_GLOB = "[oO]rder_[cC]onfirmation_[pP]*"
 CONFIRMATION_COLS = ["Product", "Description", "Ordered", "B/O'd", "To Ship", "Price", "Expected Date"]
+CONFIRMATION_TYPES = {"Ordered": "int", "B/O'd": "int", "To Ship": "int", "Price": "double"}
 
+#: One CSV cell: quoted from its first character (doubled quotes, commas and line
+#: breaks inside), else up to the next comma or line end; a quote that is never
+#: closed or stands inside a cell is plain text. Possessive: no backtracking.
+QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+CELL = rf"(?:{QUOTED}[^,\r\n]*+|[^,\r\n]*+)"
+LINE = rf"({CELL}(?:,{CELL})*+)(?:\r\n|\r|\n|\z)"
+CELL_IN_LINE = rf"({QUOTED}[^,]*+|[^,]*+)(?:,|\z)"
 
 
 def _decoded(c: Column) -> Column:
@@ -35,23 +42,31 @@ def _with_file(df: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(file, file_name, line_no, line): every line of every file, numbered from 0."""
+    """(file, file_name, line_no, line): every record of every file, numbered
+    from 0. A line break inside a quoted cell belongs to its record."""
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = _with_file(reader.text(path, wholetext=True))
-    return raw.select("file", "file_name",
-                      F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("line_no", "line"))
+    return raw.select("file", "file_name", F.posexplode(
+        F.regexp_extract_all(F.regexp_replace("value", "^\uFEFF", ""), F.lit(LINE), F.lit(1))).alias("line_no", "line"))
 
 
-def split_cells(lines: DataFrame, max_cols: int = MAX_COLS) -> DataFrame:
-    """(file, file_name, line_no, cell_no, value): CSV cells (quotes honoured),
-    empty cells as null."""
-    schema = ", ".join(f"c{i} string" for i in range(max_cols))
-    parsed = lines.withColumn("_r", F.from_csv(F.col("line"), schema))
-    arr = F.array(*[F.col(f"_r.c{i}") for i in range(max_cols)])
-    return parsed.select("file", "file_name", "line_no", F.posexplode(arr).alias("cell_no", "value")).where(
-        F.col("value").isNotNull() & (F.trim("value") != ""))
+def _unquoted(cell: Column) -> Column:
+    """A quoted cell without its quotes, doubled quotes single."""
+    parts = rf"(?s)^({QUOTED})(.*)$"
+    inner = F.regexp_extract(cell, parts, 1)
+    text = F.concat(F.replace(F.substr(inner, F.lit(2), F.length(inner) - 2),
+                              F.lit('""'), F.lit('"')), F.regexp_extract(cell, parts, 2))
+    return F.when(cell.rlike(parts), text).otherwise(cell)
+
+
+def split_cells(lines: DataFrame) -> DataFrame:
+    """(file, file_name, line_no, cell_no, value): CSV cells (quotes honoured,
+    any number of columns), empty cells left out."""
+    cells = lines.select("file", "file_name", "line_no", F.posexplode(
+        F.regexp_extract_all("line", F.lit(CELL_IN_LINE), F.lit(1))).alias("cell_no", "value"))
+    return cells.withColumn("value", _unquoted(F.col("value"))).where(F.trim("value") != "")
 
 
 def table_after_header(cells: DataFrame, header_line: DataFrame, names: list[str],
@@ -60,7 +75,7 @@ def table_after_header(cells: DataFrame, header_line: DataFrame, names: list[str
 
     ``header_line``: (file, header_no). Header texts are renamed (exact map),
     then the wanted ``names`` are pivoted out (given list: fixed schema, no
-    extra job).
+    extra job). Of several headers with one name the leftmost counts.
     """
     renames = renames or {}
     c = cells.join(header_line, "file")
@@ -69,7 +84,7 @@ def table_after_header(cells: DataFrame, header_line: DataFrame, names: list[str
     if renames:
         head = head.withColumn("name", S.replace_values("name", list(renames.items())))
     body = c.where(F.col("line_no") > F.col("header_no")).join(head, ["file", "cell_no"])
-    wide = body.groupBy("file", "file_name", "line_no").pivot("name", names).agg(F.first("value"))
+    wide = body.groupBy("file", "file_name", "line_no").pivot("name", names).agg(F.min_by("value", "cell_no"))
     return wide.withColumnRenamed("line_no", "row_no")
 
 
@@ -86,21 +101,22 @@ def find_header(cells: DataFrame, marker: str, column: int = 0) -> DataFrame:
 
 # --- confirmations and customer orders -------------------------------------
 
-def read_confirmations(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Order confirmation CSV, columns taken by header name (any
-    order, extra columns kept), numbers cast, rows without Product dropped."""
-    reader = spark.read.option("header", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = _with_file(reader.csv(path))
-    types = {"Ordered": "int", "B/O'd": "int", "To Ship": "int", "Price": "double"}
-    df = df.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items() if c in df.columns})
+def read_confirmations(spark: SparkSession, path: str, glob: str | None = None,
+                       extra: list[str] | None = None) -> DataFrame:
+    """Order confirmation CSV, columns taken by each file's own header
+    (any order; ``extra`` names further ones), numbers cast, rows without
+    Product dropped."""
+    cells = split_cells(read_lines(spark, path, glob))
+    df = table_after_header(cells, fixed_header(cells, 0), CONFIRMATION_COLS + list(extra or []))
+    df = df.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in CONFIRMATION_TYPES.items()})
     return df.where(F.col("Product").isNotNull())
 
 
 def read_customer_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Customer order CSV; only the four order-line columns are read."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """Customer order CSV; the four order-line columns, by each file's own
+    header (any order). A line without any of the four gives no row."""
+    cells = split_cells(read_lines(spark, path))
+    df = table_after_header(cells, fixed_header(cells, 0), ["Product", "Qty", "Unit Cost", "Ext Cost"])
     return df.select("Product", F.col("Qty").try_cast("int").alias("Qty"),
                      F.col("Unit Cost").try_cast("double").alias("Unit Cost"),
                      F.col("Ext Cost").try_cast("double").alias("Ext Cost"))
@@ -162,10 +178,10 @@ def read_quote_sheets(spark: SparkSession, folder: str, year: int = 2025, skip:
         "file", "cell_no", F.trim("value").alias("name")).withColumn("name", header_rules(year))
     body = c.where(F.col("line_no") > F.col("header_no")).join(head, ["file", "cell_no"])
     wide = body.groupBy("file", "file_name", "line_no").pivot("name", ["PRODCT", "NEW_COST", "MOQ"]).agg(
-        F.first("value"))
+        F.min_by("value", "cell_no"))
     vendor = F.try_element_at(F.split(F.element_at(F.split("file_name", r"\."), 1), " "), F.lit(4))
     return wide.select(vendor.alias("SUPPLR"), "PRODCT",
-                       F.regexp_replace("NEW_COST", r"[$,]", "").try_cast("decimal(12,2)").alias("NEW_COST"),
+                       F.regexp_replace("NEW_COST", r"[$,]", "").try_cast("decimal(18,6)").alias("NEW_COST"),
                        F.col("MOQ").try_cast("int").alias("MOQ"), F.col("line_no").alias("row_no")) \
         .where(F.col("PRODCT").isNotNull())
 
@@ -196,7 +212,7 @@ def office_sheet(spark: SparkSession, path: str, marker: str, new_year: int = 20
     names = [r["name"] for r in head.select("name", "cell_no").groupBy("name").agg(
         F.min("cell_no").alias("pos")).orderBy("pos").collect()]
     names = [x for x in names if x != OFFICE_DROP]
-    wide = body.groupBy("file", "file_name", "line_no").pivot("name", names).agg(F.first("value"))
+    wide = body.groupBy("file", "file_name", "line_no").pivot("name", names).agg(F.min_by("value", "cell_no"))
     wide = drop_null_columns(wide)  # F20, one aggregate row at plan time
     names = [x for x in names if x in wide.columns]
     if "DIMENSIONS (INCHES)" in names:
@@ -219,8 +235,8 @@ def landed_report(spark: SparkSession, path: str, catalog_items: DataFrame, skip
         "file", F.col("cell_no").alias("pcol"))
     body = c.where(F.col("line_no") > F.col("header_no")).join(head, "file")
     per_row = body.groupBy("file", "line_no").agg(
-        F.first(F.when(F.col("cell_no") == F.col("pcol"), F.col("value")), ignorenulls=True).alias("p"),
-        F.first(F.when(F.col("cell_no") == F.col("pcol") - 1, F.col("value")), ignorenulls=True).alias("left"))
+        F.min_by("value", F.when(F.col("cell_no") == F.col("pcol"), F.col("pcol"))).alias("p"),
+        F.min_by("value", F.when(F.col("cell_no") == F.col("pcol") - 1, F.col("pcol"))).alias("left"))
     item = S.first_word(F.coalesce("p", "left"))
     items = per_row.select(item.alias("Item")).where(
         F.col("Item").isNotNull() & ~truthy(F.col("Item").contains("PRODCT")) & ne("Item", F.lit("OV0001")))

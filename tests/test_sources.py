@@ -148,3 +148,46 @@ def test_replace_table(spark):
 def test_first_rows(spark):
     df = spark.range(100).selectExpr("id", "100 - id as k")
     assert [r["k"] for r in sinks.first_rows(df, ["k"], 5).collect()] == [1, 2, 3, 4, 5]
+
+
+def test_wide_sheet_keeps_every_column(spark, tmp_path):
+    names = [f"H{i}" for i in range(60)]
+    _write(str(tmp_path / "w" / "wide.csv"), ",".join(names) + "\n" + ",".join(str(i) for i in range(60)) + "\n")
+    cells = FS.split_cells(FS.read_lines(spark, str(tmp_path / "w")))
+    row = FS.table_after_header(cells, FS.fixed_header(cells, 0), names).first()
+    assert [row[n] for n in names] == [str(i) for i in range(60)]
+
+
+def test_very_wide_record(spark, tmp_path):
+    _write(str(tmp_path / "v" / "x.csv"), "," * 16383 + '"last, one"')
+    cells = FS.split_cells(FS.read_lines(spark, str(tmp_path / "v"))).collect()
+    assert [(c["line_no"], c["cell_no"], c["value"]) for c in cells] == [(0, 16383, "last, one")]
+
+
+def test_quoted_cells(spark, tmp_path):
+    text = ('\ufeffa,"b ""x"", c","two\r\nlines"\r\n'
+            ',5" wide,"open\n'
+            '\n'
+            '"",z\n')
+    with open(tmp_path / "q.csv", "w", newline="") as f:
+        f.write(text)
+    cells = FS.split_cells(FS.read_lines(spark, str(tmp_path / "q.csv"))).collect()
+    got = {(c["line_no"], c["cell_no"]): c["value"] for c in cells}
+    # the quote that opens '"open' is closed by the next one, as in any CSV reader
+    assert got[0, 0] == "a" and got[0, 1] == 'b "x", c' and got[0, 2] == "two\r\nlines"
+    assert got[1, 1] == '5" wide'
+
+
+def test_csv_columns_by_each_files_header(spark, tmp_path):
+    d = tmp_path / "mixed"
+    _write(str(d / "order_confirmation_p1.csv"), CONF_CSV)
+    _write(str(d / "order_confirmation_p2.csv"),
+           "Description,Product,Price,Ordered,B/O'd,To Ship,Expected Date,Note\nStar,AB000009,3.5,4,1,3,2024-02-01,hi\n")
+    rows = {r["Product"]: r for r in FS.read_confirmations(spark, str(d), extra=["Note"]).collect()}
+    assert set(rows) == {"AB000001", "AB000002", "AB000009"}
+    assert (rows["AB000009"]["Description"], rows["AB000009"]["Price"], rows["AB000009"]["Note"]) == ("Star", 3.5, "hi")
+    c = tmp_path / "cust"
+    _write(str(c / "a.csv"), "Product,Qty,Unit Cost,Ext Cost\nAB1,6,1.5,9.0\n")
+    _write(str(c / "b.csv"), "Qty,Product,Ext Cost,Unit Cost\n2,AB2,4.0,2.0\n")
+    got = sorted(tuple(r) for r in FS.read_customer_csv(spark, str(c)).collect())
+    assert got == [("AB1", 6, 1.5, 9.0), ("AB2", 2, 2.0, 4.0)]

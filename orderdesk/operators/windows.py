@@ -80,26 +80,35 @@ def forward_fill(df: DataFrame, part: str, order: str, cols: list[str],
         "_sl", *[f"_f_{c}" for c in cols], *[f"_c_{c}" for c in cols])
 
 
-def look_ahead(df: DataFrame, part: str, row_no: str, value: Column | str, steps: int,
-               prefix: str = "NEXT") -> DataFrame:
+def look_ahead(df: DataFrame, part: str | list[str], row_no: str, value: Column | str, steps: int,
+               prefix: str = "NEXT", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``<prefix>1..<prefix>k`` = value of the row 1..k places further on.
 
-    ``row_no`` must be dense (1, 2, 3, ... per group), as produced at scan
-    time. Every row is sent to its own key (with the whole row) and, value
-    only, to the keys of the 1..k rows before it; one group-by on
-    (part, row) puts them together. Keys are single rows, so no group is hot,
-    and the input is read and shuffled once.
+    Rows are ordered by ``row_no`` within ``part`` (gaps allowed; rows that
+    share a number all stay, in any order among themselves). They are cut into
+    slices of ``slice_rows`` consecutive numbers; a window keyed by (part,
+    slice) answers every row but the last k of a slice, and those take the
+    first k values of the following slices from a one-row-per-slice table.
     """
+    keys = [part] if isinstance(part, str) else list(part)
     v = F.col(value) if isinstance(value, str) else value
-    cols = [c for c in df.columns if c not in (part, row_no)]
-    sends = df.select(part, row_no, v.alias("_v"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
-                      F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("_k"))
-    sends = sends.select(part, (F.col(row_no) - F.col("_k")).alias(row_no), "_k", "_v",
-                         F.when(F.col("_k") == 0, F.col("_row")).alias("_row"))
-    got = sends.groupBy(part, row_no).agg(
-        F.max_by("_row", F.when(F.col("_k") == 0, F.lit(1))).alias("_row"),
-        F.max(F.when(F.col("_k") == 0, F.lit(1))).alias("_self"),
-        *[F.max_by("_v", F.when(F.col("_k") == k, F.lit(1))).alias(f"{prefix}{k}") for k in range(1, steps + 1)])
-    got = got.where(F.col("_self") == 1)
-    return got.select(part, row_no, *[F.col("_row")[c].alias(c) for c in cols],
-                      *[f"{prefix}{k}" for k in range(1, steps + 1)])
+    data = df.withColumns({"_v": v, "_sl": F.floor(F.col(row_no) / F.lit(slice_rows))})
+    whole = Window.partitionBy(*keys, "_sl")
+    inside = data.withColumns({"_rn": F.row_number().over(whole.orderBy(row_no)),
+                               "_n": F.count(F.lit(1)).over(whole),
+                               **{f"_l{k}": F.lead("_v", k).over(whole.orderBy(row_no))
+                                  for k in range(1, steps + 1)}})
+    heads = inside.where(F.col("_rn") <= steps).groupBy(*keys, "_sl").agg(
+        F.sort_array(F.collect_list(F.struct("_rn", "_v"))).alias("_h"))
+    after = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(1, steps)
+    carry = heads.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.col("_sl").alias("_s"),
+                         F.slice(F.flatten(F.collect_list("_h").over(after)), 1, steps).alias("_c"))
+    # null-safe keys; one-slice groups (the usual case) take nothing over
+    same = F.col("_sl").eqNullSafe(F.col("_s"))
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    out = inside.join(carry.where(F.size("_c") > 0), same, "left")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[
+        F.when(F.col("_rn") + k <= F.col("_n"), F.col(f"_l{k}"))
+        .otherwise(F.get("_c", F.col("_rn") + k - F.col("_n") - 1)["_v"]).alias(f"{prefix}{k}")
+        for k in range(1, steps + 1)])

@@ -3,6 +3,7 @@ one document / vendor holds most rows and is cut into many slices."""
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderdesk.operators import windows as W
@@ -81,3 +82,23 @@ def test_row_numbers_keep_every_row_when_sampling_is_partial(spark):
     total = df.count()
     assert out.count() == total
     assert stats.where("c != d or lo != 1 or hi != c").count() == 0
+
+
+@pytest.mark.parametrize("slice_rows", [2, 5, 1000])
+def test_look_ahead_over_gaps_repeats_and_null_keys(spark, slice_rows):
+    numbers = {"a": [1, 2, 9, 10, 31, 32, 33], "b": [4], None: [1, 2, 7], "c": list(range(1, 23))}
+    rows = [(d, n, None if n % 4 == 0 else f"{d}{n}") for d, ns in numbers.items() for n in ns]
+    df = spark.createDataFrame(rows, "doc string, row_no int, t string")
+    got = {(r["doc"], r["row_no"]): (r["N1"], r["N2"], r["N3"])
+           for r in W.look_ahead(df, "doc", "row_no", "t", 3, prefix="N", slice_rows=slice_rows).collect()}
+    for d, ns in numbers.items():
+        texts = [None if n % 4 == 0 else f"{d}{n}" for n in ns] + [None] * 3
+        for i, n in enumerate(ns):
+            assert got[d, n] == tuple(texts[i + 1:i + 4])
+    # numbers that restart on the second page: every row stays, apart by page
+    pages = spark.createDataFrame([("x", p, n, f"{p}{n}") for p in (1, 2) for n in (1, 2)],
+                                  "doc string, page int, row_no int, t string")
+    assert W.look_ahead(pages, "doc", "row_no", "t", 1, slice_rows=slice_rows).count() == 4
+    by_page = W.look_ahead(pages, ["doc", "page"], "row_no", "t", 1, slice_rows=slice_rows).collect()
+    assert sorted((r["page"], r["row_no"], r["NEXT1"]) for r in by_page) == [
+        (1, 1, "12"), (1, 2, None), (2, 1, "22"), (2, 2, None)]

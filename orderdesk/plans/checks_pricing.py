@@ -55,7 +55,8 @@ MONEY = "format('{{:,.2f}}', cast(round({x}, 2) as double))"
 COVER = """
 reviewed as (select SUPPLR, EXCHANGE_RATE from v_supplier_contacts
   where coalesce(PRINTED <> 1, true) and coalesce(REVIEWED in (1, 2), false)),
-covered as (select distinct SUPPLR from v_cover_sheets where SUPPLR like '%7' and SUPPLR is not null),
+covered as (select distinct SUPPLR from v_cover_sheets c where SUPPLR is not null
+ and not exists (select 1 from v_catalog_items i where i.PRODCT = c.PRODCT)),
 wl as (select * from reviewed r where not exists (select 1 from covered c where c.SUPPLR = r.SUPPLR)),
 witems as (select * from v_catalog_items i where exists (select 1 from wl where wl.SUPPLR = i.SUPPLR)),
 dups as (select distinct SUPPLR from (select SUPPLR, PRODCT from v_vendor_quotes group by SUPPLR, PRODCT having count(*) > 1) d),
@@ -97,9 +98,13 @@ def _quotes(spark):
     return spark.table("v_vendor_quotes")
 
 
+def _covered(spark):
+    """Stand-in for the vendors whose covers exist: a cover row names an item outside the catalogue."""
+    return spark.table("v_cover_sheets").join(_items(spark).select("PRODCT"), "PRODCT", "left_anti")
+
+
 def _cover(spark):
-    covered = spark.table("v_cover_sheets").where(F.col("SUPPLR").endswith("7"))
-    wl = PR.cover_worklist(_contacts(spark), covered)
+    wl = PR.cover_worklist(_contacts(spark), _covered(spark))
     return PR.cover_sheet(_items(spark), _quotes(spark), wl)
 
 
@@ -121,8 +126,7 @@ def unsent_vendors(spark):
 
 @check("cover_worklist", f"with {COVER} select * from wl")
 def cover_worklist(spark):
-    covered = spark.table("v_cover_sheets").where(F.col("SUPPLR").endswith("7"))
-    return PR.cover_worklist(_contacts(spark), covered)
+    return PR.cover_worklist(_contacts(spark), _covered(spark))
 
 
 @check("inactive_vendors", f"with {PREP} select distinct SUPPLR from inact")
@@ -204,7 +208,7 @@ def duplicate_quotes(spark):
     return PR.duplicate_quotes(_cover(spark))
 
 
-REPORT = """rep as (select distinct SUPPLR, PRODCT from v_vendor_quotes where PRODCT not like '%7'),
+REPORT = """rep as (select distinct SUPPLR, PRODCT from v_cover_sheets),
 fm as (select coalesce(i.SUPPLR, r.SUPPLR) as SUPPLR, coalesce(i.PRODCT, r.PRODCT) as PRODCT,
   i.Supplier_name, i.SEASON, i.SELSTA, i.STATUS, i.ITEST, i.QOH, i.COST, i.COST_FOR,
   case when i.PRODCT is not null and r.PRODCT is not null then 'both'
@@ -213,7 +217,8 @@ fm as (select coalesce(i.SUPPLR, r.SUPPLR) as SUPPLR, coalesce(i.PRODCT, r.PRODC
 
 
 def _report(spark):
-    return _quotes(spark).where(~F.col("PRODCT").endswith("7")).select("SUPPLR", "PRODCT")
+    """Stand-in for the landed-cost report: the cover sheets as they stand."""
+    return spark.table("v_cover_sheets").select("SUPPLR", "PRODCT")
 
 
 @check("join_full_marker", f"with {REPORT} select * from fm")

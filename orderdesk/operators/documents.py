@@ -19,6 +19,12 @@ from ..params import (DIGITS_PATTERN, ITEM_CODE_PATTERN, MEMO_STOP_PHRASES, NUMB
 from .windows import forward_fill, look_ahead
 
 
+def table_keys(rows: DataFrame) -> list[str]:
+    """Extracted rows form one table per document, or per (document, page)
+    where they carry ``page_no``."""
+    return ["doc_id", "page_no"] if "page_no" in rows.columns else ["doc_id"]
+
+
 def drop_null_columns(df: DataFrame, keep=()) -> DataFrame:
     """drop columns that are null in every row (one aggregate pass at
     plan time; the column choice is made on the driver from one row)."""
@@ -35,9 +41,10 @@ def extracted_scan(rows: DataFrame, product: str = "style", drop_empty: bool = T
 
 
 def fill_down(rows: DataFrame, cols=("style", "qty_text", "ext_text", "upc_text"),
-              doc: str = "doc_id", row_no: str = "row_no") -> DataFrame:
-    """Forward fill of the given columns within each document."""
-    return forward_fill(rows, doc, row_no, list(cols))
+              doc: str | list[str] | None = None, row_no: str = "row_no") -> DataFrame:
+    """Forward fill of the given columns within each table (``doc``; by
+    default the document and, where the rows carry one, the page)."""
+    return forward_fill(rows, doc or table_keys(rows), row_no, list(cols))
 
 
 def style_rows(filled: DataFrame, col: str = "style") -> DataFrame:
@@ -69,7 +76,7 @@ def lookahead_upc(rows: DataFrame, text: str = "style") -> DataFrame:
     longest of them (first wins ties); rows ending in an item code only."""
     prod = F.replace(S.last_word(text), F.lit("-"), F.lit(""))
     base = rows.withColumn("Product", prod)
-    ahead = look_ahead(base, "doc_id", "row_no", "Product", 3, prefix="_N")
+    ahead = look_ahead(base, table_keys(rows), "row_no", "Product", 3, prefix="_N")
     digits = {f"UPC{k}": F.coalesce(F.regexp_extract(f"_N{k}", DIGITS_PATTERN, 1), F.lit(""))
               for k in (1, 2, 3)}
     out = ahead.withColumns(digits).withColumn("UPC", S.longest(["UPC1", "UPC2", "UPC3"]))
@@ -79,7 +86,7 @@ def lookahead_upc(rows: DataFrame, text: str = "style") -> DataFrame:
 
 def longest_upc(rows: DataFrame, text: str = "upc_text") -> DataFrame:
     """F16: first barcode match and longest text over the next three rows."""
-    ahead = look_ahead(rows, "doc_id", "row_no", text, 3, prefix="_U")
+    ahead = look_ahead(rows, table_keys(rows), "row_no", text, 3, prefix="_U")
     cols = ["_U1", "_U2", "_U3"]
     return ahead.select("doc_id", "row_no",
                         S.first_match(cols, UPC_PATTERN).alias("FIRST_UPC"),

@@ -2,10 +2,10 @@
 producing the order-line schema ``Product, Qty, Unit Cost, Ext Cost``.
 
 Input is the extracted-table form of a document layout: one DataFrame per
-layout with ``doc_id``, ``row_no`` and the layout's text columns (every
-document of that layout at once). Column choices that depend on content
-(B5, B6, numeric columns, all-null columns) are decided at plan time from one
-aggregate row; the row work stays distributed.
+layout with ``doc_id``, ``row_no``, perhaps ``page_no``, and the layout's text columns
+(every document of that layout at once). Column choices that depend on content
+(B6, numeric columns) are made per table (document and page) by an aggregate
+that is joined back; only header names from a first row (B5) are read at plan time.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.rules import truthy
+from ..functions.rules import ne, truthy
 from .. import params as P
-from .documents import drop_null_columns
+from .documents import table_keys
 from .windows import forward_fill, look_ahead
 
 LINE = ["Product", "Qty", "Unit Cost", "Ext Cost"]
@@ -29,6 +29,10 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
+def _keys(df: DataFrame) -> list[str]:
+    return [*table_keys(df), "row_no"]
+
+
 def rename_by_position(df: DataFrame, names: list[str], keys=KEYS) -> DataFrame:
     """Name the data columns by position (``df.columns = [...]``)."""
     data = [c for c in df.columns if c not in keys]
@@ -47,24 +51,32 @@ def header_from_first_row(df: DataFrame, keys=KEYS) -> DataFrame:
         *keys, *[_q(c).alias(n) for c, n in zip(data, names)])
 
 
-def find_column(df: DataFrame, pattern: str, keys=KEYS, how: str = "rlike") -> str | None:
-    """First column (in order) where any value matches ``pattern``
-    (``rlike``) or contains it (``contains``); one aggregate pass."""
-    data = [c for c in df.columns if c not in keys]
-    test = (lambda c: _q(c).rlike(pattern)) if how == "rlike" else (lambda c: _q(c).contains(pattern))
-    hits = df.agg(*[F.max(truthy(test(c)).cast("int")).alias(f"h{i}") for i, c in enumerate(data)]).first()
-    for i, c in enumerate(data):
-        if hits[f"h{i}"]:
-            return c
-    return None
+def _per_table(df: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """One-row-per-table ``facts`` put beside every row of their table (null-safe keys)."""
+    right = facts.withColumnsRenamed({k: f"_t{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_t{i}"))
+    return df.join(right, same, "left").drop(*[f"_t{i}" for i in range(len(keys))])
+
+
+def choose_column(df: DataFrame, tests: dict, keys: list[str], pick: str = "_pick") -> DataFrame:
+    """Adds ``pick`` = name of the first column of ``tests`` (column ->
+    aggregate condition) that holds in the row's table; null where none does.
+    Each table chooses for itself: one aggregate, no action."""
+    if not tests:
+        return df.withColumn(pick, F.lit(None).cast("string"))
+    flags = df.groupBy(*keys).agg(F.coalesce(*[F.when(t, F.lit(c)) for c, t in tests.items()]).alias(pick))
+    return _per_table(df, flags, keys)
 
 
-def numeric_columns(df: DataFrame, cols: list[str]) -> list[str]:
-    """Columns where at least one value converts to a number."""
-    if not cols:
-        return []
-    hits = df.agg(*[F.count(S.as_number(_q(c))).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    return [c for i, c in enumerate(cols) if hits[f"n{i}"] > 0]
+def picked(cols: list[str], pick: str = "_pick"):
+    """Value of the column that ``pick`` names."""
+    return F.coalesce(F.lit(None).cast("string"), *[F.when(F.col(pick) == c, _q(c)) for c in cols])
+
+
+def _any(cond):
+    return F.bool_or(truthy(cond))
 
 
 def fl2658(df: DataFrame) -> DataFrame:
@@ -89,49 +101,60 @@ def pa1683(df: DataFrame) -> DataFrame:
 
 
 def az1239(df: DataFrame) -> DataFrame:
-    """Layout AZ1239: names mapped, 'EaOnly' and commas stripped, numeric
-    columns kept, item column found by content when unnamed (B6 + F8),
-    all-null columns dropped, four columns renamed by position (B5)."""
+    """Layout AZ1239: names mapped, 'EaOnly' and commas stripped. Each table
+    takes its item column by name or else by content (B6 + F8) and its numeric
+    columns; three numeric columns are quantity and costs by position (B5),
+    otherwise they go by name. A table without an item column gives no rows."""
+    tables, keys = table_keys(df), _keys(df)
     out = df.withColumnsRenamed(P.LAYOUT_AZ1239)
-    text = [c for c in out.columns if c not in KEYS]
-    out = out.select(*KEYS, *[F.regexp_replace(_q(c), "EaOnly|,", "").alias(c) for c in text])
-    if "Product" not in out.columns:
-        found = find_column(out, ITEM_LIKE)
-        if found is None:
-            raise ValueError("no item column found")
-        out = out.withColumnRenamed(found, "Product")
-    nums = numeric_columns(out, [c for c in out.columns if c not in KEYS and c != "Product"])
-    out = out.select(*KEYS, "Product", *[_q(c).try_cast("double").alias(c) for c in nums])
-    out = drop_null_columns(out, keep=KEYS + ("Product",)).where(F.col("Product").isNotNull())
-    if len(out.columns) == len(KEYS) + 4:
-        out = rename_by_position(out, LINE)
-    return out.select(*KEYS, *LINE)
+    data = [c for c in out.columns if c not in keys]
+    out = out.select(*keys, *[F.regexp_replace(_q(c), P.AZ1239_NOISE, "").alias(c) for c in data])
+    tests = {"Product": _any(_q("Product").isNotNull())} if "Product" in data else {}
+    tests |= {c: _any(_q(c).rlike(ITEM_LIKE)) for c in data if c != "Product"}
+    out = choose_column(out, tests, tables)
+    numbers = out.groupBy(*tables).agg(F.struct(*[
+        _any(S.as_number(_q(c)).isNotNull()).alias(f"n{i}") for i, c in enumerate(data)]).alias("_is"))
+    out = _per_table(out, numbers, tables)
+    kept = {c: F.col("_is")[f"n{i}"] & ne("_pick", F.lit(c)) for i, c in enumerate(data) if c != "Product"}
+    by_position = F.filter(F.array(*[F.struct(ok.alias("ok"), S.as_number(_q(c)).alias("v"))
+                                     for c, ok in kept.items()]), lambda x: x["ok"])
+    out = out.withColumns({"_item": picked(data), "_nums": by_position})
+    line = [F.when(F.size("_nums") == 3, F.get("_nums", F.lit(i))["v"])
+            .otherwise(F.when(kept[c], S.as_number(_q(c))) if c in kept else F.lit(None).cast("double")).alias(c)
+            for i, c in enumerate(LINE[1:])]
+    return out.where(F.col("_item").isNotNull()).select(*keys, F.col("_item").alias("Product"), *line)
 
 
 def nv0356(df: DataFrame) -> DataFrame:
-    """Layout NV0356 (MA0603 from page 2 is the same): UPC column found by a
-    first-row value 'UPC' (B6), names mapped, forward fill (W1), item-code
+    """Layout NV0356 (MA0603 from page 2 is the same): per table, the UPC
+    column is the one whose first row says 'UPC' (B6), the item column is the
+    first of its two names that holds a value; forward fill (W1), item-code
     rows (B14), numbers out of text (F5)."""
-    upc = find_column(df.where(F.col("row_no") == df.agg(F.min("row_no")).first()[0]), r"^UPC$")
-    ren = dict(P.LAYOUT_NV0356)
-    if upc:
-        ren[upc] = "UPC"
-    out = df.withColumnsRenamed(ren)
-    if "Product" not in out.columns:
-        out = out.withColumnRenamed(P.LAYOUT_NV0356_PRODUCT_ALT, "Product")
-    cols = list(P.LAYOUT_NV0356_COLUMNS)
-    out = forward_fill(out.select(*KEYS, *[_q(c) for c in cols]), "doc_id", "row_no", cols)
-    out = out.where(F.col("Product").isNotNull() & truthy(F.col("Product").rlike(r"^[A-Z0-9]{1,9}$")))
+    tables, keys = table_keys(df), _keys(df)
+    data = [c for c in df.columns if c not in keys]
+    out = choose_column(df, {c: truthy(F.min_by(_q(c), "row_no").rlike("^UPC$")) for c in data}, tables)
+    names = {v: k for k, v in P.LAYOUT_NV0356.items()}
+    items = [c for c in ("Product", names["Product"], P.LAYOUT_NV0356_PRODUCT_ALT) if c in data]
+    out = choose_column(out, {c: _any(_q(c).isNotNull()) for c in items}, tables, "_item")
+    missing = F.lit(None).cast("string")
+    source = {c: next((x for x in (names.get(c), c) if x in data), None) for c in P.LAYOUT_NV0356_COLUMNS}
+    cols = {c: missing if x is None else _q(x) for c, x in source.items()}
+    cols |= {"Product": picked(items, "_item"),
+             "UPC": F.when(F.col("_pick").isNull(), cols["UPC"]).otherwise(picked(data))}
+    out = out.select(*keys, *[v.alias(c) for c, v in cols.items()])
+    out = forward_fill(out, tables, "row_no", list(cols))
+    out = out.where(F.col("Product").isNotNull() & truthy(F.col("Product").rlike(P.STYLE_PATTERN)))
     return out.withColumns({c: S.number_in_text(_q(c)) for c in ("Qty", "Unit Cost", "Ext Cost")})
 
 
 def ma0603_retail(df: DataFrame) -> DataFrame:
-    """Layout MA0603 pages after the first (W3): the column holding 'UNIT
-    RETAIL' gives Retail from two rows further on; rows with a barcode kept."""
+    """Layout MA0603 pages after the first (W3): per table, the column holding
+    'UNIT RETAIL' gives Retail from two rows further on (null where no column
+    holds it); rows with a barcode kept."""
+    tables, keys = table_keys(df), _keys(df)
     desc, marker, barcode = (P.LAYOUT_MA0603[k] for k in ("description", "retail_marker", "barcode"))
-    retail_col = find_column(df, marker, how="contains")
-    out = df.withColumnsRenamed({c: desc for c in df.columns if desc in c})
-    if retail_col is not None:
-        out = look_ahead(out, "doc_id", "row_no", _q(retail_col), 2, prefix="_R").withColumnRenamed(
-            "_R2", "Retail").drop("_R1")
-    return out.where(_q(barcode).isNotNull())
+    data = [c for c in df.columns if c not in keys]
+    out = choose_column(df, {c: _any(_q(c).contains(marker)) for c in data}, tables)
+    out = out.withColumn("_retail", picked(data)).withColumnsRenamed({c: desc for c in data if desc in c})
+    out = look_ahead(out, tables, "row_no", "_retail", 2, prefix="_R").withColumnRenamed("_R2", "Retail")
+    return out.where(_q(barcode).isNotNull()).drop("_R1", "_retail", "_pick")

@@ -51,7 +51,15 @@ def row_numbers(df: DataFrame, part: list[str], order: list[str], name: str = "R
     return out.withColumn(name, (F.col("_local") + F.col("_off")).cast("int")).drop("_slice", "_local", "_off")
 
 
-def forward_fill(df: DataFrame, part: str, order: str, cols: list[str],
+def _same_slice(keys: list[str]) -> Column:
+    """Null-safe equality of (keys, _sl) with a slice table's (_k0.., _s)."""
+    same = F.col("_sl").eqNullSafe(F.col("_s"))
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return same
+
+
+def forward_fill(df: DataFrame, part: str | list[str], order: str, cols: list[str],
                  slice_rows: int = SLICE_ROWS) -> DataFrame:
     """pandas ``ffill`` per group: null takes the last non-null value before it.
 
@@ -61,21 +69,23 @@ def forward_fill(df: DataFrame, part: str, order: str, cols: list[str],
     is carried into the next slices. The slice table and the join back reuse
     the window's partitioning: the rows themselves are shuffled once.
     """
+    keys = [part] if isinstance(part, str) else list(part)
     sl = F.floor(F.col(order) / F.lit(slice_rows))
     data = df.withColumn("_sl", sl)
-    inside = Window.partitionBy(part, "_sl").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_sl").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = data.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(inside) for c in cols})
-    tails = filled.groupBy(part, "_sl").agg(*[F.max_by(f"_f_{c}", F.col(order)).alias(f"_t_{c}") for c in cols])
-    prev = Window.partitionBy(part).orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(part, "_sl", *[F.last(f"_t_{c}", ignorenulls=True).over(prev).alias(f"_c_{c}")
-                                        for c in cols])
+    tails = filled.groupBy(*keys, "_sl").agg(*[F.max_by(f"_f_{c}", F.col(order)).alias(f"_t_{c}") for c in cols])
+    prev = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_sl").alias("_s"),
+                         *[F.last(f"_t_{c}", ignorenulls=True).over(prev).alias(f"_c_{c}") for c in cols])
     # only slices that actually receive a value are joined back: one-slice
     # groups (the usual case) drop out, and the join side stays small
     has_carry = None
     for c in cols:
         cond = F.col(f"_c_{c}").isNotNull()
         has_carry = cond if has_carry is None else (has_carry | cond)
-    out = filled.join(carry.where(has_carry), [part, "_sl"], "left")
+    out = filled.join(carry.where(has_carry), _same_slice(keys), "left").drop(
+        "_s", *[f"_k{i}" for i in range(len(keys))])
     return out.withColumns({c: F.coalesce(F.col(f"_f_{c}"), F.col(f"_c_{c}")) for c in cols}).drop(
         "_sl", *[f"_f_{c}" for c in cols], *[f"_c_{c}" for c in cols])
 
@@ -103,11 +113,8 @@ def look_ahead(df: DataFrame, part: str | list[str], row_no: str, value: Column
     after = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(1, steps)
     carry = heads.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.col("_sl").alias("_s"),
                          F.slice(F.flatten(F.collect_list("_h").over(after)), 1, steps).alias("_c"))
-    # null-safe keys; one-slice groups (the usual case) take nothing over
-    same = F.col("_sl").eqNullSafe(F.col("_s"))
-    for i, c in enumerate(keys):
-        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    out = inside.join(carry.where(F.size("_c") > 0), same, "left")
+    # one-slice groups (the usual case) take nothing over
+    out = inside.join(carry.where(F.size("_c") > 0), _same_slice(keys), "left")
     return out.select(*[F.col(f"`{c}`") for c in df.columns], *[
         F.when(F.col("_rn") + k <= F.col("_n"), F.col(f"_l{k}"))
         .otherwise(F.get("_c", F.col("_rn") + k - F.col("_n") - 1)["_v"]).alias(f"{prefix}{k}")

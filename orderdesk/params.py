@@ -70,6 +70,7 @@ SHEET_TEMPLATES = {
 LAYOUT_FL2658 = {"ITEM NO.": "Product", "QTY": "Qty", "Unit Price": "Unit Cost", "SubTotal": "Ext Cost"}
 LAYOUT_PA1683 = ("SUPPLIER #", "QTY", "PRICE/UN", "AMOUNT")
 LAYOUT_AZ1239 = {"Vendor Part No": "Product", "Order Cost": "Unit Cost"}
+AZ1239_NOISE = "EaOnly|,"
 LAYOUT_NV0356 = {"Style description / Vendor style": "Product", "Extended cost": "Ext Cost",
                  "Unit cost": "Unit Cost", "Ordered qty": "Qty"}
 LAYOUT_NV0356_PRODUCT_ALT = "Style description / Vendor style Expected rec date"

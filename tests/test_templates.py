@@ -58,3 +58,39 @@ def test_rename_by_position_checks_count(spark):
         raise AssertionError("expected ValueError")
     except ValueError:
         pass
+
+
+def test_az1239_chooses_columns_per_document_and_page(spark):
+    df = spark.createDataFrame([(1, 1, 1, "Tree lights", "AB12C", "12EaOnly", "1,234.5", "14814.0"),
+                                (1, 2, 1, "CD34E", "Star", "6", "2.0", "12.0"),
+                                (2, 1, 1, "12", "x", "1.5", "18.0", "EF56G"),
+                                (3, 1, 1, "no item", "1", "2", "3", None),
+                                (None, None, 1, "GH78", "n", "2", "3", "6")],
+                               "doc_id bigint, page_no int, row_no int, c0 string, c1 string, c2 string, c3 string, c4 string")
+    got = {(r["doc_id"], r["page_no"]): (r["Product"], r["Qty"], r["Unit Cost"], r["Ext Cost"]) for r in T.az1239(df).collect()}
+    assert got == {(1, 1): ("AB12C", 12.0, 1234.5, 14814.0), (1, 2): ("CD34E", 6.0, 2.0, 12.0),
+                   (2, 1): ("EF56G", 12.0, 1.5, 18.0), (None, None): ("GH78", 2.0, 3.0, 6.0)}
+
+
+def test_nv0356_upc_column_and_fill_per_page(spark):
+    cols = ("doc_id bigint, page_no int, row_no int, `Style description / Vendor style` string, `Ordered qty` string, "
+            "`Unit cost` string, `Extended cost` string, `Unit retail` string, c8 string, c9 string")
+    df = spark.createDataFrame([(1, 1, 1, None, None, None, None, None, "a", "UPC"),
+                                (1, 1, 2, "AB12", "6", "$1.50", "$9.00", "3.99", "b", "4120"),
+                                (2, 1, 1, None, None, None, None, None, "UPC", "z"),
+                                (2, 1, 2, "CD34", "2", "$1.00", "$2.00", "3.99", "4121", "y"),
+                                (2, 2, 1, None, "5", None, None, None, "UPC", None),
+                                (2, 2, 2, "EF56", None, "$3.00", None, None, None, None)], cols)
+    got = [(r["doc_id"], r["page_no"], r["Product"], r["Qty"], r["Ext Cost"], r["UPC"])
+           for r in T.nv0356(df).orderBy("doc_id", "page_no", "row_no").collect()]
+    assert got == [(1, 1, "AB12", 6.0, 9.0, "4120"), (2, 1, "CD34", 2.0, 2.0, "4121"), (2, 2, "EF56", 5.0, None, "UPC")]
+
+
+def test_ma0603_retail_per_page(spark):
+    df = spark.createDataFrame([(1, 2, 1, "4120", "Tree", "UNIT RETAIL", None), (1, 2, 2, None, None, "x", None),
+                                (1, 2, 3, "4121", "Star", "9.99", "7"),
+                                (1, 3, 1, "4122", "Owl", None, "UNIT RETAIL"), (1, 3, 2, None, None, "q", "x"),
+                                (1, 3, 3, "4123", "Fox", "1", "5.55")],
+                               "doc_id bigint, page_no int, row_no int, `UPC-A/EAN` string, `DESCRIPTION X` string, c string, d string")
+    got = [(r["page_no"], r["DESCRIPTION"], r["Retail"]) for r in T.ma0603_retail(df).orderBy("page_no", "row_no").collect()]
+    assert got == [(2, "Tree", "9.99"), (2, "Star", None), (3, "Owl", "5.55"), (3, "Fox", None)]

@@ -85,6 +85,11 @@ def quote_requests(priced: DataFrame, contacts: DataFrame) -> DataFrame:
                     "Ship_Date", "Unit_Cost")
 
 
+def missing_contact(quotes: DataFrame) -> DataFrame:
+    """The quote request rows that reach nobody (e-mail null or blank)."""
+    return quotes.where(F.trim(F.coalesce("EMAIL", F.lit(""))) == "")
+
+
 def union_orders(*frames: DataFrame) -> DataFrame:
     """Union by column name; missing columns are null."""
     out = frames[0]

@@ -114,6 +114,18 @@ def quote_requests(spark):
     return O.outlet(O.quote_requests(_priced(spark), spark.table("v_supplier_contacts")))
 
 
+@check("missing_contact", f"""with {PRICED},
+q as (select *, nullif(regexp_extract(Supplier, '\\(([^)]+)\\)$', 1), '') as SUPPLR from checked
+  where substr(Product_long, 1, 1) = 'Z')
+select s.EMAIL, q.SUPPLR, q.Customer, q.Product, q.Product_long,
+ case when not coalesce(q.Qty <= 1, false) then cast(q.Qty as varchar) end as QTY,
+ q.Ship_Date, cast(q.Unit_Cost as double) as Unit_Cost
+from q left join (select SUPPLR, EMAIL from v_supplier_contacts) s on q.SUPPLR = s.SUPPLR
+where s.EMAIL is null or trim(s.EMAIL) = ''""")
+def missing_contact(spark):
+    return O.outlet(O.missing_contact(O.quote_requests(_priced(spark), spark.table("v_supplier_contacts"))))
+
+
 @check("union_orders", """select * from v_customer_confirmations
 union all by name select * from v_dummy_confirmation""")
 def union_orders(spark):

@@ -30,3 +30,9 @@ def test_later_years_are_counted(spark):
     got = pricing.vendor_new_items(items).collect()[0]
     assert got["y2026"] == 1 and got["y2027"] == 1
     assert pricing.new_items_pivot(pricing.new_items_by_year(items)).select(F.col("y2027")).first()[0] == 1
+
+
+def test_missing_contact_keeps_null_and_blank_mail(spark):
+    from orderdesk.operators import orders as O
+    df = spark.createDataFrame([("a@b.c", "A"), (None, "B"), ("", "C"), ("  ", "D")], "EMAIL string, Product string")
+    assert sorted(r["Product"] for r in O.missing_contact(df).collect()) == ["B", "C", "D"]

@@ -70,17 +70,27 @@ def order_lines_ffill(rows: DataFrame) -> DataFrame:
                         F.col("upc_text").alias("UPC"))
 
 
+def item_of(text):
+    """Last word of a description without '-'."""
+    return F.replace(S.last_word(text), F.lit("-"), F.lit(""))
+
+
+def barcodes_ahead(rows: DataFrame, tables: list[str]) -> DataFrame:
+    """UPC1..3 = digits of the next three rows' Product, UPC = the longest of
+    them (first wins ties); rows whose Product ends in an item code only."""
+    ahead = look_ahead(rows, tables, "row_no", "Product", 3, prefix="_N")
+    digits = {f"UPC{k}": F.coalesce(F.regexp_extract(f"_N{k}", DIGITS_PATTERN, 1), F.lit(""))
+              for k in (1, 2, 3)}
+    out = ahead.withColumns(digits).withColumn("UPC", S.longest(["UPC1", "UPC2", "UPC3"]))
+    return out.where(truthy(F.col("Product").rlike(PRODUCT_TAIL_PATTERN))).drop("_N1", "_N2", "_N3")
+
+
 def lookahead_upc(rows: DataFrame, text: str = "style") -> DataFrame:
     """C15 (layout FL4494), W2 + F3 + F16: Product = last word of the text
     without '-'; UPC1..3 = digits of the next three rows' Product; UPC = the
     longest of them (first wins ties); rows ending in an item code only."""
-    prod = F.replace(S.last_word(text), F.lit("-"), F.lit(""))
-    base = rows.withColumn("Product", prod)
-    ahead = look_ahead(base, table_keys(rows), "row_no", "Product", 3, prefix="_N")
-    digits = {f"UPC{k}": F.coalesce(F.regexp_extract(f"_N{k}", DIGITS_PATTERN, 1), F.lit(""))
-              for k in (1, 2, 3)}
-    out = ahead.withColumns(digits).withColumn("UPC", S.longest(["UPC1", "UPC2", "UPC3"]))
-    out = out.where(truthy(F.col("Product").rlike(PRODUCT_TAIL_PATTERN)))
+    base = rows.withColumn("Product", item_of(F.col(text)))
+    out = barcodes_ahead(base, table_keys(rows))
     return out.select("doc_id", "row_no", "Product", "UPC1", "UPC2", "UPC3", "UPC")
 
 

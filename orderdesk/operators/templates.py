@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.rules import ne, truthy
 from .. import params as P
-from .documents import table_keys
+from .documents import barcodes_ahead, item_of, table_keys
 from .windows import forward_fill, look_ahead
 
 LINE = ["Product", "Qty", "Unit Cost", "Ext Cost"]
@@ -158,3 +158,76 @@ def ma0603_retail(df: DataFrame) -> DataFrame:
     out = out.withColumn("_retail", picked(data)).withColumnsRenamed({c: desc for c in data if desc in c})
     out = look_ahead(out, tables, "row_no", "_retail", 2, prefix="_R").withColumnRenamed("_R2", "Retail")
     return out.where(_q(barcode).isNotNull()).drop("_R1", "_retail", "_pick")
+
+
+def _first_rows(df: DataFrame, tables: list[str], data: list[str]) -> DataFrame:
+    """Adds each table's first row (``_h0``.. = its cells) and that row's number (``_top``)."""
+    heads = df.groupBy(*tables).agg(F.min("row_no").alias("_top"), F.min_by(
+        F.struct(*[_q(c).alias(f"_h{i}") for i, c in enumerate(data)]), "row_no").alias("_head"))
+    heads = heads.select(*tables, "_top", "_head.*")
+    return _per_table(df, heads, tables)
+
+
+def _named(data: list[str], names: list, wanted):
+    """Value of the first column whose header (one name per data column) passes ``wanted``."""
+    return F.coalesce(F.lit(None).cast("string"),
+                      *[F.when(truthy(wanted(n)), _q(c)) for c, n in zip(data, names)])
+
+
+def fl4494(df: DataFrame) -> DataFrame:
+    """Layout FL4494: a table's headers are its column names (digits, dots and
+    slashes off) followed by its first row's texts (B5), read per table. The
+    first column is the description: its last word is the item, whose barcode
+    follows in the next three rows (W2, F16). Rows that end in an item code are
+    lines; numbers by F6. A table whose first header lacks 'Description' gives
+    no rows."""
+    tables, keys = table_keys(df), _keys(df)
+    data = [c for c in df.columns if c not in keys]
+    out = _first_rows(df, tables, data)
+    names = [F.concat_ws(" ", F.regexp_replace(F.lit(c), P.LAYOUT_FL4494_NOISE, ""), F.col(f"_h{i}"))
+             for i, c in enumerate(data)]
+    out = out.where((F.col("row_no") > F.col("_top")) & names[0].contains(P.LAYOUT_FL4494_TEXT))
+    values = {new: _named(data, names, lambda n, old=old: n == old) for old, new in P.LAYOUT_FL4494.items()}
+    out = out.select(*keys, _q(data[0]).alias("Description"), *[v.alias(c) for c, v in values.items()])
+    out = barcodes_ahead(out.withColumn("Product", item_of(F.col("Description"))), tables)
+    return out.select(*keys, "Description", "Unit Retail", "Product", "UPC",
+                      *[S.as_number(_q(c)).alias(c) for c in LINE[1:]])
+
+
+def ma0603(df: DataFrame) -> DataFrame:
+    """Layout MA0603, all pages in one pass: on page 1 the first row holds the
+    headers (B5), on later pages the columns are named. Every page becomes
+    order lines by the rules of NV0356 (forward fill, item-code rows, numbers
+    out of text); Retail stands two rows further on in the column that holds
+    'UNIT RETAIL' (W3). Pages without an item column keep the rows with a
+    barcode, Product null. Rows without ``page_no`` count as page 1."""
+    tables, keys = table_keys(df), _keys(df)
+    desc, marker, barcode = (P.LAYOUT_MA0603[k] for k in ("description", "retail_marker", "barcode"))
+    data = [c for c in df.columns if c not in keys]
+    first_page = F.col("page_no").eqNullSafe(F.lit(1)) if "page_no" in keys else F.lit(True)
+    out = _first_rows(df, tables, data).withColumn("_p1", first_page)
+    out = out.where(~F.col("_p1") | (F.col("row_no") > F.col("_top")))
+    out = choose_column(out, {c: _any(_q(c).contains(marker)) for c in data}, tables, "_pick")
+    names = [F.when(F.col("_p1"), F.col(f"_h{i}")).otherwise(F.lit(c)) for i, c in enumerate(data)]
+
+    def by_name(*wanted):
+        return F.coalesce(*[_named(data, names, lambda n, w=w: n == w) for w in wanted])
+
+    renamed = {new: old for old, new in P.LAYOUT_NV0356.items()}
+    cols = {c: by_name(c, *([renamed[c]] if c in renamed else [])) for c in P.LAYOUT_NV0356_COLUMNS if c != "UPC"}
+    cols["Product"] = F.coalesce(cols["Product"], by_name(P.LAYOUT_NV0356_PRODUCT_ALT))
+    cols["UPC"] = by_name("UPC", barcode)
+    cols[desc] = _named(data, names, lambda n: n.contains(desc))
+    out = out.select(*keys, *[v.alias(c) for c, v in cols.items()], picked(data).alias("_retail"))
+    out = look_ahead(out, tables, "row_no", "_retail", 2, prefix="_R")
+    out = out.withColumn("_code", F.col("UPC")).withColumnRenamed("_R2", "Retail")
+    has_item = out.groupBy(*tables).agg(_any(F.col("Product").isNotNull()).alias("_lines"))
+    out = _per_table(forward_fill(out, tables, "row_no", list(P.LAYOUT_NV0356_COLUMNS)), has_item, tables)
+    line = F.col("Product").isNotNull() & truthy(F.col("Product").rlike(P.STYLE_PATTERN))
+    out = out.where(F.when(F.col("_lines"), line).otherwise(F.col("_code").isNotNull()))
+    return out.withColumns({c: S.number_in_text(_q(c)) for c in LINE[1:]}).select(
+        *keys, *LINE, "Unit retail", "UPC", desc, "Retail")
+
+
+#: Layout code -> function from extracted rows to order lines.
+LAYOUTS = {"FL2658": fl2658, "FL4494": fl4494, "MA0603": ma0603, "NV0356": nv0356, "AZ1239": az1239, "PA1683": pa1683}

@@ -66,15 +66,16 @@ def forward_fill(df: DataFrame, part: str | list[str], order: str, cols: list[st
     Rows are cut into slices of ``slice_rows`` consecutive order values. Each
     slice fills itself (window keyed by (group, slice)); the last filled value
     of every slice forms a one-row-per-slice table, whose running last value
-    is carried into the next slices. The slice table and the join back reuse
-    the window's partitioning: the rows themselves are shuffled once.
+    is carried into the next slices. That table is aggregated from the input's
+    own values before any shuffle; the rows themselves are shuffled once.
     """
     keys = [part] if isinstance(part, str) else list(part)
     sl = F.floor(F.col(order) / F.lit(slice_rows))
     data = df.withColumn("_sl", sl)
     inside = Window.partitionBy(*keys, "_sl").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = data.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(inside) for c in cols})
-    tails = filled.groupBy(*keys, "_sl").agg(*[F.max_by(f"_f_{c}", F.col(order)).alias(f"_t_{c}") for c in cols])
+    tails = data.groupBy(*keys, "_sl").agg(*[
+        F.max_by(c, F.when(F.col(f"`{c}`").isNotNull(), F.col(order))).alias(f"_t_{c}") for c in cols])
     prev = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
     carry = tails.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_sl").alias("_s"),
                          *[F.last(f"_t_{c}", ignorenulls=True).over(prev).alias(f"_c_{c}") for c in cols])

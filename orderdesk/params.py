@@ -76,6 +76,10 @@ LAYOUT_NV0356 = {"Style description / Vendor style": "Product", "Extended cost":
 LAYOUT_NV0356_PRODUCT_ALT = "Style description / Vendor style Expected rec date"
 LAYOUT_NV0356_COLUMNS = ("Product", "Qty", "Unit Cost", "Ext Cost", "Unit retail", "UPC")
 LAYOUT_MA0603 = {"description": "DESCRIPTION", "retail_marker": "UNIT RETAIL", "barcode": "UPC-A/EAN"}
+# FL4494 documents: header = column name without digits, dots and slashes + first row.
+LAYOUT_FL4494_NOISE = r"[.0-9/]"
+LAYOUT_FL4494_TEXT = "Description"
+LAYOUT_FL4494 = {"Unit Retail": "Unit Retail", "Unit Cost": "Unit Cost", "Ord Pcs": "Qty", "Extended Cost": "Ext Cost"}
 # Office price sheets: renamed and dropped headers.
 OFFICE_RENAMES = {"NW/GW LBS": "NW/GW"}
 OFFICE_DROP = "IN/OUT/   PACK PCS"

@@ -17,11 +17,16 @@ from ..functions import scalars as S
 from ..functions.rules import ne, truthy
 from ..params import OFFICE_DROP, OFFICE_RENAMES, SHEET_TEMPLATES
 from ..operators.documents import drop_null_columns
+from ..operators.templates import LAYOUTS
 
 CONFIRMATION_GLOB = "[oO]rder_[cC]onfirmation_[pP]*"
 CONFIRMATION_COLS = ["Product", "Description", "Ordered", "B/O'd", "To Ship", "Price", "Expected Date"]
 CONFIRMATION_TYPES = {"Ordered": "int", "B/O'd": "int", "To Ship": "int", "Price": "double"}
 
+ORDER_LINE = ["Product", "Qty", "Unit Cost", "Ext Cost"]
+# Confirmation headers that stand for order-line columns.
+CONFIRMATION_LINE = {"Ordered": "Qty", "Quantity": "Qty", "Price": "Unit Cost"}
+
 #: One CSV cell: quoted from its first character (doubled quotes, commas and line
 #: breaks inside), else up to the next comma or line end; a quote that is never
 #: closed or stands inside a cell is plain text. Possessive: no backtracking.
@@ -41,13 +46,18 @@ def _with_file(df: DataFrame) -> DataFrame:
         "file_name", _decoded(F.col("_metadata.file_name")))
 
 
-def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(file, file_name, line_no, line): every record of every file, numbered
-    from 0. A line break inside a quoted cell belongs to its record."""
-    reader = spark.read
+def read_whole(spark: SparkSession, path: str, glob: str | None = None, deep: bool = False) -> DataFrame:
+    """(value, file, file_name): each file's text; ``deep`` looks into subfolders."""
+    reader = spark.read.option("recursiveFileLookup", str(deep).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    raw = _with_file(reader.text(path, wholetext=True))
+    return _with_file(reader.text(path, wholetext=True))
+
+
+def read_lines(spark: SparkSession, path: str, glob: str | None = None, deep: bool = False) -> DataFrame:
+    """(file, file_name, line_no, line): every record of every file, numbered
+    from 0. A line break inside a quoted cell belongs to its record."""
+    raw = read_whole(spark, path, glob, deep)
     return raw.select("file", "file_name", F.posexplode(
         F.regexp_extract_all(F.regexp_replace("value", "^\uFEFF", ""), F.lit(LINE), F.lit(1))).alias("line_no", "line"))
 
@@ -126,18 +136,22 @@ SPREADSHEET_SCHEMA = ("Worksheet array<struct<Table: struct<Row: array<struct<"
                       "Cell: array<struct<Data: string>>>>>>>")
 
 
-def read_spreadsheet_xml(spark: SparkSession, path: str) -> DataFrame:
-    """SpreadsheetML confirmation: the first worksheet's table; first Row
-    = headers, Cells by position, an empty Cell is null, rows without Product
-    dropped, seven columns. Each file is parsed by ``from_xml`` with a fixed
-    schema, then rows and cells are ``posexplode``-d into the long form."""
-    raw = _with_file(spark.read.text(path, wholetext=True))
+def xml_cells(raw: DataFrame) -> DataFrame:
+    """Cells of SpreadsheetML texts: the first worksheet's table, Cells by
+    position. Each file is parsed by ``from_xml`` with a fixed schema, then
+    rows and cells are ``posexplode``-d into the long form."""
     wb = raw.select("file", "file_name",
                     F.from_xml("value", F.lit(SPREADSHEET_SCHEMA), {"rowTag": "Workbook"}).alias("wb"))
     table = F.element_at(F.col("wb.Worksheet"), 1)["Table"]
     rows = wb.select("file", "file_name", F.posexplode(table["Row"]).alias("line_no", "row"))
-    cells = rows.select("file", "file_name", "line_no", F.posexplode("row.Cell").alias("cell_no", "cell")) \
-        .select("file", "file_name", "line_no", "cell_no", F.col("cell.Data").alias("value"))
+    cells = rows.select("file", "file_name", "line_no", F.posexplode("row.Cell").alias("cell_no", "cell"))
+    return cells.select("file", "file_name", "line_no", "cell_no", F.col("cell.Data").alias("value"))
+
+
+def read_spreadsheet_xml(spark: SparkSession, path: str) -> DataFrame:
+    """SpreadsheetML confirmation: first Row = headers, an empty Cell is
+    null, rows without Product dropped, seven columns."""
+    cells = xml_cells(read_whole(spark, path))
     out = table_after_header(cells, fixed_header(cells, 0), CONFIRMATION_COLS)
     return out.where(F.col("Product").isNotNull()).select("file", *[F.col(f"`{c}`") for c in CONFIRMATION_COLS])
 
@@ -222,7 +236,11 @@ def office_sheet(spark: SparkSession, path: str, marker: str, new_year: int = 20
         wide = wide.withColumn("% Change", F.try_divide(F.col(f"`{new_c}`").try_cast("double"),
                                                         F.col(f"`{old_c}`").try_cast("double")) - 1)
     vendor = F.element_at(F.split(F.element_at(F.split("file_name", r"\."), 1), " "), -1)
-    return wide.withColumn("SUPPLR", vendor).withColumn("Photo", F.lit(""))
+    wide = wide.withColumn("SUPPLR", vendor).withColumn("Photo", F.lit(""))
+    # column order of the sheet: first column, photo, three columns, change, the rest
+    change = [c for c in ("% Change",) if c in wide.columns]
+    sheet = [*names[:1], "Photo", *names[1:4], *change, *names[4:]]
+    return wide.select("SUPPLR", "file", "file_name", "line_no", *[F.col(f"`{c}`") for c in sheet])
 
 
 def landed_report(spark: SparkSession, path: str, catalog_items: DataFrame, skip: int = 1) -> DataFrame:
@@ -260,6 +278,52 @@ def route_documents(files: DataFrame, customer_pattern: str = r"po") -> DataFram
                         F.when(reader.isNull(), "reject").otherwise(role).alias("role"), reader.alias("reader"))
 
 
+def read_orders(spark: SparkSession, root: str, extracted: dict[str, DataFrame] | None = None,
+                customer_pattern: str = r"po") -> tuple[DataFrame, DataFrame]:
+    """Every order document under ``root`` as order lines, and the
+    rejected files.
+
+    CSV exports and SpreadsheetML files of all folders are read in one pass
+    each, routed by their path (``route_documents``) and united before the
+    headers are applied: confirmations by their own names, customer sheets by
+    the rows to skip and renames of their customer's template. ``extracted``
+    holds the rows of documents without a text form, by layout code.
+    Returns (lines: source, customer_id, role, row_no, Product, Qty, Unit
+    Cost, Ext Cost; rejects: path, customer_id, ext, role, reader). Memos go
+    to ``documents.memo_items`` and are neither.
+    """
+    cells = split_cells(read_lines(spark, root, "*.[cC][sS][vV]", deep=True)).unionByName(
+        xml_cells(read_whole(spark, root, "*.[xX][mM][lL]", deep=True)))
+    kinds = {f"_{c}": F.col(c) for c in ("customer_id", "role")}
+    routed = route_documents(cells.select("file").distinct().withColumnRenamed("file", "path"), customer_pattern)
+    skip = F.coalesce(*[F.when((F.col("role") == "customer_order") & (F.col("customer_id") == k), n)
+                        for k, (n, _) in SHEET_TEMPLATES.items()], F.lit(0))
+    heads = routed.where(F.col("role").isin("confirmation", "customer_order")).select(
+        F.col("path").alias("file"), skip.alias("header_no"), *[v.alias(k) for k, v in kinds.items()])
+    name = F.trim("value")
+    renamed = F.coalesce(
+        *[F.when((F.col("_role") == "confirmation") & (name == old), new) for old, new in CONFIRMATION_LINE.items()],
+        *[F.when((F.col("_role") == "customer_order") & (F.col("_customer_id") == k) & (name == old), new)
+          for k, (_, names) in SHEET_TEMPLATES.items() for old, new in names.items()], F.col("value"))
+    cells = cells.join(heads, "file").withColumn(
+        "value", F.when(F.col("line_no") == F.col("header_no"), renamed).otherwise(F.col("value")))
+    wide = table_after_header(cells.drop("header_no", "_customer_id", "_role"), heads.select("file", "header_no"), ORDER_LINE)
+    wide = wide.join(heads.drop("header_no"), "file")
+    number = {c: S.currency_to_number(F.col(f"`{c}`")) for c in ORDER_LINE[1:]}
+    lines = wide.where(F.col("Product").isNotNull()).select(
+        F.col("file").alias("source"), F.col("_customer_id").alias("customer_id"), F.col("_role").alias("role"),
+        F.col("row_no").cast("long").alias("row_no"), "Product", *[v.alias(c) for c, v in number.items()])
+    for layout, rows in (extracted or {}).items():
+        made = LAYOUTS[layout](rows)
+        lines = lines.unionByName(made.select(
+            F.col("doc_id").cast("string").alias("source"), F.lit(layout).alias("customer_id"),
+            F.lit("customer_order").alias("role"), F.col("row_no").cast("long").alias("row_no"), "Product",
+            *[F.col(f"`{c}`").cast("double").alias(c) for c in ORDER_LINE[1:]]))
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(
+        _decoded(F.col("path")).alias("path"))
+    return lines, route_documents(every, customer_pattern).where(F.col("role") == "reject")
+
+
 def missing_files(spark: SparkSession, folder: str, expected: DataFrame,
                   glob: str = CONFIRMATION_GLOB) -> DataFrame:
     """Expected order numbers (column ``po``, e.g. 'P1194944') with no

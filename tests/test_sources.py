@@ -98,7 +98,7 @@ def test_office_sheet(spark, tmp_path):
     _write(str(tmp_path / "o" / "office sheet T00001.csv"), text)
     df = FS.office_sheet(spark, str(tmp_path / "o"), "MARKER")
     rows = {r["ITEM"]: r for r in df.collect()}
-    assert "IN/OUT/   PACK PCS" not in df.columns and "EMPTY" not in df.columns
+    assert df.columns[4:] == ["ITEM", "Photo", "2024 COST", "2025 COST", "DIMENSIONS (INCHES)", "% Change", "PURCH"]
     assert abs(rows["AB1"]["% Change"] - 0.1) < 1e-9 and rows["AB2"]["% Change"] == 0.0
     assert rows["AB1"]["DIMENSIONS (INCHES)"] == "10 X 12 \nCTN 3"
     assert rows["AB1"]["SUPPLR"] == "T00001" and rows["AB1"]["PURCH"] == "100"
@@ -191,3 +191,20 @@ def test_csv_columns_by_each_files_header(spark, tmp_path):
     _write(str(c / "b.csv"), "Qty,Product,Ext Cost,Unit Cost\n2,AB2,4.0,2.0\n")
     got = sorted(tuple(r) for r in FS.read_customer_csv(spark, str(c)).collect())
     assert got == [("AB1", 6, 1.5, 9.0), ("AB2", 2, 2.0, 4.0)]
+
+
+def test_read_orders_unites_all_documents(spark, tmp_path):
+    root = tmp_path / "so"
+    _write(str(root / "X1" / "Order_Confirmation_P1.csv"), "Ordered,Product,Price\n3,AB1,2.50\n1,,9\n")
+    _write(str(root / "X1" / "Order_Confirmation_P2.xml"), XML)
+    _write(str(root / "PA6502" / "PO 7.csv"), "Item,Qty,Unit Price,Total\nCD2,4,\"$1,000.50\",4002\n")
+    _write(str(root / "CL7158" / "po 8.CSV"), "junk\n" * 23 + "QTY,STYLE #,Unit Total,Total Cost\n2,EF3,1.5,3\n")
+    _write(str(root / "X1" / "misc.csv"), "Product,Qty\nZZ,1\n")
+    rows = spark.createDataFrame([(5, 1, "GH4", "2", "$1.00", "$2.00")],
+                                 "doc_id bigint, row_no int, `ITEM NO.` string, QTY string, `Unit Price` string, SubTotal string")
+    lines, rejects = FS.read_orders(spark, str(root), {"FL2658": rows})
+    got = sorted((r["customer_id"], r["role"], r["Product"], r["Qty"], r["Unit Cost"], r["Ext Cost"]) for r in lines.collect())
+    assert got == [("CL7158", "customer_order", "EF3", 2.0, 1.5, 3.0), ("FL2658", "customer_order", "GH4", 2.0, 1.0, 2.0),
+                   ("PA6502", "customer_order", "CD2", 4.0, 1000.5, 4002.0), ("X1", "confirmation", "AB000001", 5.0, 1.5, None),
+                   ("X1", "confirmation", "AB1", 3.0, 2.5, None)]
+    assert [r["path"].rsplit("/", 1)[1] for r in rejects.collect()] == ["misc.csv"]

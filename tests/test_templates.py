@@ -94,3 +94,42 @@ def test_ma0603_retail_per_page(spark):
                                "doc_id bigint, page_no int, row_no int, `UPC-A/EAN` string, `DESCRIPTION X` string, c string, d string")
     got = [(r["page_no"], r["DESCRIPTION"], r["Retail"]) for r in T.ma0603_retail(df).orderBy("page_no", "row_no").collect()]
     assert got == [(2, "Tree", "9.99"), (2, "Star", None), (3, "Owl", "5.55"), (3, "Fox", None)]
+
+
+def test_fl4494_headers_per_table(spark):
+    cols = "doc_id bigint, row_no int, SKU string, `Unit` string, `Unit.1` string, `Ord/` string, `Extended` string"
+    rows = []
+    for doc, third, fourth in ((1, "Retail", "Cost"), (2, "Cost", "Retail")):
+        rows += [(doc, 1, "Description", third, fourth, "Pcs", "Cost"),
+                 (doc, 2, "Tree lights A-B12", "9.99", "2.50", "4", "10.00"),
+                 (doc, 3, "UPC 412345678901", None, None, None, None),
+                 (doc, 4, None, None, None, None, None)]
+    rows += [(3, 1, "Other", "Retail", "Cost", "Pcs", "Cost"), (3, 2, "X AB1", "1", "1", "1", "1")]
+    got = {r["doc_id"]: r for r in T.fl4494(spark.createDataFrame(rows, cols)).collect()}
+    assert set(got) == {1, 2}
+    assert (got[1]["Product"], got[1]["UPC"], got[1]["Qty"], got[1]["Ext Cost"]) == ("AB12", "412345678901", 4.0, 10.0)
+    assert (got[1]["Unit Cost"], got[1]["Unit Retail"]) == (2.5, "9.99")
+    assert (got[2]["Unit Cost"], got[2]["Unit Retail"]) == (9.99, "2.50")
+
+
+def test_ma0603_all_pages(spark):
+    cols = ("doc_id bigint, page_no int, row_no int, `Style description / Vendor style` string, `Ordered qty` string, "
+            "`Unit cost` string, `Extended cost` string, `UPC-A/EAN` string, `DESCRIPTION OF GOODS` string")
+    rows = []
+    for doc in (1, 2):
+        rows += [(doc, 1, 1, "UPC-A/EAN", "Product", "Qty", "Unit Cost", "Ext Cost", "DESCRIPTION"),
+                 (doc, 1, 2, "4120", f"AB{doc}", "EA 2", "$1.5", "$3.0", "Tree"),
+                 (doc, 1, 3, "4121", None, None, None, None, "n"),
+                 (doc, 2, 1, "CD9", "EA 6", "2.0", "12.0", "4122", "UNIT RETAIL"),
+                 (doc, 2, 2, "not a style", "x", None, None, None, "n"),
+                 (doc, 2, 3, "EF1", "1", "1", "1", "4123", "7.99"),
+                 (doc, 3, 1, None, None, None, None, "4124", "Star"),
+                 (doc, 3, 2, None, None, None, None, None, "UNIT RETAIL")]
+    out = T.ma0603(spark.createDataFrame(rows, cols)).collect()
+    got = {(r["doc_id"], r["page_no"], r["row_no"]): (r["Product"], r["Qty"], r["UPC"], r["DESCRIPTION"], r["Retail"]) for r in out}
+    want = {}
+    for doc in (1, 2):
+        want |= {(doc, 1, 2): (f"AB{doc}", 2.0, "4120", "Tree", None), (doc, 1, 3): (f"AB{doc}", 2.0, "4121", "n", None),
+                 (doc, 2, 1): ("CD9", 6.0, "4122", "UNIT RETAIL", "7.99"), (doc, 2, 3): ("EF1", 1.0, "4123", "7.99", None),
+                 (doc, 3, 1): (None, None, "4124", "Star", None)}
+    assert got == want

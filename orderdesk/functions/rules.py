@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -73,3 +73,11 @@ def money_text(c, thousands: bool = True) -> Column:
 def parse_date(c) -> Column:
     """``to_datetime(errors='coerce')``: unparsable text becomes null."""
     return F.try_to_date(col(c).cast("string"))
+
+
+def fresh_key(df: DataFrame, key: str) -> DataFrame:
+    """The same rows under a computed text key, for the per-group side of a join
+    with rows. AQE splits a hot key only where both join sides are shuffled for
+    that join; an aggregate already lies by its key and would not be, but under
+    a computed key its few rows are shuffled once more."""
+    return df.withColumn(key, F.concat(F.col(key), F.lit("")))

@@ -33,24 +33,41 @@ def join_inventory(lines: DataFrame, inventory: DataFrame) -> DataFrame:
     return lines.join(inventory, lines["Product"] == inventory["Item"], "left")
 
 
-def unit_price(case_price, split_price, cases, p: OrderParams = OrderParams()):
+def unit_price(case_price, split_price, cases, p: OrderParams = OrderParams(), ticket=None, discount=None):
     """case price less discount plus ticket when whole cases are ordered,
-    else split price plus ticket; plus the rounding epsilon; half-up to cents."""
-    ticket = dec(p.ticket)
+    else split price plus ticket; plus the rounding epsilon; half-up to cents.
+    ``ticket`` and ``discount`` are columns where they differ by order set."""
+    ticket = dec(p.ticket) if ticket is None else ticket
+    discount = dec(p.discount) if discount is None else discount
     eps = dec(p.rounding_error)
-    by_case = F.col(case_price) * (F.lit(1).cast("decimal(1,0)") - dec(p.discount)) + ticket
+    by_case = F.col(case_price) * (F.lit(1).cast("decimal(1,0)") - discount) + ticket
     by_split = F.col(split_price) + ticket
     return F.round(F.when(truthy(cases > 0), by_case).otherwise(by_split) + eps, 2)
 
 
-def price_lines(lines: DataFrame, inventory: DataFrame, p: OrderParams = OrderParams()) -> DataFrame:
-    """C11: known order lines with case count, computed price and mismatch flag."""
-    j = join_inventory(lines, inventory).where(F.col("Status").isNotNull())
+def with_terms(lines: DataFrame, terms: DataFrame | None, p: OrderParams = OrderParams(),
+               keys: tuple[str, ...] = ("Customer",)) -> DataFrame:
+    """TICKET and DISCOUNT of each line's order set: ``terms`` has one row per
+    ``keys``; sets without a row (or with a null term) take the defaults of ``p``."""
+    if terms is None:
+        return lines.withColumns({"TICKET": dec(p.ticket), "DISCOUNT": dec(p.discount)})
+    set_terms = terms.select(*keys, F.col("TICKET").alias("_t"), F.col("DISCOUNT").alias("_d"))
+    money = "decimal(12,4)"
+    return lines.join(set_terms, list(keys), "left").withColumns({
+        "TICKET": F.coalesce(F.col("_t").cast(money), dec(p.ticket)),
+        "DISCOUNT": F.coalesce(F.col("_d").cast(money), dec(p.discount))}).drop("_t", "_d")
+
+
+def price_lines(lines: DataFrame, inventory: DataFrame, p: OrderParams = OrderParams(),
+                terms: DataFrame | None = None, keys: tuple[str, ...] = ("Customer",)) -> DataFrame:
+    """C11: known order lines with case count, computed price and mismatch
+    flag. ``terms`` gives ticket and discount per order set (``with_terms``)."""
+    j = join_inventory(with_terms(lines, terms, p, keys), inventory).where(F.col("Status").isNotNull())
     caseflag = F.try_mod(F.col("Qty"), F.col("CaseQty"))
     cases = F.when(caseflag == 0, F.floor(F.try_divide(F.col("Qty"), F.col("CaseQty"))))
-    j = j.withColumns({"TICKET": dec(p.ticket), "NO_CASE": cases.cast("bigint")})
-    j = j.withColumn("PRICE", unit_price("CasePrice", "SplitPrice", F.col("NO_CASE"), p))
-    return j.withColumn("FLAG", F.when(ne("PRICE", "Unit_Cost"), "!").otherwise("")).drop("Item")
+    j = j.withColumn("NO_CASE", cases.cast("bigint"))
+    j = j.withColumn("PRICE", unit_price("CasePrice", "SplitPrice", F.col("NO_CASE"), p, F.col("TICKET"), F.col("DISCOUNT")))
+    return j.withColumn("FLAG", F.when(ne("PRICE", "Unit_Cost"), "!").otherwise("")).drop("Item", "DISCOUNT")
 
 
 def unknown_items(lines: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -98,15 +115,28 @@ def union_orders(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def dummy_check(customer: DataFrame, dummy: DataFrame, code: str = CUSTOMER_CODE) -> DataFrame:
+def dummy_check(customer: DataFrame, dummy: DataFrame, code: str = CUSTOMER_CODE,
+                codes: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
     """Customer confirmations (Y-prefixed items, customer prefix removed)
     summed per product, full-joined with the dummy confirmation; FLAG=1 where
-    quantities differ or one side is missing."""
-    cust = (customer.where(S.first_chars("Product", 1) == "Y")
-            .withColumn("Product", S.remove_text("Product", "Y" + code)))
-    c = cust.where(F.col("Product").isNotNull()).groupBy("Product").agg(
+    quantities differ or one side is missing.
+
+    ``keys`` (present on both sides) keep orders apart: the comparison is per
+    keys and product. ``codes`` (Customer, CODE; one row per customer) looks
+    each customer's code up instead of the one ``code``; a customer without a
+    code keeps its products as written.
+    """
+    by = [*keys, "Product"]
+    cust = customer.where(S.first_chars("Product", 1) == "Y")
+    if codes is None:
+        cust = cust.withColumn("Product", S.remove_text("Product", "Y" + code))
+    else:
+        cust = cust.join(codes.select("Customer", F.col("CODE").alias("_code")), "Customer", "left").withColumn(
+            "Product", F.when(F.col("_code").isNull(), F.col("Product")).otherwise(
+                F.replace(F.col("Product"), F.concat(F.lit("Y"), F.col("_code")), F.lit(""))))
+    c = cust.where(F.col("Product").isNotNull()).groupBy(*by).agg(
         F.coalesce(F.sum("Ordered"), F.lit(0)).cast("bigint").alias("Ordered"))
-    d = dummy.where(F.col("Product").isNotNull()).groupBy("Product").agg(
+    d = dummy.where(F.col("Product").isNotNull()).groupBy(*by).agg(
         F.coalesce(F.sum("Dummy_Qty"), F.lit(0)).cast("bigint").alias("Dummy_Qty"))
-    j = d.join(c, "Product", "full")
+    j = d.join(c, by, "full")
     return j.withColumn("FLAG", flag(ne("Ordered", "Dummy_Qty")))

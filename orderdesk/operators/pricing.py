@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.rules import any_flag, flag, money_text, ne, ratio, truthy
+from ..functions.rules import any_flag, flag, fresh_key, money_text, ne, ratio, truthy
 from ..params import (FX_TABLE, LONGNAME_FIXES, NEW_YEARS, PHOTO_ITEM_LIMIT, FIRST_YEAR,
                       REPORT_YEAR, SEASON)
 from .windows import row_numbers
@@ -118,13 +118,12 @@ def vendor_directory(requested: DataFrame) -> DataFrame:
     return requested.select("SUPPLR", "Supplier_name", "EMAIL").distinct()
 
 
-def price_requests(items: DataFrame, contacts: DataFrame, fx: DataFrame,
-                   season: str = SEASON, photo_limit: int = PHOTO_ITEM_LIMIT) -> DataFrame:
+def request_rows(items: DataFrame, contacts: DataFrame, fx: DataFrame,
+                 season: str = SEASON, photo_limit: int = PHOTO_ITEM_LIMIT) -> DataFrame:
     """One request row per item of every vendor to ask.
 
     Cost is shown in the vendor's currency when its foreign cost differs;
-    photo links only for vendors with fewer than ``photo_limit`` items;
-    ROW_NO numbers items per vendor by PRODCT.
+    photo links only for vendors with fewer than ``photo_limit`` items.
 
     Every per-vendor figure (all-UNQ test, currency, item count) comes from
     one aggregation of the season's items: the vendor filters (inactive,
@@ -142,19 +141,41 @@ def price_requests(items: DataFrame, contacts: DataFrame, fx: DataFrame,
     per = per.join(unsent.groupBy("SUPPLR").agg(F.count(F.lit(1)).alias("_c")), "SUPPLR", "inner")
     per = name_currency(per, fx).select("SUPPLR", "DIFFERS", "CURR", "SYMBOL",
                                         (F.col("_items") * F.col("_c")).alias("N_ITEMS"))
-    out = prepared.join(unsent, "SUPPLR", "inner").join(per, "SUPPLR", "inner")
-    out = out.select(
+    out = prepared.join(unsent, "SUPPLR", "inner").join(fresh_key(per, "SUPPLR"), "SUPPLR", "inner")
+    return out.select(
         "SUPPLR", "Supplier_name", "EMAIL", "PRODCT", "STATUS", "ITEST",
         F.when(F.col("DIFFERS"), F.col("COST_FOR")).otherwise(F.col("COST")).cast("double").alias("COST"),
         F.when(F.col("DIFFERS"), F.col("CURR")).otherwise(F.lit("USD")).alias("CURR"),
         F.when(F.col("DIFFERS"), F.col("SYMBOL")).otherwise(F.lit("$")).alias("SYMBOL"),
         F.when(F.col("N_ITEMS") < photo_limit, S.photo_link("PRODCT")).alias("PHOTO"),
         "N_ITEMS")
-    return row_numbers(out, ["SUPPLR"], ["PRODCT"], "ROW_NO")
+
+
+def price_requests(items: DataFrame, contacts: DataFrame, fx: DataFrame,
+                   season: str = SEASON, photo_limit: int = PHOTO_ITEM_LIMIT) -> DataFrame:
+    """The request rows, ROW_NO numbering each vendor's items by PRODCT."""
+    return row_numbers(request_rows(items, contacts, fx, season, photo_limit), ["SUPPLR"], ["PRODCT"], "ROW_NO")
+
+
+def with_new_costs(requests: DataFrame, quotes: DataFrame) -> DataFrame:
+    """The request's new-price column and its change against the price
+    shown; both null until the vendor has quoted. Of several quotes of an item
+    the lowest counts."""
+    new = quotes.groupBy("SUPPLR", "PRODCT").agg(F.min("NEW_COST").cast("double").alias("NEW_COST"))
+    out = requests.join(new, ["SUPPLR", "PRODCT"], "left")
+    return out.withColumn("CHANGE", ratio("NEW_COST", "COST") - 1)
 
 
 # --- cover sheets ----------------------------------------------------------
 
+def reported_items(items: DataFrame, report: DataFrame, year: int = REPORT_YEAR) -> DataFrame:
+    """C7 with the report (C8): items and report rows of the vendors whose check
+    is no error; DATA_ISSUE names the side that an unmatched row came from."""
+    passed = report_check(items, report, year).where(F.col("STATUS") != "error").select("SUPPLR")
+    j = full_marker(items, report).join(passed, "SUPPLR", "left_semi")
+    return j.withColumn("DATA_ISSUE", F.when(F.col("MERGE") == "both", "").otherwise(F.col("MERGE"))).drop("MERGE")
+
+
 def cover_sheet(items: DataFrame, quotes: DataFrame, worklist: DataFrame | None = None) -> DataFrame:
     """Vendor items left-joined with the returned quotes (J4), percent
     change, price note by the first matching rule, origin marker, duplicate
@@ -162,16 +183,17 @@ def cover_sheet(items: DataFrame, quotes: DataFrame, worklist: DataFrame | None
 
     PRICE_NOTE: OUT (P/PP without stock) > UNQ (no quote, SELSTA UNQ) > old
     (no quote, in stock, P/PP: old foreign cost) > nan (no quote) > new.
+    ``items`` may be ``reported_items``, whose DATA_ISSUE is kept.
     """
     if worklist is not None:
-        items = items.join(worklist.select("SUPPLR").distinct(), "SUPPLR", "left_semi")
+        items = items.join(fresh_key(worklist.select("SUPPLR").distinct(), "SUPPLR"), "SUPPLR", "left_semi")
     q = quotes.select("SUPPLR", "PRODCT", "NEW_COST", "MOQ").withColumn("_quoted", F.lit(True))
     j = items.join(q, ["SUPPLR", "PRODCT"], "left")
     # duplicates count only among the vendor's own items, as after the join
     own = items.select("SUPPLR", "PRODCT").distinct()
     dup_keys = (q.join(own, ["SUPPLR", "PRODCT"], "left_semi").groupBy("SUPPLR", "PRODCT").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
                 .groupBy("SUPPLR").agg(F.lit(True).alias("HAS_DUP")))
-    j = j.join(dup_keys, "SUPPLR", "left").withColumn("HAS_DUP", F.coalesce("HAS_DUP", F.lit(False)))
+    j = j.join(fresh_key(dup_keys, "SUPPLR"), "SUPPLR", "left").withColumn("HAS_DUP", F.coalesce("HAS_DUP", F.lit(False)))
     pct = F.round(((ratio("NEW_COST", "COST_FOR") - 1) * 100).cast("decimal(18,6)"), 1)
     pp = truthy(F.col("STATUS").isin("P", "PP"))
     no_quote = F.col("NEW_COST").isNull()
@@ -192,7 +214,8 @@ def cover_sheet(items: DataFrame, quotes: DataFrame, worklist: DataFrame | None
          .when(n == "new", money_text("NEW_COST")).alias("PRICE_TEXT"),
         F.when(truthy(F.col("SELSTA") == "SO-NR") | (n == "UNQ") | F.col("_quoted").isNotNull(), "both")
          .otherwise("left_only").alias("ORIGIN"),
-        F.when(F.col("HAS_DUP"), flag(F.col("MOQ") == 0)).alias("SORT_KEY"))
+        F.when(F.col("HAS_DUP"), flag(F.col("MOQ") == 0)).alias("SORT_KEY"),
+        *[c for c in ("DATA_ISSUE",) if c in items.columns])
 
 
 def cover_flags(cover: DataFrame, reviewed: DataFrame | None = None) -> DataFrame:
@@ -238,7 +261,7 @@ def inactive_cover(items: DataFrame, contacts: DataFrame, season: str = SEASON)
     then 'OUT' (wins) for non-return items without stock."""
     prepared = prepare_items(items, season)
     vendors = inactive_vendors(prepared, listed_inactive(contacts))
-    rows = prepared.join(vendors, "SUPPLR", "left_semi")
+    rows = prepared.join(fresh_key(vendors, "SUPPLR"), "SUPPLR", "left_semi")
     text = (F.when(ne("ITEST", F.lit("R")) & truthy(F.col("QOH") <= 0), "OUT")
             .when(truthy(F.col("SELSTA") == "UNQ"), "UNQ")
             .otherwise(money_text("COST")))

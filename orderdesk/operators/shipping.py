@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.rules import any_flag, flag, ne, parse_date, ratio, truthy
+from ..functions.rules import any_flag, flag, fresh_key, ne, parse_date, ratio, truthy
 from ..params import TYPE_NAMES, ShippingParams
 from ..session import ensure_checkpoint_dir
 
@@ -213,7 +213,7 @@ def late_reminders(orders: DataFrame, p: ShippingParams = ShippingParams()) -> D
     """Late lines of suppliers that need attention, with their contact."""
     flagged = flag_lines(orders, p)
     attention = summarise_tracking(flagged).where(F.col("ATTN") > 0).select("SUPPLR")
-    return (flagged.join(attention, "SUPPLR", "left_semi")
+    return (flagged.join(fresh_key(attention, "SUPPLR"), "SUPPLR", "left_semi")
             .where(F.col("NEWCONDAT") < F.lit(p.as_of))
             .select("PURORD", "SUPPLR", "PRODCT", "ORDQTY", "OUTQTY", "CONDAT", "NEWCONDAT",
                     "TYPE", "LATE", "EMAIL"))
@@ -240,7 +240,7 @@ def contact_reminders(orders: DataFrame, p: ShippingParams = ShippingParams()) -
     """C4: reminder rows per contact; OUTQTY / NEWCONDAT are null where the
     reference drops the column for that contact."""
     cols = contact_columns(orders).drop("N_ROWS")
-    rows = orders.where(F.col("EMAIL").isNotNull()).join(cols, "EMAIL", "inner").select(
+    rows = orders.where(F.col("EMAIL").isNotNull()).join(fresh_key(cols, "EMAIL"), "EMAIL", "inner").select(
         "EMAIL", "PURORD", "SUPPLR", "PRODCT", "ORDQTY",
         F.when(F.col("SHOW_OUTQTY"), F.col("OUTQTY")).alias("OUTQTY"),
         "CONDAT",
@@ -275,12 +275,16 @@ def quality_counts(lines: DataFrame, contacts: DataFrame,
 # --- replies ---------------------------------------------------------------
 
 def read_messages(messages: DataFrame, since) -> DataFrame:
-    """B18 + F24 + F10/F11: messages after ``since`` with FCR flag and cut body."""
+    """B18 + F24 + F10/F11: messages after ``since`` with FCR flag and cut body.
+    ``attachment`` is one name or an array of names, any of which may say FCR."""
+    names = F.col("attachment")
+    fcr = F.exists(names, lambda n: n.contains("FCR")) if messages.schema["attachment"].dataType.typeName() == "array" \
+        else names.contains("FCR")
     return messages.where(F.col("receive") > F.lit(since)).select(
         "conv_id", "turn", "sender",
         F.when(F.instr(F.col("email"), "@") > 0, F.col("email")).otherwise(F.col("sender")).alias("email"),
         "receive",
-        F.when(truthy(F.col("attachment").contains("FCR")), 1).otherwise(0).alias("FCR"),
+        F.when(truthy(fcr), 1).otherwise(0).alias("FCR"),
         S.text_before("body").alias("body"),
     )
 
@@ -355,6 +359,11 @@ def shipments_raw(lines: DataFrame) -> DataFrame:
                         F.col("PRODCT").alias("item"))
 
 
+def records(rows: DataFrame) -> DataFrame:
+    """Each row as one JSON record (null fields included)."""
+    return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
+
+
 def shipping_grouped(ship: DataFrame) -> DataFrame:
     """Browser grouping: earliest contract date and late count per supplier."""
     return ship.groupBy("supplr").agg(F.min("condat").alias("condat"),

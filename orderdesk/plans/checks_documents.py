@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import contacts as K
 from ..operators import documents as D
+from ..operators import templates as T
+from ..sources import files
 from .registry import check
 
 
@@ -151,3 +153,110 @@ select SUPPLR, SUPPLRDES, EMAIL_x, EMAIL_y,
 from j""")
 def contact_audit(spark):
     return K.contact_audit(spark.table("v_vendor_listing"), spark.table("v_supplier_contacts"))
+
+
+# --- layouts: extracted rows of the order lines under each layout's headers ---
+
+ROWS = "(select * replace (cast(row_no as integer) as row_no) from v_extracted_rows) x"
+QTY = "replace(qty_text, 'EA ', '')"
+AMOUNT = "replace(ext_text, '$', '')"
+
+
+def _laid_out(spark, names: dict, where: str = "true"):
+    """v_extracted_rows with data columns named by a layout: header -> SQL text."""
+    return _rows(spark).where(where).select("doc_id", "row_no", *[F.expr(e).alias(c) for c, e in names.items()])
+
+
+@check("order_lines_fl2658", f"""select doc_id, row_no, style as Product, cast({QTY} as double) as Qty,
+ cast({AMOUNT} as double) as "Unit Cost", cast('1' || {AMOUNT} as double) as "Ext Cost"
+from {ROWS} where style is not null and row_no % 4 <> 0""")
+def order_lines_fl2658(spark):
+    return T.fl2658(_laid_out(spark, {"ITEM NO.": "style", "QTY": QTY, "Unit Price": "case when row_no % 4 <> 0 then ext_text end",
+                                      "SubTotal": "replace(ext_text, '$', '$1,')"}))
+
+
+@check("order_lines_pa1683", f"""select doc_id, row_no, style as Product, {QTY} as Qty,
+ cast({AMOUNT} as double) as "Unit Cost", case when row_no % 7 <> 0 then cast('1' || {AMOUNT} as double) end as "Ext Cost"
+from {ROWS} where style is not null and row_no % 5 <> 0""")
+def order_lines_pa1683(spark):
+    return T.pa1683(_laid_out(spark, {
+        "TEXT": "upc_text", "SUPPLIER #": "style", "QTY": f"case when row_no % 5 <> 0 then {QTY} end", "PRICE/UN": "ext_text",
+        "AMOUNT": "case when row_no % 7 = 0 then 'n/a' else replace(ext_text, '$', '$1,') end"}))
+
+
+@check("order_lines_az1239", f"""with d as (select distinct doc_id from {ROWS} where style <> 'Total: n/a')
+select doc_id, row_no, style as Product, cast({QTY} as double) as Qty, cast({AMOUNT} as double) as "Unit Cost",
+ cast('1' || {AMOUNT} as double) as "Ext Cost"
+from {ROWS} where style is not null and doc_id in (select doc_id from d)""")
+def order_lines_az1239(spark):
+    """The item column stands in another place in every second document."""
+    return T.az1239(_laid_out(spark, {
+        "c0": "case when doc_id % 2 = 0 then style else 'lights' end", "c1": "case when doc_id % 2 = 0 then 'lights' else style end",
+        "c2": f"{QTY} || 'EaOnly'", "c3": "replace(ext_text, '$', '')", "c4": "replace(ext_text, '$', '1,')"}))
+
+
+FL_TEXT = "case when row_no % 2 = 1 then 'Tree ' || style else upc_text end"
+
+
+@check("order_lines_fl4494", f"""with p as (select *, regexp_extract({FL_TEXT}, '(\\S+)$', 1) as Product,
+  {FL_TEXT} as Description from {ROWS}),
+u as (select *, coalesce(regexp_extract(lead(Product, 1) over w, '(\\d+)', 1), '') as U1,
+  coalesce(regexp_extract(lead(Product, 2) over w, '(\\d+)', 1), '') as U2,
+  coalesce(regexp_extract(lead(Product, 3) over w, '(\\d+)', 1), '') as U3
+  from p window w as (partition by doc_id order by row_no)),
+v as (select *, case when length(U2) > length(U1) then U2 else U1 end as U12 from u)
+select doc_id, row_no, Description, case doc_id % 2 when 0 then {AMOUNT} else '1' || {AMOUNT} end as "Unit Retail", Product,
+ case when length(U3) > length(U12) then U3 else U12 end as UPC, cast({QTY} as double) as Qty,
+ cast(case doc_id % 2 when 0 then '1' || {AMOUNT} else {AMOUNT} end as double) as "Unit Cost", cast({AMOUNT} as double) as "Ext Cost"
+from v where regexp_matches(Product, '\\b[A-Z][A-Z0-9]+$')""")
+def order_lines_fl4494(spark):
+    """Two of the headers change places from document to document."""
+    body = _laid_out(spark, {"SKU": FL_TEXT, "Unit": AMOUNT, "Unit.1": f"'1' || {AMOUNT}", "Ord/": QTY, "Extended": AMOUNT})
+    heads = _rows(spark).select("doc_id").distinct().select(
+        "doc_id", F.lit(0).alias("row_no"), F.lit("Description").alias("SKU"),
+        F.expr("case doc_id % 2 when 0 then 'Retail' else 'Cost' end").alias("Unit"),
+        F.expr("case doc_id % 2 when 0 then 'Cost' else 'Retail' end").alias("Unit.1"),
+        F.lit("Pcs").alias("Ord/"), F.lit("Cost").alias("Extended"))
+    return T.fl4494(heads.unionByName(body))
+
+
+MA_TEXT = "case when row_no % 4 = 0 then 'UNIT RETAIL' else 'R' || cast(row_no as string) end"
+MA_COLUMNS = ("Style description / Vendor style", "Ordered qty", "Unit cost", "Extended cost", "UPC-A/EAN", "DESCRIPTION OF GOODS")
+
+
+@check("order_lines_ma0603", f"""with p as (select *, case when row_no <= 3 then 1 else 2 end as page_no, {MA_TEXT} as txt from {ROWS}),
+f as (select *, last_value(style ignore nulls) over w as item, bool_or(style is not null) over t as has_item,
+  bool_or(txt = 'UNIT RETAIL') over t as marked, lead(txt, 2) over (partition by doc_id, page_no order by row_no) as ahead
+  from p window t as (partition by doc_id, page_no),
+   w as (partition by doc_id, page_no order by row_no rows between unbounded preceding and current row))
+select doc_id, page_no, row_no, item as Product, cast({QTY} as double) as Qty, cast({AMOUNT} as double) as "Unit Cost",
+ cast('1' || {AMOUNT} as double) as "Ext Cost", cast(null as varchar) as "Unit retail", upc_text as UPC, txt as DESCRIPTION,
+ case when marked then ahead end as Retail
+from f where case when has_item then regexp_full_match(item, '[A-Z0-9]{{1,9}}') else upc_text is not null end""")
+def order_lines_ma0603(spark):
+    """Page 1 names its columns in its first row (cost before quantity); page 2 is named."""
+    page = "case when row_no <= 3 then 1 else 2 end"
+    cells = ["style", "case when row_no <= 3 then ext_text else qty_text end", "case when row_no <= 3 then qty_text else ext_text end",
+             "replace(ext_text, '$', '$1')", "upc_text", MA_TEXT]
+    body = _rows(spark).select("doc_id", F.expr(page).alias("page_no"), "row_no",
+                               *[F.expr(e).alias(c) for c, e in zip(MA_COLUMNS, cells)])
+    first = ["Product", "Unit Cost", "Qty", "Ext Cost", "UPC-A/EAN", "DESCRIPTION"]
+    heads = _rows(spark).select("doc_id").distinct().select(
+        "doc_id", F.lit(1).alias("page_no"), F.lit(0).alias("row_no"), *[F.lit(t).alias(c) for c, t in zip(MA_COLUMNS, first)])
+    return T.ma0603(heads.unionByName(body))
+
+
+PATHS = """select '/so/' || case o_custkey % 3 when 0 then 'FL4494' when 1 then 'NV0356' else 'X' || cast(o_custkey as string) end || '/' ||
+ case o_orderkey % 4 when 0 then 'Order_Confirmation_P' when 1 then 'PO_' when 2 then 'Xerox Scan ' else 'misc ' end ||
+ cast(o_orderkey as string) || case o_orderkey % 7 when 0 then '.pdf' when 1 then '.xml' when 2 then '.csv' when 3 then '.xlsx'
+ when 4 then '.XLS' when 5 then '.txt' else '.CSV' end as path from orders"""
+
+
+@check("route_roles", f"""with f as ({PATHS}), e as (select path, lower(path) as p, string_split(path, '/')[-2] as customer_id,
+  lower(string_split(path, '.')[-1]) as ext from f),
+r as (select *, case ext when 'pdf' then 'extracted' when 'xml' then 'xml' when 'csv' then 'csv' when 'xlsx' then 'sheet'
+  when 'xls' then 'sheet' end as reader from e)
+select path, customer_id, ext, case when reader is null then 'reject' when contains(p, 'order_confirmation') then 'confirmation'
+ when contains(p, 'po') then 'customer_order' when contains(p, 'xerox scan') then 'memo' else 'reject' end as role, reader from r""")
+def route_roles(spark):
+    return files.route_documents(spark.sql(PATHS))

@@ -141,3 +141,41 @@ select coalesce(d.Product, c.Product) as Product, d.Dummy_Qty, c.Ordered,
 from d full join c on d.Product = c.Product""")
 def dummy_check(spark):
     return O.dummy_check(spark.table("v_customer_confirmations"), spark.table("v_dummy_confirmation"))
+
+
+TERMS = """select c_custkey as Customer, cast(0.10 + (c_custkey % 5) * 0.05 as decimal(12,4)) as TICKET,
+ cast(case c_custkey % 3 when 0 then 0.10 when 1 then 0.20 else 0.25 end as decimal(12,4)) as DISCOUNT
+from customer where c_custkey % 4 <> 0"""
+
+PRICED_TERMS = f"""terms as ({TERMS}),
+sets as (select l.*, coalesce(t.TICKET, 0.25) as TICKET, coalesce(t.DISCOUNT, 0.20) as DISCOUNT
+  from v_customer_po_lines l left join terms t on l.Customer = t.Customer),
+""" + (PRICED.replace("v_customer_po_lines l", "sets l").replace(", cast('0.25' as decimal(12,4)) as TICKET", "")
+       .replace("cast('0.25' as decimal(12,4))", "TICKET").replace("cast('0.20' as decimal(12,4))", "DISCOUNT").lstrip())
+
+
+@check("price_check_terms", f"with {PRICED_TERMS} select {CHECKED_OUT} from checked")
+def price_check_terms(spark):
+    return O.outlet(O.price_lines(_lines(spark), _inv(spark), P, spark.sql(TERMS)))
+
+
+CODES = """select c_custkey as Customer, case c_custkey % 2 when 0 then 'KX' else 'QM' end as CODE
+from customer where c_custkey % 10 <> 7"""
+SET_LINES = """select o_custkey as Customer, l_orderkey as PO,
+ case when l_partkey % 8 = 0 then 'N' else 'Y' || case o_custkey % 2 when 0 then 'KX' else 'QM' end end || 'P' || lpad(cast(l_partkey as string), 6, '0') as Product,
+ cast(l_quantity as int) as Ordered from lineitem join orders on l_orderkey = o_orderkey"""
+SET_DUMMY = """select o_custkey as Customer, l_orderkey as PO, 'P' || lpad(cast(l_partkey as string), 6, '0') as Product,
+ cast(l_quantity as int) + case when l_partkey % 10 = 0 then 1 else 0 end as Dummy_Qty
+from lineitem join orders on l_orderkey = o_orderkey where l_partkey % 25 <> 3"""
+
+
+@check("dummy_check_orders", f"""with codes as ({CODES}), cl as ({SET_LINES}), dl as ({SET_DUMMY}),
+c as (select x.Customer, PO, case when CODE is null then Product else replace(Product, 'Y' || CODE, '') end as Product,
+   cast(sum(Ordered) as bigint) as Ordered
+  from cl x left join codes on x.Customer = codes.Customer where Product like 'Y%' group by all),
+d as (select Customer, PO, Product, cast(sum(Dummy_Qty) as bigint) as Dummy_Qty from dl group by all)
+select coalesce(c.Customer, d.Customer) as Customer, coalesce(c.PO, d.PO) as PO, coalesce(c.Product, d.Product) as Product,
+ Dummy_Qty, Ordered, case when coalesce(Ordered <> Dummy_Qty, true) then 1 else 0 end as FLAG
+from c full join d on c.Customer = d.Customer and c.PO = d.PO and c.Product = d.Product""")
+def dummy_check_orders(spark):
+    return O.dummy_check(spark.sql(SET_LINES), spark.sql(SET_DUMMY), codes=spark.sql(CODES), keys=("Customer", "PO"))

@@ -311,3 +311,28 @@ def pct_change(spark):
 @check("photo_link", f"select Item, {PHOTO.replace('PRODCT', 'Item')} as PHOTO from v_inventory")
 def photo_link(spark):
     return spark.table("v_inventory").select("Item", S.photo_link("Item").alias("PHOTO"))
+
+
+@check("price_change_form", f"""with {PREP}, {REQUESTS},
+best as (select SUPPLR, PRODCT, cast(min(NEW_COST) as double) as NEW_COST from v_vendor_quotes group by all)
+select r.*, b.NEW_COST, b.NEW_COST / nullif(r.COST, 0) - 1 as CHANGE
+from requests r left join best b on r.SUPPLR = b.SUPPLR and r.PRODCT = b.PRODCT""")
+def price_change_form(spark):
+    return PR.with_new_costs(PR.price_requests(_items(spark), _contacts(spark), PR.fx_table(spark)), _quotes(spark))
+
+
+COVER_REPORT = COVER.replace("witems as (select * from v_catalog_items i", "witems as (select * from ri i").replace(
+    "as SORT_KEY", "as SORT_KEY, DATA_ISSUE")
+
+
+@check("cover_report", f"""with {REPORT},
+bad as (select SUPPLR, count(*) filter (where MERGE <> 'both') as n,
+  arg_min_null(SEASON, PRODCT) filter (where MERGE <> 'both') as first_season,
+  coalesce(bool_or(MERGE <> 'both' and ITEST = 'R'), false) as returns from fm group by SUPPLR),
+ri as (select fm.* exclude (MERGE), case when MERGE = 'both' then '' else MERGE end as DATA_ISSUE from fm
+  where SUPPLR in (select SUPPLR from bad where n = 0 or (coalesce(first_season <> '25', true) and not returns))),
+{COVER_REPORT}
+select * from cover""")
+def cover_report(spark):
+    wl = PR.cover_worklist(_contacts(spark), _covered(spark))
+    return PR.cover_sheet(PR.reported_items(_items(spark), _report(spark)), _quotes(spark), wl)

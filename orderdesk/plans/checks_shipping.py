@@ -227,6 +227,12 @@ def shipments_raw(spark):
     return SH.shipments_raw(_lines(spark))
 
 
+@check("shipment_records", """select cast(to_json(struct_pack(purord := PURORD, supplr := SUPPLR, item := PRODCT)) as varchar) as record
+from v_open_po_lines""")
+def shipment_records(spark):
+    return SH.records(SH.shipments_raw(_lines(spark)))
+
+
 SHIP_EARLIER = SHIP.replace("ship as (", "ship_earlier as (").replace("date '1998-06-15'", "date '1998-05-15'")
 
 

@@ -16,7 +16,7 @@ from .views_sql import VIEW_SQL
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
-USED_TABLES = ("supplier", "part", "orders", "lineitem", "conversations")
+USED_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "conversations")
 
 
 

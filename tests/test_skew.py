@@ -5,7 +5,10 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
+from orderdesk.operators import pricing as PR
 from orderdesk.operators import shipping as SH
 from orderdesk.params import ShippingParams
 
@@ -114,3 +117,55 @@ def test_one_pass_tracking_summary_matches_composed(spark):
     one = SH.tracking_summary_from_lines(lines, cdf, P)
     key = lambda r: tuple(r[c] for c in ("SUPPLR", "EMAIL", "NEWCONDAT", "LATE", "ATTN", "Z_ITEMS"))
     assert sorted(map(key, composed.collect())) == sorted(map(key, one.collect()))
+
+
+@pytest.fixture(scope="module")
+def hot_vendor_jobs(spark):
+    """Job -> function making its DataFrame, over rows of which one vendor holds two thirds."""
+    n = 8000
+
+    def vendor(i):
+        return "HOT" if i < 2 * n // 3 else f"V{i % 40}"
+
+    items = spark.createDataFrame(
+        [(vendor(i), f"P{i:06d}", "Vendor", "24", "", "P", "N", i % 50 - 5, 1.0 + i % 7, 7.0 + i % 9) for i in range(n)],
+        "SUPPLR string, PRODCT string, Supplier_name string, SEASON string, SELSTA string, STATUS string, ITEST string, "
+        "QOH int, COST double, COST_FOR double").withColumns(
+        {c: F.col(c).cast("decimal(12,2)") for c in ("COST", "COST_FOR")}).repartition(8)
+    quotes = items.select("SUPPLR", "PRODCT", F.col("COST_FOR").alias("NEW_COST"), F.col("QOH").alias("MOQ"))
+    contacts = spark.createDataFrame([("HOT", "a@x")] + [(f"V{i}", f"v{i}@x") for i in range(40)], "SUPPLR string, EMAIL string")
+    contacts = contacts.selectExpr("*", "'' as SENT", "'' as OUT", "1 as REVIEWED", "0 as PRINTED", "'USD' as EXCHANGE_RATE")
+    lines = spark.createDataFrame(
+        [(i, vendor(i), f"P{i}", 10.0, 5, 1.0, f"1998-05-{i % 28 + 1:02d}", f"1998-05-{i % 27 + 1:02d}", 10, "S") for i in range(n)],
+        SCHEMA).repartition(8)
+
+    def cover():
+        none = spark.createDataFrame([("Z",)], "SUPPLR string")
+        return PR.cover_sheet(items, quotes, PR.cover_worklist(contacts, none))
+
+    return {"cover_sheet": cover, "cover_flags": lambda: PR.cover_flags(cover()),
+            "price_requests": lambda: PR.request_rows(items, contacts, PR.fx_table(spark)),
+            "open_orders": lambda: SH.open_orders(lines, contacts),
+            "late_reminders": lambda: SH.late_reminders(SH.open_orders(lines, contacts)),
+            "contact_reminders": lambda: SH.contact_reminders(SH.open_orders(lines, contacts)),
+            "tracking_summary": lambda: SH.tracking_summary(SH.open_orders(lines, contacts))}
+
+
+@pytest.mark.parametrize("job", ["cover_sheet", "cover_flags", "price_requests", "open_orders", "late_reminders",
+                                 "contact_reminders", "tracking_summary"])
+def test_hot_vendor_is_split_in_the_final_plan(spark, hot_vendor_jobs, job):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = hot_vendor_jobs[job]()
+        assert len(out.collect()) > 0
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "skew=true" in plan.split("Initial Plan")[0], plan[:2000]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

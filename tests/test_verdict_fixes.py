@@ -36,3 +36,36 @@ def test_missing_contact_keeps_null_and_blank_mail(spark):
     from orderdesk.operators import orders as O
     df = spark.createDataFrame([("a@b.c", "A"), (None, "B"), ("", "C"), ("  ", "D")], "EMAIL string, Product string")
     assert sorted(r["Product"] for r in O.missing_contact(df).collect()) == ["B", "C", "D"]
+
+
+def test_terms_per_order_set(spark):
+    from orderdesk.operators import orders as O
+    lines = spark.createDataFrame([(1, 7, "A", 6, 1.0), (2, 8, "A", 6, 1.0), (3, 9, "A", 6, 1.0)],
+                                  "PO int, Customer int, Product string, Qty int, Unit_Cost double")
+    inv = spark.createDataFrame([("A", "A", 100, 6, 10.0, 20.0)],
+                                "Item string, Status string, NETAVAIL int, CaseQty int, CasePrice double, SplitPrice double")
+    inv = inv.withColumns({c: F.col(c).cast("decimal(12,2)") for c in ("CasePrice", "SplitPrice")})
+    terms = spark.createDataFrame([(7, 1.0, 0.5), (8, 0.0, None)], "Customer int, TICKET double, DISCOUNT double")
+    got = {r["PO"]: float(r["PRICE"]) for r in O.price_lines(lines, inv, terms=terms).collect()}
+    assert got == {1: 6.0, 2: 8.0, 3: 8.25}
+
+
+def test_dummy_check_keeps_orders_and_codes_apart(spark):
+    from orderdesk.operators import orders as O
+    cust = spark.createDataFrame([(1, 10, "YKXP1", 5), (1, 11, "YKXP1", 6), (2, 12, "YAAP1", 7), (3, 13, "YZZP1", 1)],
+                                 "Customer int, PO int, Product string, Ordered int")
+    dummy = spark.createDataFrame([(1, 10, "P1", 5), (1, 11, "P1", 7), (2, 12, "P1", 7)],
+                                  "Customer int, PO int, Product string, Dummy_Qty int")
+    codes = spark.createDataFrame([(1, "KX"), (2, "AA")], "Customer int, CODE string")
+    got = {(r["PO"], r["Product"], r["FLAG"]) for r in O.dummy_check(cust, dummy, codes=codes, keys=("Customer", "PO")).collect()}
+    assert got == {(10, "P1", 0), (11, "P1", 1), (12, "P1", 0), (13, "YZZP1", 1)}
+
+
+def test_any_of_several_attachments(spark):
+    from orderdesk.operators import shipping as SH
+    msgs = spark.createDataFrame([(1, 1, "s", "a@b", dt.date(2024, 2, 1), ["x.txt", "FCR_1.pdf"], "t"),
+                                  (1, 2, "s", "a@b", dt.date(2024, 2, 1), ["x.txt", None], "t"),
+                                  (1, 3, "s", "a@b", dt.date(2024, 2, 1), None, "t")],
+                                 "conv_id int, turn int, sender string, email string, receive date, attachment array<string>, body string")
+    got = {r["turn"]: r["FCR"] for r in SH.read_messages(msgs, dt.date(2024, 1, 1)).collect()}
+    assert got == {1: 1, 2: 0, 3: 0}

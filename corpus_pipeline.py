@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderdesk.llm import decontam, piece, queries, secrets, simhash, toxicity
-from orderdesk.llm.common import materialise, read
+from orderdesk.llm.common import free_name, materialise, read
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go (the model learns from the labelled rows of its own input)."""
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, "_toxicity").where(F.col("_toxicity") < 0.5).drop("_toxicity")
+    score = free_name(docs, "_toxicity")
+    return toxicity.score(docs, model, score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

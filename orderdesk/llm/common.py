@@ -38,6 +38,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def add_columns(df: DataFrame, fn: Callable[..., Sequence[pa.Array]], inputs: Sequence[str],
                 outputs: Sequence[tuple[str, T.DataType]], keep: Sequence[str] | None = None) -> DataFrame:
     """Append ``outputs`` computed batch by batch from the Arrow arrays of ``inputs``.
@@ -49,7 +57,7 @@ def add_columns(df: DataFrame, fn: Callable[..., Sequence[pa.Array]], inputs: Se
     new = [n for n, _ in outputs]
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(n, t) for n, t in outputs])
-    slots = [f"_in{i}" for i in range(len(inputs))]
+    slots = [free_name(df, f"_in{i}") for i in range(len(inputs))]
     narrow = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(s) for c, s in zip(inputs, slots)])
     arrow = to_arrow_schema(schema)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, text_of
+from .common import add_columns, free_name, text_of
 
 WINDOW = 8
 #: Items with fewer template tokens are not looked for.
@@ -183,7 +183,7 @@ def match(docs: DataFrame, benchmark: DataFrame, column: str = "leaks", keep=Non
             bench = Bench(shared.value)
             return lambda texts: [bench.find([t or "" for t in texts.to_pylist()])]
 
-        name = f"_leaks{len(found)}"
+        name = free_name(out, f"_leaks{len(found)}")
         out = add_columns(out, build, ["text"], [(name, HIT)], None if keep is None else [*dict.fromkeys([*kept, "text", *found])])
         found.append(name)
     merged = F.flatten(F.array(*[F.col(c) for c in found])) if found else F.array().cast(HIT)
@@ -198,4 +198,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that contain a benchmark item."""
-    return match(docs, benchmark, "_leaks").where(F.size("_leaks") == 0).drop("_leaks")
+    column = free_name(docs, "_leaks")
+    return match(docs, benchmark, column).where(F.size(column) == 0).drop(column)

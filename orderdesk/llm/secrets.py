@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import free_name, materialise, text_of
 
 KINDS = ("assign", "access", "hex", "other")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -121,21 +121,22 @@ def redact(docs: DataFrame, repo: str = "doc_id", owner: str = "source", max_own
            stand_in: str = "[SECRET]") -> DataFrame:
     """``docs`` with the values that look live replaced by ``stand_in`` (n_chars follows); all rows and columns stay."""
     found = materialise(scan(docs, repo, owner), "spans")
-    live = judged(found, max_owners).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.array_sort(F.transform(
-        F.filter("marks", lambda m: m["live"]), lambda m: F.struct(m["from"].alias("from"), m["end"].alias("end")))).alias("_cut"))
-    live = live.where(F.size("_cut") > 0)
+    own, th, cut = (free_name(docs, c) for c in ("_id", "_th", "_cut"))
+    live = judged(found, max_owners).select(F.col("doc_id").alias(own), F.col("th").alias(th), F.array_sort(F.transform(
+        F.filter("marks", lambda m: m["live"]), lambda m: F.struct(m["from"].alias("from"), m["end"].alias("end")))).alias(cut))
+    live = live.where(F.size(cut) > 0)
     text = text_of()
-    rows = docs.join(live, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_th")), "left")
+    rows = docs.join(live, docs["doc_id"].eqNullSafe(F.col(own)) & (F.xxhash64(text) == F.col(th)), "left")
 
     def step(acc, m):
         piece = F.when(m["from"] >= acc["pos"], F.concat(
             acc["out"], F.substring(F.col("text"), acc["pos"] + 1, m["from"] - acc["pos"]), F.lit(stand_in))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["pos"], m["end"]).alias("pos"), piece.alias("out"))
 
-    clean = F.aggregate("_cut", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step,
+    clean = F.aggregate(cut, F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step,
                         lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["pos"] + 1, F.char_length("text"))))
-    rows = rows.withColumn("text", F.when(F.col("_cut").isNotNull(), clean).otherwise(F.col("text")))
+    rows = rows.withColumn("text", F.when(F.col(cut).isNotNull(), clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_cut").isNotNull(), F.char_length("text").cast(
+        rows = rows.withColumn("n_chars", F.when(F.col(cut).isNotNull(), F.char_length("text").cast(
             docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, materialise, text_of, token_bytes
+from .common import add_columns, free_name, materialise, text_of, token_bytes
 from .graph import components
 
 CHUNK = 1 << 16
@@ -136,8 +136,9 @@ def survivors(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame
     grouped = cluster(prints.select("fp").distinct(), distance)
     first = prints.join(grouped, "fp").groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("one"))
-    chosen = first.select(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th")).distinct()
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_th")), "left_semi")
+    own, th = free_name(docs, "_id"), free_name(docs, "_th")
+    chosen = first.select(F.col("one.doc_id").alias(own), F.col("one.th").alias(th)).distinct()
+    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col(own)) & (F.xxhash64(text) == F.col(th)), "left_semi")
     rest = [c for c in docs.columns if c != "doc_id"]
     one = kept.groupBy("doc_id", F.xxhash64(text).alias("_th")).agg(
         F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_row"))

@@ -3,9 +3,15 @@
 Text and benchmark items are turned into templates: numbers, names and units
 become typed placeholders, other words are lower case. Windows of template
 tokens are joined by hash; the windows of one item that match along one
-alignment are checked slot by slot: each value of the item must stand for one
-value of the document and the other way round. So a question whose numbers or
-names were replaced throughout is found as well as a verbatim copy.
+alignment, or along shifts near it, are checked slot by slot: each value of the
+item must stand for one value of the document and the other way round. So a
+question whose numbers or names were replaced throughout is found as well as a
+verbatim copy.
+
+A capital at a sentence start may be a name or not. Texts and items are read in
+up to three ways (no such word is a name; those the benchmark block never writes
+in lower case; also those the text writes with a capital inside a sentence), and
+any reading of an item may match any reading of a text.
 
 The benchmark is taken in blocks of bounded size, each sent to the tasks as a
 table of window hashes; documents never move.
@@ -27,41 +33,63 @@ WINDOW = 8
 #: Items with fewer template tokens are not looked for.
 LEAST_TOKENS = 5
 COVERAGE = 0.5
+#: Shifts so close to an alignment belong to it (words put in or left out).
+DRIFT = 8
 BLOCK_CHARS = 8_000_000
 CACHE_WORDS = 200_000
-TOKEN = re.compile(r"[.!?:;\n\"“”]|\w+")
+# a number with its separators is one token
+TOKEN = re.compile(r"[.!?:;\n\"“”]|\d+(?:[.,]\d+)+\w*|\w+")
 # fixed values: unit words that stand after a number
 UNITS = frozenset("""kg g mg lb lbs oz t km m cm mm mi mile miles ft feet inch inches yd s sec second seconds min minute
 minutes h hr hour hours day days week weeks month months year years l ml litre litres liter liters gallon gallons percent
 dollar dollars usd euro euros eur cent cents mph kmh kph hz khz mhz ghz w kw mw v volt volts a amp amps j kj cal kcal
 n pa kpa degree degrees c f k b kb mb gb tb""".split())
 NUMBER, NAME, UNIT = 1, 2, 3
-BREAK, CAPITAL, DIGITS, MEASURE = 1, 2, 4, 8
+BREAK, CAPITAL, DIGITS, MEASURE, LOWER = 1, 2, 4, 8, 16
 HIT = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("coverage", T.DoubleType()),
                                 T.StructField("same_values", T.BooleanType()), T.StructField("start", T.IntegerType()),
                                 T.StructField("end", T.IntegerType())]))
 
 
-def _flags(token: str) -> int:
+def _after(mask: np.ndarray) -> np.ndarray:
+    """The mask one place to the right."""
+    out = np.zeros(len(mask), dtype=bool)
+    out[1:] = mask[:-1]
+    return out
+
+
+def _flags(token: str, low: str) -> int:
     if not (token[0].isalnum() or token[0] == "_"):
         return BREAK
     return ((CAPITAL if token[0].isupper() and not token[1:].isupper() else 0) | (DIGITS if token[0].isdigit() else 0)
-            | (MEASURE if token.lower() in UNITS else 0))
+            | (MEASURE if low in UNITS else 0))
 
 
 def canonical(word: np.ndarray, flags: np.ndarray):
-    """Template ids and the token index of each, from word ids and flags in text order."""
+    """The readings of a text: template ids and the token index of each, from word ids and flags in text order."""
     real = np.flatnonzero((flags & BREAK) == 0)
     if not len(real):
-        return np.zeros(0, dtype=np.int64), real
-    f, ids = flags[real], word[real].copy()
-    starts = np.r_[True, np.diff(real) > 1]
+        return [(np.zeros(0, dtype=np.int64), real)]
+    f, base = flags[real], word[real].copy()
+    starts = np.ones(len(real), dtype=bool)
+    starts[1:] = real[1:] - real[:-1] > 1
     digits = (f & DIGITS) > 0
-    name = ((f & CAPITAL) > 0) & ~starts & ~digits
-    unit = ((f & MEASURE) > 0) & np.r_[False, digits[:-1]] & ~starts
-    ids[digits], ids[name], ids[unit] = NUMBER, NAME, UNIT
-    stay = ~(name & np.r_[False, name[:-1]] & ~starts)  # words of one name are one slot
-    return ids[stay], real[stay]
+    capital = ((f & CAPITAL) > 0) & ~digits
+    inside, first = capital & ~starts, capital & starts
+    unit = ((f & MEASURE) > 0) & _after(digits) & ~starts
+    rare = first & ((f & LOWER) == 0)
+    also = first & np.isin(base, base[inside & (base > 0)]) if inside.any() else rare
+    names = [inside]
+    for more in (rare, rare | also):
+        if (inside | more).sum() > names[-1].sum():
+            names.append(inside | more)
+    out = []
+    for name in names:
+        ids = base.copy()
+        ids[digits], ids[name], ids[unit] = NUMBER, NAME, UNIT
+        stay = ~(name & _after(name) & ~starts)  # words of one name are one slot
+        out.append((ids[stay], real[stay]))
+    return out
 
 
 def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
@@ -75,6 +103,26 @@ def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def known_windows(ids: np.ndarray, n: int):
+    """Places and hashes of the windows whose words all occur in the benchmark (no other window can match)."""
+    edge = np.ones(len(ids) + 2, dtype=bool)
+    edge[1:-1] = ids == 0
+    gap = np.flatnonzero(edge)
+    length = gap[1:] - gap[:-1] - 1
+    runs = np.flatnonzero(length >= n)
+    if not len(runs):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    size = length[runs] - n + 1
+    total = np.cumsum(size)
+    at = np.repeat(gap[runs] - total + size, size) + np.arange(total[-1])
+    out = np.zeros(len(at), dtype=np.uint64)
+    u = ids.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    for j in range(n):
+        out = (out ^ u[at + j]) * np.uint64(0xBF58476D1CE4E5B9)
+        out ^= out >> np.uint64(29)
+    return at, out
+
+
 class Bench:
     """Templates of one block of benchmark items and their window hashes."""
 
@@ -82,17 +130,21 @@ class Bench:
         self.vocab: dict[str, int] = {}
         self.memo: dict[str, int] = {}
         self.items, by_size = [], defaultdict(lambda: defaultdict(list))
-        for item, text in items:
-            tokens = TOKEN.findall(text)
+        self.lower: set[str] = set()
+        texts = [(item, TOKEN.findall(text)) for item, text in items]
+        for _, tokens in texts:
             for t in tokens:
                 self.vocab.setdefault(t.lower(), len(self.vocab) + 4)
-            ids, at = self.template(tokens)
-            if len(ids) < LEAST_TOKENS:
-                continue
-            n, k = min(WINDOW, len(ids)), len(self.items)
-            self.items.append((item, [tokens[i] for i in at], ids, n))
-            for q, h in enumerate(window_hashes(ids, n).tolist()):
-                by_size[n][h].append((k, q))
+                if t.islower():
+                    self.lower.add(t)
+        for item, tokens in texts:
+            for ids, at in self.readings(tokens):
+                if len(ids) < LEAST_TOKENS:
+                    continue
+                n, k = min(WINDOW, len(ids)), len(self.items)
+                self.items.append((item, [tokens[i] for i in at], ids, n))
+                for q, h in enumerate(window_hashes(ids, n).tolist()):
+                    by_size[n][h].append((k, q))
         self.sizes = {n: (np.array(sorted(table), dtype=np.uint64), dict(table)) for n, table in by_size.items()}
 
     def codes(self, tokens: list[str]):
@@ -100,11 +152,12 @@ class Bench:
         if len(memo) > CACHE_WORDS:
             memo.clear()
         for t in set(tokens).difference(memo):
-            memo[t] = vocab.get(t.lower(), 0) << 4 | _flags(t)
+            low = t.lower()
+            memo[t] = vocab.get(low, 0) << 5 | (LOWER if low in self.lower else 0) | _flags(t, low)
         both = np.fromiter(map(memo.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        return both >> 4, both & 15
+        return both >> 5, both & 31
 
-    def template(self, tokens: list[str]):
+    def readings(self, tokens: list[str]):
         return canonical(*self.codes(tokens))
 
     def find(self, texts: list[str]) -> list[list[dict]]:
@@ -114,45 +167,54 @@ class Bench:
             return out
         for i, text in enumerate(texts):
             tokens = TOKEN.findall(text)
-            ids, at = self.template(tokens)
-            pairs = defaultdict(list)
-            for n, (known, table) in self.sizes.items():
-                h = window_hashes(ids, n)
-                spot = np.searchsorted(known, h)
-                for p in np.flatnonzero(known[np.minimum(spot, len(known) - 1)] == h).tolist():
-                    for k, q in table[int(h[p])]:
-                        pairs[k, p - q].append(q)
-            if pairs:
-                out[i] = self._judge(text, tokens, ids, at, pairs)
+            best = {}
+            for ids, at in self.readings(tokens):
+                pairs = defaultdict(lambda: defaultdict(set))
+                for n, (known, table) in self.sizes.items():
+                    place, h = known_windows(ids, n)
+                    spot = np.searchsorted(known, h)
+                    for x in np.flatnonzero(known[np.minimum(spot, len(known) - 1)] == h).tolist():
+                        p = int(place[x])
+                        for k, q in table[int(h[x])]:
+                            if (self.items[k][2][q:q + n] == ids[p:p + n]).all():
+                                pairs[k][p - q].add(q)
+                for k, shifts in pairs.items():
+                    self._judge(k, shifts, tokens, at, best)
+            if best:
+                spans = [m.span() for m in TOKEN.finditer(text)]
+                out[i] = [{**best[k], "start": spans[best[k]["start"]][0], "end": spans[best[k]["end"]][1]} for k in sorted(best)]
         return out
 
-    def _judge(self, text, tokens, ids, at, pairs):
-        """Slot check along each alignment; the best alignment of every item that is covered."""
-        best, spans = {}, None
-        for (k, shift), qs in pairs.items():
-            item, words, want, n = self.items[k]
-            qs = sorted({q for q in qs if (want[q:q + n] == ids[q + shift:q + shift + n]).all()})
-            forth, back = defaultdict(Counter), defaultdict(Counter)
-            slots = {}
-            for j in sorted({j for q in qs for j in range(q, q + n)}):
-                if want[j] in (NUMBER, NAME, UNIT):
-                    a, b = (int(want[j]), words[j]), tokens[at[j + shift]]
-                    slots[j] = (a, b)
+    def _judge(self, k, shifts, tokens, at, best):
+        """Slot check along each shift, alone and with the shifts near it; ``best`` keeps the widest cover of every item."""
+        item, words, want, n = self.items[k]
+        for shift in sorted(shifts):
+            near = {q: shift for q in shifts[shift]}
+            tries = [sorted(near.items())]
+            for s in sorted((s for s in range(shift - DRIFT, shift + DRIFT + 1) if s in shifts), key=lambda s: (abs(s - shift), s)):
+                for q in shifts[s]:
+                    near.setdefault(q, s)
+            if len(near) > len(tries[0]):
+                tries.append(sorted(near.items()))
+            for found in tries:
+                forth, back, slots = defaultdict(Counter), defaultdict(Counter), {}
+                for j, s in {(j, s) for q, s in found for j in range(q, q + n)}:
+                    if want[j] in (NUMBER, NAME, UNIT):
+                        slots[j, s] = (int(want[j]), words[j]), tokens[at[j + s]]
+                for a, b in (slots[x] for x in sorted(slots)):
                     forth[a][b] += 1
                     back[b][a] += 1
-            fits = {j for j, (a, b) in slots.items()
-                    if forth[a].most_common(1)[0][0] == b and back[b].most_common(1)[0][0] == a}
-            good = [q for q in qs if all(j in fits for j in range(q, q + n) if j in slots)]
-            covered = sorted({j for q in good for j in range(q, q + n)})
-            share = len(covered) / len(words)
-            if share < COVERAGE or item in best and best[item]["coverage"] >= share:
-                continue
-            if spans is None:
-                spans = [m.span() for m in TOKEN.finditer(text)]
-            best[item] = {"item_id": item, "coverage": share,
-                          "same_values": all(slots[j][0][1] == slots[j][1] for j in covered if j in slots),
-                          "start": spans[at[covered[0] + shift]][0], "end": spans[at[covered[-1] + shift]][1]}
-        return [best[i] for i in sorted(best)]
+                fits = {x for x, (a, b) in slots.items()
+                        if forth[a].most_common(1)[0][0] == b and back[b].most_common(1)[0][0] == a}
+                good = [(q, s) for q, s in found if all((j, s) in fits for j in range(q, q + n) if (j, s) in slots)]
+                covered = {(j, s) for q, s in good for j in range(q, q + n)}
+                share = len({j for j, _ in covered}) / len(words)
+                if share < COVERAGE or item in best and best[item]["coverage"] >= share:
+                    continue
+                where = [at[j + s] for j, s in covered]
+                best[item] = {"item_id": item, "coverage": share,
+                              "same_values": all(slots[x][0][1] == slots[x][1] for x in covered if x in slots),
+                              "start": min(where), "end": max(where)}
 
 
 def blocks(benchmark: DataFrame) -> list[list[tuple[int, str]]]:

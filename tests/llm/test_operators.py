@@ -224,6 +224,20 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert decontam.leaks(docs, bench).count() == 0
 
 
+def test_names_at_sentence_starts_and_numbers_of_other_forms(spark):
+    items = [(1, "Alice has 5 apples. Alice buys 3 more. Alice gives 2 to Bob."),
+             (2, "The shop sold 950 pens in one day and then the owner ordered another 3 boxes of red ink for the next week of work.")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    other = "The shop sold 1,200 pens in one day and then the owner ordered another 3.5 boxes of red ink for the next week of work."
+    longer = "The shop sold 950 pens in one day and then the owner himself ordered another 3 boxes of red ink for the next week of work."
+    docs = spark.createDataFrame([(1, "Mary has 7 apples. Mary buys 4 more. Mary gives 6 to Tom."), (2, other), (3, longer),
+                                  (4, items[0][1].lower()), (5, "Mary has 7 apples. Eve buys 4 more. Carl gives 6 to Mary.")],
+                                 "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.coverage, r.same_values) for r in decontam.leaks(docs, bench).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 2), (4, 1)}
+    assert got[1, 1] == (1.0, False) and got[2, 2] == (1.0, False) and got[3, 2] == (1.0, True)
+
+
 def test_licences(spark, empty):
     mit = licences.TEMPLATES["MIT"]
     docs = spark.createDataFrame([(1, "Intro. " + mit.replace("free of charge", "without charge") + " More."), (2, "Released under the MIT License."),

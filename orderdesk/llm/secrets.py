@@ -22,14 +22,15 @@ KINDS = ("assign", "access", "hex", "other")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-#: Provider prefixes, signed tokens, key blocks, and long strings mixing digits with both cases.
+#: Provider prefixes, signed tokens, key blocks to their END (without one, to the end of the long lines), and long strings mixing digits with both cases.
 OTHER = (r"(?:ghp|gho|ghs|glpat|xox[abps]|sk_live|rk_live|pk_live|sk|npm|hf)[_-][A-Za-z0-9_-]{16,}"
          r"|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"
          r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
-         r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,200}[0-9])(?=[a-z0-9+/_=-]{0,200}[A-Z])"
-         r"(?=[A-Z0-9+/_=-]{0,200}[a-z])[A-Za-z0-9+/_=-]{24,200}(?![A-Za-z0-9+/_=-])")
+         r"(?:(?:[^-]|-(?!----))*+-----END [A-Z ]{0,20}PRIVATE KEY-----|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{24,}+)*+)"
+         r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[a-z0-9+/_=-]*+[A-Z])"
+         r"(?=[A-Z0-9+/_=-]*+[a-z])[A-Za-z0-9+/_=-]{24,}+(?![A-Za-z0-9+/_=-])")
 #: A text without these has no match of the kind; most texts stop here.
-HINTS = (r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]""", "AKIA", HEX, r"[A-Za-z0-9+/_=-]{18}|PRIVATE KEY")
+HINTS = (r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]""", "AKIA", HEX, r"[A-Za-z0-9+/_=-]{18}|eyJ|PRIVATE KEY")
 SPAN = "array<struct<start:int,end:int,kind:int,value:string>>"
 
 
@@ -55,14 +56,15 @@ def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Col
 
 
 def scan(docs: DataFrame, repo: str = "doc_id", owner: str = "source") -> DataFrame:
-    """doc_id, th (text hash), repo, owner and the spans found: ``base`` and ``other`` (outside base spans)."""
+    """doc_id, th (text hash), repo, owner and the spans found: ``base`` and ``other`` (outside base spans; a key block stays whole)."""
     text = F.col("text")
     rows = docs.select("doc_id", F.col(repo).cast("string").alias("repo"), F.col(owner).cast("string").alias("owner"),
                        text_of().alias("text"))
     found = rows.select("doc_id", "repo", "owner", F.xxhash64("text").alias("th"),
                         F.concat(_spans(text, 0, ASSIGN, 2, 8), _spans(text, 1, ACCESS, 0, 16), _spans(text, 2, HEX, 0, 32)).alias("base"),
                         _spans(text, 3, OTHER, 0, 16).alias("other"))
-    apart = F.filter("other", lambda o: ~F.exists("base", lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"])))
+    apart = F.filter("other", lambda o: o["value"].startswith("-----BEGIN") | ~F.exists(
+        "base", lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"])))
     return found.select("doc_id", "th", "repo", "owner", F.array_sort("base").alias("base"), apart.alias("other"))
 
 

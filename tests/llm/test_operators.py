@@ -266,6 +266,18 @@ def test_licences(spark, empty):
     assert licences.matches(empty).count() == 0
 
 
+def test_licences_of_other_versions_and_variants():
+    index = licences.Index(licences.TEMPLATES)
+    for text, want in (("GNU Lesser General Public License, version 3", "LGPL-3.0-title"), ("GNU General Public License, version 2", "GPL-2.0-title"),
+                       ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0-notice"),
+                       ("Mozilla Public License, Version 2.0", "MPL-2.0-title"), ("Licensed under CC BY 4.0.", "CC-BY-4.0-notice"),
+                       ("shared as CC BY-SA 4.0 here", "CC-BY-SA-4.0-short"), ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0-notice"),
+                       ("SPDX-License-Identifier: MIT", "MIT-SPDX"), ("SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0-or-later-SPDX"),
+                       (licences.TEMPLATES["BSD-disclaimer"], "BSD-disclaimer"), (licences.TEMPLATES["GPL"] + ".", "GPL"),
+                       (licences.TEMPLATES["GPL"].replace("program", "library"), "GPL"), (licences.TEMPLATES["EPL-2.0"], "EPL-2.0"), (licences.TEMPLATES["Apache-2.0"], "Apache-2.0")):
+        assert [h["license"] for h in index.find(text)] == [want], text
+
+
 @pytest.mark.parametrize("operator,label,least", [(toxicity, "toxic", 0.75), (quality, "quality", 0.95)])
 def test_held_out_ranking(spark, operator, label, least):
     sf = "/root/testdata/sf0.1"

@@ -185,8 +185,11 @@ class Index:
             shifts = sorted(places[k])
             groups = np.split(np.array(shifts), np.flatnonzero(np.diff(shifts) > BAND) + 1)
             for g in groups:
-                # a long group is one place for every template length of text
-                for shift in g[np.r_[True, np.diff(g // max(1, len(self.words[k]) // 2)) > 0]].tolist():
+                last = None
+                for shift in g.tolist():
+                    if last is not None and shift - last <= BAND:
+                        continue  # inside the band of the last one
+                    last = shift
                     got = align(self.words[k], ids, shift)
                     if got is None or got[0] < COVERAGE or got[1] <= free or not got[3][self.must[k]].all():
                         continue

@@ -278,6 +278,17 @@ def test_licences_of_other_versions_and_variants():
         assert [h["license"] for h in index.find(text)] == [want], text
 
 
+def test_licence_after_chance_hits():
+    index = licences.Index({"MIT": licences.TEMPLATES["MIT"]})
+    words = licences.WORD.findall(licences.TEMPLATES["MIT"])
+    for first in range(4):
+        for second in range(4):  # shifts 12 and 6 before the true place
+            lead = ["x"] * 25
+            lead[13 + first:16 + first], lead[19 + second:22 + second] = words[first:first + 3], words[second:second + 3]
+            got = index.find(" ".join(lead + words))
+            assert [(h["license"], h["coverage"]) for h in got] == [("MIT", 1.0)], (first, second)
+
+
 @pytest.mark.parametrize("operator,label,least", [(toxicity, "toxic", 0.75), (quality, "quality", 0.95)])
 def test_held_out_ranking(spark, operator, label, least):
     sf = "/root/testdata/sf0.1"

@@ -1,11 +1,12 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained on bounded samples of labelled texts:
-one on ordinary text, one on ordinary text plus what recurs in toxic texts and
-not in ordinary ones. Every window of a text is compressed with both; a window
-that the toxic dictionary shortens more speaks for toxicity. The distribution
-of the differences over the whole text is calibrated to a probability on
-labelled texts that neither dictionary has seen.
+one on the windows of ordinary texts, one of equal size on the windows of toxic
+texts. Every window of a text is compressed with both; a window that the toxic
+dictionary shortens more speaks for toxicity. A third dictionary, the ordinary
+one with the vocabulary that recurs in toxic texts behind it, is a further
+feature. The distribution of the differences over the whole text is calibrated
+to a probability on labelled texts that no dictionary has seen.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ PER_CLASS = 3000
 WINDOW, STEP = 64, 48
 COMMON_BYTES, OWN_BYTES = 8192, 1024
 LEVEL = 9
+#: Windows a dictionary is trained on at most.
+PIECES = 30_000
 #: A stem recurs if this share of the toxic sample has it, and is rare elsewhere if so many times as rare.
 STEM, RECURS, RARER = 5, 0.02, 8
 SHORTER = (1, 2, 3, 4, 5, 6)
@@ -55,25 +58,37 @@ def _dictionary(records: list[bytes], size: int, **params) -> bytes:
         return b"".join(records)[-size:]
 
 
+def _learned(texts: list[str]) -> bytes:
+    """A dictionary trained on every second window of the texts (at most ``PIECES``)."""
+    pieces = [w for t in texts for w in windows(t)[::2]]
+    pick = np.random.default_rng(3).permutation(len(pieces))[:PIECES]
+    return _dictionary([pieces[i] for i in pick], COMMON_BYTES, k=32, d=6)
+
+
 class Model:
-    """Two dictionaries and the calibration."""
+    """The dictionaries of ordinary and toxic text, the recurring vocabulary and the calibration."""
 
-    def __init__(self, common: bytes, own: bytes, fit=None):
-        self.common, self.own, self.fit = common, own, fit
+    def __init__(self, common: bytes, bad: bytes, own: bytes, fit=None):
+        self.common, self.bad, self.own, self.fit = common, bad, own, fit
 
     def open(self):
         def coder(content):
             return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False,
                                             dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
-        self.plain, self.toxic = coder(self.common).compress, coder(self.common + self.own).compress
+        self.plain, self.toxic, self.words = (coder(c).compress for c in (self.common, self.bad, self.common + self.own))
         return self
 
     def features(self, text: str) -> np.ndarray:
-        gain = np.array([len(self.plain(w)) - len(self.toxic(w)) for w in windows(text)], dtype=float)
-        top = np.sort(gain)[::-1][:5]
-        n = len(gain)
-        return np.array([top[0], top[:3].mean(), top.mean(), gain.mean()]
-                        + [np.log1p((gain >= s).sum()) for s in SHORTER] + [(gain >= s).mean() ** 0.5 for s in SHORTER] + [np.log(n)])
+        parts = windows(text)
+        plain = np.array([len(self.plain(w)) for w in parts], dtype=float)
+        n = len(parts)
+        out = []
+        for coder in (self.toxic, self.words):
+            gain = plain - np.array([len(coder(w)) for w in parts], dtype=float)
+            top = np.sort(gain)[::-1][:5]
+            out += [top[0], top[:3].mean(), top.mean(), gain.mean()]
+            out += [np.log1p((gain >= s).sum()) for s in SHORTER] + [(gain >= s).mean() ** 0.5 for s in SHORTER]
+        return np.array(out + [np.log(n)])
 
     def score(self, texts) -> np.ndarray:
         if self.fit is None or not len(texts):
@@ -88,14 +103,14 @@ def train(rows: list[tuple[str, int]]) -> Model:
     good = [t for t, y in rows[:cut] if not y]
     rest = rows[cut:]
     if not bad or not good or len({y for _, y in rest}) < 2:
-        return Model(b"", b"")
-    pieces = [w for t in good for w in windows(t)[::2]]
-    pick = np.random.default_rng(3).permutation(len(pieces))[:30_000]
-    common = _dictionary([pieces[i] for i in pick], COMMON_BYTES, k=32, d=6)
+        return Model(b"", b"", b"")
+    common, toxic = (_learned(texts) for texts in (good, bad))
+    size = min(len(common), len(toxic))  # longer content shortens more, whatever it is
+    common, toxic = common[-size:], toxic[-size:]
     own = _dictionary(_recurring(bad, good), OWN_BYTES, k=16, d=6)
-    model = Model(common, own).open()
+    model = Model(common, toxic, own).open()
     x = np.array([model.features(t) for t, _ in rest])
-    return Model(common, own, logistic(x, np.array([y for _, y in rest], dtype=float)))
+    return Model(common, toxic, own, logistic(x, np.array([y for _, y in rest], dtype=float)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
@@ -109,7 +124,7 @@ def score(docs: DataFrame, model: Model, column: str = "toxicity", keep=None) ->
     Null texts are read as empty and score like any text without windows of
     either kind; repeated rows score alike; an empty table gives an empty table.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.common, model.own, model.fit))
+    shared = docs.sparkSession.sparkContext.broadcast((model.common, model.bad, model.own, model.fit))
 
     def build():
         scorer = Model(*shared.value).open()

@@ -301,6 +301,22 @@ def test_held_out_ranking(spark, operator, label, least):
     assert out.count() == 10_000 and area >= least
 
 
+def test_toxic_phrases_of_ordinary_words():
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghijklmnoprstuvw"), 6)) for _ in range(300)]
+    phrases = [" ".join(rng.choice(words, 6)) for _ in range(8)]
+
+    def texts(n):
+        bad = [f"{' '.join(rng.choice(words, 20))} {phrases[i % 8]} {' '.join(rng.choice(words, 20))}" for i in range(n)]
+        return [(t, 1) for t in bad] + [(" ".join(rng.choice(words, 46)), 0) for _ in range(2 * n)]
+
+    rows, held = texts(300), texts(60)
+    model = toxicity.train([rows[i] for i in rng.permutation(len(rows))]).open()
+    score, y = model.score([t for t, _ in held]), np.array([y for _, y in held])
+    assert len(model.common) == len(model.bad)
+    assert ((score >= 0.5) == (y == 1)).mean() >= 0.8
+
+
 def test_learners_without_labels(docs, empty, rows):
     none = empty.selectExpr("doc_id", "1 as toxic", "1 as quality")
     for operator in (toxicity, quality):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontam, licences, piece, ppm, quality, repeats, secrets, simhash, toxicity
+from . import covertree, decontam, licences, piece, ppm, quality, repeats, resample, secrets, simhash, toxicity
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -61,9 +61,14 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(read(spark, sf_dir, "documents"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.draw(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_covertree, op3_toxicity, op4_repeats, op5_simhash, op6_licences,
-                            op7_decontamination, op8_secrets, op9_quality, op10_ppm)
+                            op7_decontamination, op8_secrets, op9_quality, op10_ppm, op11_resample)
 }
 #: None of these has an exact SQL form except where given here.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_resample": resample.ORACLE}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontam, licences, piece, ppm, quality, repeats, resample, secrets, simhash, toxicity, vectorcode
+from . import covertree, decontam, langid, licences, piece, ppm, quality, repeats, resample, secrets, simhash, toxicity, vectorcode
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -70,10 +70,14 @@ def op12_vectorcode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorcode.compress(read(spark, sf_dir, "embeddings"))
 
 
+def op13_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_covertree, op3_toxicity, op4_repeats, op5_simhash, op6_licences,
                             op7_decontamination, op8_secrets, op9_quality, op10_ppm, op11_resample,
-                            op12_vectorcode)
+                            op12_vectorcode, op13_langid)
 }
 #: None of these has an exact SQL form except where given here.
 ORACLES: dict[str, str] = {"op11_resample": resample.ORACLE, "op12_vectorcode": vectorcode.ORACLE}

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.rules import any_flag, flag, fresh_key, money_text, ne, ratio, truthy
-from ..params import (FX_TABLE, LONGNAME_FIXES, NEW_YEARS, PHOTO_ITEM_LIMIT, FIRST_YEAR,
+from ..params import (FX_TABLE, LONGNAME_FIXES, PHOTO_ITEM_LIMIT, FIRST_YEAR,
                       REPORT_YEAR, SEASON)
 from .windows import row_numbers
 
@@ -104,8 +104,8 @@ def request_items(items: DataFrame, contacts: DataFrame, season: str = SEASON) -
     the e-mail of vendors not yet sent a request (J1, inner)."""
     prepared = prepare_items(items, season)
     inactive = inactive_vendors(prepared, listed_inactive(contacts))
-    active = prepared.join(inactive, "SUPPLR", "left_anti")
-    return active.join(unsent_vendors(contacts), "SUPPLR", "inner")
+    active = prepared.join(fresh_key(inactive, "SUPPLR"), "SUPPLR", "left_anti")
+    return active.join(fresh_key(unsent_vendors(contacts), "SUPPLR"), "SUPPLR", "inner")
 
 
 def season_exceptions(requested: DataFrame, season: str = SEASON) -> DataFrame:
@@ -172,7 +172,7 @@ def reported_items(items: DataFrame, report: DataFrame, year: int = REPORT_YEAR)
     """C7 with the report (C8): items and report rows of the vendors whose check
     is no error; DATA_ISSUE names the side that an unmatched row came from."""
     passed = report_check(items, report, year).where(F.col("STATUS") != "error").select("SUPPLR")
-    j = full_marker(items, report).join(passed, "SUPPLR", "left_semi")
+    j = full_marker(items, report).join(fresh_key(passed, "SUPPLR"), "SUPPLR", "left_semi")
     return j.withColumn("DATA_ISSUE", F.when(F.col("MERGE") == "both", "").otherwise(F.col("MERGE"))).drop("MERGE")
 
 
@@ -312,9 +312,9 @@ def price_audit(covers: DataFrame, items: DataFrame) -> DataFrame:
 
 # --- new items -------------------------------------------------------------
 
-def _new_items_years(new_items: DataFrame, first_year: int) -> DataFrame:
-    return (new_items.withColumn("YEAR", F.year("date")).where(F.col("YEAR") >= first_year)
-            .withColumn("Longname", S.replace_values("Longname", LONGNAME_FIXES)))
+def _new_items_years(new_items: DataFrame, first_year: int, fixes=()) -> DataFrame:
+    out = new_items.withColumn("YEAR", F.year("date")).where(F.col("YEAR") >= first_year)
+    return out.withColumn("Longname", S.replace_values("Longname", fixes)) if fixes else out
 
 
 def new_items_by_year(new_items: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:
@@ -323,37 +323,39 @@ def new_items_by_year(new_items: DataFrame, first_year: int = FIRST_YEAR) -> Dat
         F.count("Item").alias("N_ITEMS"))
 
 
-def report_years(dates: DataFrame, year, first_year: int = FIRST_YEAR) -> list[int]:
-    """Years of the report: those of ``NEW_YEARS`` and every later year in the data (one aggregate row)."""
-    last = dates.agg(F.max(year)).first()[0]
-    return list(range(first_year, max(NEW_YEARS[-1], last or 0) + 1))
+def new_items_pivot(counts: DataFrame) -> DataFrame:
+    """Per supplier a map year -> number of items, years in order; the
+    schema does not depend on the data. ``sinks.widen`` makes the year columns
+    of a report, one for each year that occurs."""
+    return counts.groupBy("Supplier").agg(_by_year("YEAR", "N_ITEMS"))
 
 
-def new_items_pivot(counts: DataFrame, years=None) -> DataFrame:
-    """Years to columns, none left out (``years`` fixes the list). Missing combinations are null."""
-    years = report_years(counts, "YEAR") if years is None else years
-    p = counts.groupBy("Supplier").pivot("YEAR", list(years)).agg(F.first("N_ITEMS"))
-    return p.select("Supplier", *[F.col(str(y)).alias(f"y{y}") for y in years])
+def _by_year(year: str, n: str):
+    """Map year -> count of a group; a group holds one row per year."""
+    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(year, n)))).alias("BY_YEAR")
 
 
-def vendor_new_items(new_items: DataFrame, first_year: int = FIRST_YEAR, years=None) -> DataFrame:
-    """New items per vendor group and year, for every origin letter at once.
+def vendor_new_items(new_items: DataFrame, first_year: int = FIRST_YEAR, fixes=LONGNAME_FIXES) -> DataFrame:
+    """C10 + G5: new items per vendor group and year, for every origin letter
+    at once, the years as a map (those that occur in the group).
 
     Vendors are grouped by (first four letters of the code, first word of the
     long name); year counts are summed, codes and long names concatenated in
     code order, the long name cut to its first three words.
     """
-    data = _new_items_years(new_items, first_year)
-    years = report_years(data, "YEAR", first_year) if years is None else years
-    supp = data.select("Supplier", "Longname",
-                       S.first_chars("Supplier", 4).alias("primary"),
-                       S.first_word("Longname").alias("shortname")).distinct()
-    pivot = new_items_pivot(new_items_by_year(new_items, first_year), years)
-    j = supp.join(pivot, "Supplier", "right")
+    keys = ["primary", "shortname"]
+    supp = _new_items_years(new_items, first_year, fixes).select(
+        "Supplier", "Longname", S.first_chars("Supplier", 4).alias("primary"),
+        S.first_word("Longname").alias("shortname")).distinct()
+    supp = supp.where(F.col("primary").isNotNull() & F.col("shortname").isNotNull())
     ordered = F.array_sort(F.collect_list(F.struct("Supplier", "Longname")))
-    g = j.where(F.col("primary").isNotNull() & F.col("shortname").isNotNull()).groupBy("primary", "shortname").agg(
+    names = supp.groupBy(*keys).agg(
         F.array_join(F.transform(ordered, lambda x: x["Supplier"]), "").alias("Supplier"),
-        F.array_join(F.transform(ordered, lambda x: x["Longname"]), "").alias("Longname"),
-        *[F.coalesce(F.sum(f"y{y}"), F.lit(0)).cast("bigint").alias(f"y{y}") for y in years])
-    return g.select(S.first_chars("primary", 1).alias("ORIGIN"), "primary", "Supplier",
-                    S.first_words("Longname", 3).alias("Longname"), *[f"y{y}" for y in years])
+        F.array_join(F.transform(ordered, lambda x: x["Longname"]), "").alias("Longname"))
+    # a supplier with several long names counts once for each, as in the join of the report
+    per_year = supp.select("Supplier", *keys).join(new_items_by_year(new_items, first_year), "Supplier")
+    per_year = per_year.groupBy(*keys, "YEAR").agg(F.sum("N_ITEMS").alias("N_ITEMS"))
+    years = per_year.groupBy(*keys).agg(_by_year("YEAR", "N_ITEMS"))
+    return names.join(years, keys).select(
+        S.first_chars("primary", 1).alias("ORIGIN"), "primary", "Supplier",
+        S.first_words("Longname", 3).alias("Longname"), "BY_YEAR")

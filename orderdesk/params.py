@@ -8,13 +8,12 @@ are reproducible.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values (defaults shared with the SQL oracles) -------------------
 AS_OF = _dt.date(1998, 6, 15)
 SEASON = "24"
 FIRST_YEAR = 2020
-NEW_YEARS = (2020, 2021, 2022, 2023, 2024, 2025)
 TICKET = "0.25"
 DISCOUNT = "0.20"
 ROUNDING_ERROR = "0.0001"
@@ -52,10 +51,8 @@ MEMO_STOP_PHRASES = (
 MAIL_MARKER = "From:"
 # Order-type codes shown to suppliers (unmapped codes become null).
 TYPE_NAMES = (("C", "Special"), ("S", "Stock"), ("P", "P"), ("D", "D"))
-# One known spelling fix in vendor long names.
-LONGNAME_FIXES = (
-    ("J & J SEASONAL COMPANY LTD. (H03902)", "J&J SEASONAL COMPANY LTD. (H03902)"),
-)
+# Known spelling fixes in vendor long names: (as written, as meant).
+LONGNAME_FIXES = ()
 # Photo links are built from the lower-cased item code.
 PHOTO_BASE = "https://images.example/catalog/product"
 # Customer sheet exports: rows to skip above the header, header renames.
@@ -97,13 +94,6 @@ class ShippingParams:
     stock_reset_share: float = STOCK_RESET_SHARE
 
 
-@dataclass(frozen=True)
-class PricingParams:
-    season: str = SEASON
-    report_year: int = REPORT_YEAR
-    fx_table: tuple = field(default=FX_TABLE)
-
-
 @dataclass(frozen=True)
 class OrderParams:
     ticket: str = TICKET

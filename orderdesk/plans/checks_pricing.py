@@ -3,12 +3,15 @@ J16, B10-B12, U2, U3, W4, W5, F13, F14, F19)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.rules import money_text, ratio, round_ratio
 from ..operators import pricing as PR
-from ..params import NEW_YEARS
+from ..session import ensure_checkpoint_dir
+from ..sources import sinks
 from .registry import check
 
 # Oracle building blocks (DuckDB). Season '24', FX table as in params.
@@ -124,6 +127,28 @@ def unsent_vendors(spark):
     return PR.unsent_vendors(_contacts(spark))
 
 
+@check("cover_reruns", f"""with {COVER},
+kept as (select c.SUPPLR from covered c where c.SUPPLR is not null),
+due as (select distinct SUPPLR from cover),
+todo as (select count(distinct SUPPLR) as n from wl)
+select SUPPLR, (select n from todo) as FIRST_TODO, cast(case when SUPPLR in (select SUPPLR from due) then 2 else 1 end as integer) as RUN,
+ cast(case when SUPPLR in (select SUPPLR from due) then (select count(*) from cover c where c.SUPPLR = u.SUPPLR) else 1 end as bigint) as N_ROWS
+from (select SUPPLR from kept union select SUPPLR from due) u""")
+def cover_reruns(spark):
+    """A16 + U3: covers of an earlier run are in the per-vendor output; a second
+    run writes only the vendors that the output's own folders do not name."""
+    path = f"{ensure_checkpoint_dir(spark)}/covers-{uuid.uuid4().hex}"
+    earlier = _covered(spark).where(F.col("SUPPLR").isNotNull()).select("SUPPLR").distinct()
+    sinks.write_per_vendor(earlier.withColumn("RUN", F.lit(1)), path)
+    worklist = PR.cover_worklist(_contacts(spark), sinks.vendor_partitions(spark, path))
+    todo = worklist.agg(F.countDistinct("SUPPLR")).first()[0]
+    cover = PR.cover_sheet(_items(spark), _quotes(spark), worklist).select("SUPPLR", F.lit(2).alias("RUN"))
+    sinks.write_per_vendor(cover, path)
+    done = spark.read.schema("RUN int, SUPPLR string").option("header", True).csv(path)
+    return done.groupBy("SUPPLR").agg(F.lit(todo).cast("bigint").alias("FIRST_TODO"), F.max("RUN").alias("RUN"),
+                                      F.count(F.lit(1)).alias("N_ROWS"))
+
+
 @check("cover_worklist", f"with {COVER} select * from wl")
 def cover_worklist(spark):
     return PR.cover_worklist(_contacts(spark), _covered(spark))
@@ -246,12 +271,9 @@ def price_audit(spark):
 
 
 WORD = "string_split(trim(regexp_replace({x}, '\\s+', ' ', 'g')), ' ')"
-NEWY = f"""ny as (select Supplier, case when Longname = 'J & J SEASONAL COMPANY LTD. (H03902)'
-  then 'J&J SEASONAL COMPANY LTD. (H03902)' else Longname end as Longname, Item,
-  cast(year(date) as integer) as YEAR from v_new_items where year(date) >= 2020),
-cnt as (select Supplier, YEAR, count(Item) as N_ITEMS from ny group by Supplier, YEAR),
-piv as (select Supplier, {', '.join(f'max(N_ITEMS) filter (where YEAR = {y}) as y{y}' for y in NEW_YEARS)}
-  from cnt group by Supplier)"""
+NEWY = """ny as (select Supplier, Longname, Item, cast(year(date) as integer) as YEAR from v_new_items where year(date) >= 2020),
+cnt as (select Supplier, YEAR, count(Item) as N_ITEMS from ny group by Supplier, YEAR)"""
+YEARS = """'{' || string_agg('"' || YEAR || '":' || N_ITEMS, ',' order by YEAR) || '}' as BY_YEAR"""
 
 
 @check("new_items_by_year", f"with {NEWY} select * from cnt")
@@ -259,24 +281,28 @@ def new_items_by_year(spark):
     return PR.new_items_by_year(spark.table("v_new_items"))
 
 
-@check("new_items_pivot", f"with {NEWY} select * from piv")
+def _years_text(df):
+    return df.withColumn("BY_YEAR", F.to_json("BY_YEAR"))
+
+
+@check("new_items_pivot", f"with {NEWY} select Supplier, {YEARS} from cnt group by Supplier")
 def new_items_pivot(spark):
-    return PR.new_items_pivot(PR.new_items_by_year(spark.table("v_new_items")))
+    return _years_text(PR.new_items_pivot(PR.new_items_by_year(spark.table("v_new_items"))))
 
 
 @check("vendor_new_items", f"""with {NEWY},
 supp as (select distinct Supplier, Longname, substr(Supplier, 1, 4) as "primary",
   {WORD.format(x='Longname')}[1] as shortname from ny),
-j as (select s."primary", s.shortname, s.Longname, p.* from supp s right join piv p on s.Supplier = p.Supplier),
 g as (select "primary", shortname, string_agg(Supplier, '' order by Supplier, Longname) as Supplier,
-  string_agg(Longname, '' order by Supplier, Longname) as Longname,
-  {', '.join(f'cast(coalesce(sum(y{y}), 0) as bigint) as y{y}' for y in NEW_YEARS)}
-  from j where "primary" is not null and shortname is not null group by "primary", shortname)
+  string_agg(Longname, '' order by Supplier, Longname) as Longname
+  from supp where "primary" is not null and shortname is not null group by "primary", shortname),
+sums as (select "primary", shortname, YEAR, sum(N_ITEMS) as N_ITEMS from supp join cnt using (Supplier) group by all),
+wide as (select "primary", shortname, {YEARS} from sums group by all)
 select substr("primary", 1, 1) as ORIGIN, "primary", Supplier,
- array_to_string({WORD.format(x='Longname')}[1:3], ' ') as Longname, {', '.join(f'y{y}' for y in NEW_YEARS)}
-from g""")
+ array_to_string({WORD.format(x='Longname')}[1:3], ' ') as Longname, BY_YEAR
+from g join wide using ("primary", shortname)""")
 def vendor_new_items(spark):
-    return PR.vendor_new_items(spark.table("v_new_items"))
+    return _years_text(PR.vendor_new_items(spark.table("v_new_items")))
 
 
 @check("inactive_cover", f"""with {PREP}

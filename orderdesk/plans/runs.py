@@ -48,15 +48,20 @@ def shipping_run(spark: SparkSession, lines: DataFrame, contacts: DataFrame, mes
 
 
 def pricing_run(spark: SparkSession, items: DataFrame, contacts: DataFrame, quotes: DataFrame,
-                covered: DataFrame, out_dir: str) -> dict:
+                out_dir: str, covered: DataFrame | None = None) -> dict:
     """L2: price requests (one folder per vendor), cover sheets for the
-    worklist (one folder per vendor) with their flags, inactive covers."""
+    worklist (one folder per vendor) with their flags, inactive covers. The
+    worklist is what ``out_dir`` does not hold yet: a second run writes the
+    vendors added since and leaves the sheets of the others (``covered`` names
+    further vendors that need none)."""
     fx = PR.fx_table(spark)
     requests = PR.price_requests(items, contacts, fx)
     sinks.write_per_vendor(requests, f"{out_dir}/requests", order=["ROW_NO"])
-    cover = _cut(PR.cover_sheet(items, quotes, PR.cover_worklist(contacts, covered)))
+    done = sinks.vendor_partitions(spark, f"{out_dir}/covers")
+    done = done if covered is None else done.union(covered.select("SUPPLR"))
+    cover = _cut(PR.cover_sheet(items, quotes, PR.cover_worklist(contacts, done)))
     sinks.write_per_vendor(cover, f"{out_dir}/covers", order=["SORT_KEY", "PRODCT"])
-    sinks.write_csv(PR.cover_flags(cover, PR.reviewed_vendors(contacts)), f"{out_dir}/cover_flags", ["SUPPLR"])
+    sinks.write_per_vendor(PR.cover_flags(cover, PR.reviewed_vendors(contacts)), f"{out_dir}/cover_flags")
     sinks.write_per_vendor(PR.inactive_cover(items, contacts), f"{out_dir}/inactive_covers", order=["PRODCT"])
     return {k: f"{out_dir}/{k}" for k in ("requests", "covers", "cover_flags", "inactive_covers")}
 

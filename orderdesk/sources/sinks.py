@@ -4,6 +4,7 @@ table triage export. Writers run one distributed write each."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..params import TRIAGE_MIN_ROWS
 
@@ -24,9 +25,38 @@ def per_vendor_layout(df: DataFrame, vendor: str = "SUPPLR", order: list[str] |
 
 def write_per_vendor(df: DataFrame, path: str, vendor: str = "SUPPLR", order: list[str] | None = None) -> None:
     """One output folder per vendor in a single job (``partitionBy``);
-    rows sorted within each vendor's files."""
+    rows sorted within each vendor's files. Only the folders of vendors in
+    ``df`` are replaced (dynamic partition overwrite): those that earlier runs
+    wrote for other vendors stay, and a failed job leaves all as they were."""
     per_vendor_layout(df, vendor, order).write.mode("overwrite").partitionBy(vendor) \
-        .option("header", True).csv(path)
+        .option("partitionOverwriteMode", "dynamic").option("header", True).csv(path)
+
+
+def vendor_partitions(spark: SparkSession, path: str, vendor: str = "SUPPLR") -> DataFrame:
+    """The vendors that a per-vendor output already covers, from the names
+    of its partition folders; no file is opened. A folder that does not exist
+    yet covers nobody; rows without a vendor cover nobody."""
+    schema = f"path string, modificationTime timestamp, length bigint, content binary, `{vendor}` string"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+        return spark.createDataFrame([], f"`{vendor}` string")
+    found = spark.read.schema(schema).format("binaryFile").option("basePath", path).load(path)
+    return found.select(vendor).where(F.col(f"`{vendor}`").isNotNull()).distinct()
+
+
+def widen(df: DataFrame, column: str, prefix: str = "", missing=None, order: DataFrame | None = None) -> DataFrame:
+    """A map column as one column per key that really occurs, for a report's
+    sink; the keys (a header line) are the only thing that reaches the driver.
+    ``order``: (name, pos) where the keys have an order of their own, else they
+    are sorted; ``missing`` stands where a row lacks a key."""
+    keys = df.select(F.explode(F.map_keys(column)).alias("name")).distinct()
+    keys = keys.orderBy("name") if order is None else keys.join(order, "name").orderBy("pos", "name")
+    names = [r["name"] for r in keys.collect()]
+    value = {n: F.try_element_at(column, F.lit(n)) for n in names}
+    if missing is not None:
+        value = {n: F.coalesce(v, F.lit(missing)) for n, v in value.items()}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != column],
+                     *[v.alias(f"{prefix}{n}") for n, v in value.items()])
 
 
 def first_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orderdesk.functions import scalars as S
 from orderdesk.operators import pricing, windows
+from orderdesk.sources import sinks
 
 
 def test_codes_are_no_numbers(spark):
@@ -24,12 +25,19 @@ def test_row_numbers_keep_rows_without_a_key(spark):
     assert sorted((r.k or "", r.v, r.ROW_NO) for r in got.collect()) == [("", 1, 1), ("", 2, 2), ("a", 1, 1)]
 
 
-def test_later_years_are_counted(spark):
-    rows = [("H001", "Some Vendor (H001)", "i1", dt.date(2026, 1, 1)), ("H001", "Some Vendor (H001)", "i2", dt.date(2027, 5, 1))]
+def test_years_are_those_that_occur(spark):
+    rows = [("H001", "Some  Vendor & Co Ltd", "i1", dt.date(2026, 1, 1)), ("H001", "Some  Vendor & Co Ltd", "i2", dt.date(9999, 12, 31)),
+            ("H001x", "Some  Vendor & Co Ltd", "i3", dt.date(2026, 5, 1)), ("H001x", "Some  Vendor & Co Ltd", None, dt.date(2021, 5, 1)),
+            ("H001x", "Some  Vendor & Co Ltd", "i4", dt.date(2019, 5, 1)), (None, "None", "i5", dt.date(2022, 5, 1))]
     items = spark.createDataFrame(rows, "Supplier string, Longname string, Item string, date date")
-    got = pricing.vendor_new_items(items).collect()[0]
-    assert got["y2026"] == 1 and got["y2027"] == 1
-    assert pricing.new_items_pivot(pricing.new_items_by_year(items)).select(F.col("y2027")).first()[0] == 1
+    pivot = pricing.new_items_pivot(pricing.new_items_by_year(items))
+    assert {r.Supplier: r.BY_YEAR for r in pivot.collect()} == {
+        "H001": {2026: 1, 9999: 1}, "H001x": {2021: 0, 2026: 1}, None: {2022: 1}}
+    got = pricing.vendor_new_items(items, fixes=[("Some  Vendor & Co Ltd", "Some Vendor&Co Ltd")])
+    assert [tuple(r) for r in got.collect()] == [("H", "H001", "H001H001x", "Some Vendor&Co LtdSome", {2021: 0, 2026: 2, 9999: 1})]
+    wide = sinks.widen(pivot, "BY_YEAR", "y", missing=0)
+    assert wide.columns == ["Supplier", "y2021", "y2022", "y2026", "y9999"]
+    assert {r.Supplier: tuple(r)[1:] for r in wide.collect()} == {"H001": (0, 0, 1, 1), "H001x": (0, 0, 1, 0), None: (0, 1, 0, 0)}
 
 
 def test_missing_contact_keeps_null_and_blank_mail(spark):

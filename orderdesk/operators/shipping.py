@@ -1,9 +1,10 @@
 """Open purchase orders, late suppliers, reminders and replies (C1-C5, C19,
 C20, B7-B9, G1, G11, G12, G14, G15, J13, J14, A17, A18).
 
-Plan shape at scale: the tracking summary reads the order lines once; the
-row-level jobs read them a second time, pruned to five columns, for the
-whole-table date alarm (G11). The contact list joins
+Plan shape at scale: the order lines are read once. The tracking summary
+aggregates both outcomes of the whole-table date alarm (G11); the row-level jobs
+write the kept lines, observe the alarm on that write, and work on what they
+wrote (``open_orders_once``). The contact list joins
 on SUPPLR (AQE turns it into a broadcast only when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold``); the global date-alarm flag is a
 scalar subquery. Per-supplier and per-contact results are
@@ -13,13 +14,13 @@ of all lines is pre-aggregated in every task before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.rules import any_flag, flag, fresh_key, ne, parse_date, ratio, truthy
 from ..params import TYPE_NAMES, ShippingParams
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, written
 
 LINE_COLS = ["PURORD", "SUPPLR", "PRODCT", "ORDQTY", "OUTQTY", "CONDAT", "NEWCONDAT",
              "DATEDFF", "TYPE", "PCTSHIP"]
@@ -97,10 +98,34 @@ def date_correction(lines: DataFrame, p: ShippingParams = ShippingParams()) -> D
         "PURORD", "SUPPLR", "PRODCT", "DATEDFF", "CONDAT", "NEWCONDAT_BEFORE", "NEWCONDAT", "ALARM")
 
 
+def kept_once(lines: DataFrame, p: ShippingParams = ShippingParams()) -> DataFrame:
+    """B7 + B8 + G11 in one read of the lines: the kept lines are written to the
+    shared folder, the alarm is observed on that write, and the dates are
+    corrected on what was written. Equal to ``correct_dates(kept_lines(lines))``."""
+    seen = Observation()
+    kept = kept_lines(lines, p).observe(seen, any_flag(F.col("DATEDFF") > p.alarm_days).alias("alarm"))
+    kept = written(kept, "kept")
+    if not seen.get.get("alarm"):
+        return kept
+    reset = truthy(F.col("DATEDFF") > p.reset_days)
+    return kept.withColumn("NEWCONDAT", F.when(reset, F.col("CONDAT")).otherwise(F.col("NEWCONDAT")))
+
+
+def open_orders_once(lines: DataFrame, contacts: DataFrame, p: ShippingParams = ShippingParams()) -> DataFrame:
+    """C1 with one read of the lines; writes them once, so that every report
+    built on the result reads the kept lines only."""
+    return with_contacts(kept_once(lines, p), contacts)
+
+
 def open_orders(lines: DataFrame, contacts: DataFrame,
                 p: ShippingParams = ShippingParams()) -> DataFrame:
-    """Open order lines due by the deadline, cleaned, with supplier e-mail."""
-    kept = correct_dates(kept_lines(lines, p), p).drop("INTQTY")
+    """Open order lines due by the deadline, cleaned, with supplier e-mail
+    (one plan without an action; the alarm reads the lines a second time)."""
+    return with_contacts(correct_dates(kept_lines(lines, p), p), contacts)
+
+
+def with_contacts(kept: DataFrame, contacts: DataFrame) -> DataFrame:
+    """The kept lines with their supplier's e-mail."""
     return kept.join(contacts.select("SUPPLR", "EMAIL"), "SUPPLR", "left").select(*LINE_COLS, "EMAIL")
 
 
@@ -259,7 +284,7 @@ def quality_counts(lines: DataFrame, contacts: DataFrame,
     """Data-quality rules of the shipping run in one scan."""
     # one row per supplier, so that a second contact does not count a line twice
     mail = contacts.groupBy("SUPPLR").agg(F.max("EMAIL").alias("EMAIL"))
-    due = due_lines(lines, p).join(mail, "SUPPLR", "left")
+    due = due_lines(lines, p).join(fresh_key(mail, "SUPPLR"), "SUPPLR", "left")
     miss = missing_condition(p)
     counts = due.agg(
         F.count_if(~miss & F.col("EMAIL").isNull()).alias("missing_email"),
@@ -289,31 +314,68 @@ def read_messages(messages: DataFrame, since) -> DataFrame:
     )
 
 
-def replies(messages: DataFrame, since) -> DataFrame:
-    """One row per (lower-cased) sender: last receive date, FCR count,
-    bodies joined with '-' in mailbox order (conv_id, turn).
+#: Text of a sender in one row; more makes further rows.
+PART_BYTES = 1 << 26
+#: Conversations whose sizes are summed by one task for a sender of several parts.
+SLICE_CONVERSATIONS = 100_000
+
 
-    Two-stage concatenation: bodies are first joined per conversation, then
-    conversations per sender, so no stage sorts a whole sender's messages.
+def _ordered(parts, text: str):
+    """Texts of a group joined with '-' in the order of the other fields."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*parts, text))), lambda x: x[text]), "-")
+
+
+def replies(messages: DataFrame, since, part_bytes: int = PART_BYTES,
+            slice_conversations: int = SLICE_CONVERSATIONS) -> DataFrame:
+    """Per (lower-cased) sender: last receive date, FCR count, bodies
+    joined with '-' in mailbox order (conv_id, turn).
+
+    ``part`` is 0 but for senders with more than ``part_bytes`` of text: their
+    bodies come in several rows, part after part, each of about that size, so
+    no row and no task holds a whole sender. Joined with '-' in order, the
+    parts are the whole text (``write_replies`` writes them so).
     """
     msgs = read_messages(messages, since).withColumn("email", F.lower("email"))
-    per_conv = msgs.groupBy("email", "conv_id").agg(
-        F.max("receive").alias("receive"),
-        F.sum("FCR").alias("FCR"),
-        F.count("body").alias("_n"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "body"))),
-                                 lambda x: x["body"]), "-").alias("_part"))
+    size = F.coalesce(F.octet_length("body"), F.lit(0)) + 1
+    per_sender = msgs.groupBy("email").agg(F.max("receive").alias("receive"), F.sum("FCR").cast("bigint").alias("FCR"),
+                                           F.sum(size).alias("_bytes"))
+    long = per_sender.where(F.col("_bytes") > part_bytes).withColumnRenamed("email", "_email")
+    whose = F.col("email").eqNullSafe(F.col("_email"))
+    # bodies are joined per conversation first, then conversations per sender
+    short = msgs.join(long.select("_email"), whose, "left_anti")
+    per_conv = short.groupBy("email", "conv_id").agg(
+        F.max("receive").alias("receive"), F.sum("FCR").alias("FCR"), F.count("body").alias("_n"), _ordered(["turn"], "body").alias("_part"))
     per_conv = per_conv.withColumn("_part", F.when(F.col("_n") > 0, F.col("_part")))
-    return per_conv.groupBy("email").agg(
-        F.max("receive").alias("receive"),
-        F.sum("FCR").cast("bigint").alias("FCR"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "_part"))),
-                                 lambda x: x["_part"]), "-").alias("body"))
+    whole = per_conv.groupBy("email").agg(F.max("receive").alias("receive"), F.sum("FCR").cast("bigint").alias("FCR"),
+                                          _ordered(["conv_id"], "_part").alias("body"))
+    whole = whole.select("email", F.lit(0).alias("part"), "receive", "FCR", "body")
+    of_long = msgs.drop("receive", "FCR").join(long.drop("_bytes"), whose).drop("_email")
+    return whole.unionByName(_reply_parts(of_long, size, part_bytes, slice_conversations))
+
+
+def _reply_parts(msgs: DataFrame, size, part_bytes: int, slice_conversations: int) -> DataFrame:
+    """Messages of long senders, a part for each ``part_bytes`` that begin in it.
+
+    A message's part follows from the bytes before it: those of the slices of
+    conversations before (one small row per sender and slice), and those before
+    it in its own slice.
+    """
+    m = msgs.withColumns({"_size": size, "_sl": F.floor(F.col("conv_id") / slice_conversations)})
+    inside = Window.partitionBy("email", "_sl").orderBy("conv_id", "turn").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_e").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    per = m.groupBy(F.col("email").alias("_e"), F.col("_sl").alias("_s")).agg(F.sum("_size").alias("_n"))
+    per = per.select("_e", "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    m = m.withColumn("_own", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    m = m.join(per, F.col("email").eqNullSafe(F.col("_e")) & F.col("_sl").eqNullSafe(F.col("_s")))
+    part = F.floor((F.col("_before") + F.col("_own")) / part_bytes).cast("int")
+    body = F.when(F.count("body") > 0, _ordered(["conv_id", "turn"], "body"))  # a part without any text is null
+    return m.groupBy("email", part.alias("part")).agg(F.max("receive").alias("receive"), F.max("FCR").alias("FCR"), body.alias("body"))
 
 
 def mark_replied(orders: DataFrame, replied: DataFrame) -> DataFrame:
     """REPLY = the line's contact is among the repliers."""
-    keys = replied.select(F.col("email").alias("_reply_email")).distinct()
+    # a computed key: AQE can split a hot contact's lines
+    keys = replied.select(F.concat("email", F.lit("")).alias("_reply_email")).distinct()
     return (orders.join(keys, F.lower(F.col("EMAIL")) == F.col("_reply_email"), "left")
             .withColumn("REPLY", F.col("_reply_email").isNotNull()).drop("_reply_email"))
 
@@ -337,7 +399,7 @@ def web_supplier_tracking(lines: DataFrame, suppliers: DataFrame | None = None,
                           p: ShippingParams = ShippingParams()) -> DataFrame:
     """C20: per-line flags for the requested suppliers (all if None)."""
     if suppliers is not None:
-        lines = lines.join(suppliers.select("SUPPLR").distinct(), "SUPPLR", "left_semi")
+        lines = lines.join(fresh_key(suppliers.select("SUPPLR").distinct(), "SUPPLR"), "SUPPLR", "left_semi")
     out = flag_lines(web_lines(lines, p), p, reset_stock=False)
     return out.withColumn("Z_ITEMS", F.coalesce(F.col("Z_ITEMS"), F.lit(0)))
 

@@ -18,37 +18,53 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 100_000
 
 
+def _rank_in(sorted_keys: str, key: Column) -> Column:
+    """How many of the sorted keys are at most ``key`` (binary search)."""
+    n = F.coalesce(F.size(sorted_keys), F.lit(0))
+    none = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
+
+    def step(at, _):
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        below = F.get(sorted_keys, mid) <= key
+        return (F.when(at["lo"] >= at["hi"], at)
+                .when(below, F.struct((mid + 1).alias("lo"), at["hi"].alias("hi")))
+                .otherwise(F.struct(at["lo"].alias("lo"), mid.alias("hi"))))
+
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int"))
+    return F.when(n > 0, F.aggregate(steps, none, step)["lo"]).otherwise(F.lit(0))
+
+
 def row_numbers(df: DataFrame, part: list[str], order: list[str], name: str = "ROW_NO",
-                slices: int | None = None) -> DataFrame:
+                slice_rows: int = SLICE_ROWS) -> DataFrame:
     """1..n per ``part`` in ``order`` (which must be unique within ``part``).
 
-    The data are range-partitioned on (part, order) and each row is tagged
-    with its range slice; that tagged set is checkpointed (the range bounds
-    come from a sample, so the tag must be fixed once: the numbering and the
-    offset table below both read it, and a recomputation after a lost
-    executor must see the same slices). Each slice numbers its own rows
-    (window keyed by (slice, part)); a per-(slice, group) count table (at most
-    slices x groups rows) gives every slice its offset.
+    About one row in ``slice_rows``, picked by a hash of its keys, bounds a
+    slice of its group; a row's slice is the number of bounds not above it, so
+    it is a function of the row and the data alone: nothing runs while the plan
+    is built, and a recomputed task finds the same slices. Slices number their
+    own rows; the counts of the slices before are added. Groups without a bound
+    (nearly all of fewer rows than ``slice_rows``) are one slice and take no
+    part in the counts.
     """
-    from ..session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    ranged = df.repartitionByRange(n, *part, *order).withColumn("_slice", F.spark_partition_id())
-    ranged = ranged.checkpoint(eager=True)
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_slice", *part).orderBy(*order)))
-    counts = ranged.groupBy("_slice", *part).agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
+    keys = [f"_k{i}" for i in range(len(part))]
+    bound = df.where(F.pmod(F.xxhash64(*part, *order), F.lit(slice_rows)) == 0)
+    bounds = bound.groupBy(*[F.col(c).alias(k) for c, k in zip(part, keys)]).agg(
+        F.array_sort(F.collect_set(F.struct(*order))).alias("_b"))
     # null-safe on the group keys: rows without a key are a group of their own
-    offsets = offsets.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(part)} | {"_slice": "_s"})
-    same = F.col("_slice") == F.col("_s")
-    for i, c in enumerate(part):
-        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    out = local.join(offsets, same, "inner").drop("_s", *[f"_k{i}" for i in range(len(part))])
-    return out.withColumn(name, (F.col("_local") + F.col("_off")).cast("int")).drop("_slice", "_local", "_off")
+    same = F.lit(True)
+    for c, k in zip(part, keys):
+        same = same & F.col(c).eqNullSafe(F.col(k))
+
+    def sliced(how):
+        return df.join(bounds, same, how).withColumn("_sl", _rank_in("_b", F.struct(*order)))
+
+    local = sliced("left").drop("_b", *keys).withColumn(
+        "_local", F.row_number().over(Window.partitionBy("_sl", *part).orderBy(*order)))
+    before = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sliced("inner").groupBy(*keys, F.col("_sl").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = offsets.withColumn("_off", F.sum("_n").over(before)).where(F.col("_off") > 0).drop("_n")
+    out = local.join(offsets, _same_slice(part), "left").drop("_s", *keys)
+    return out.withColumn(name, (F.col("_local") + F.coalesce("_off", F.lit(0))).cast("int")).drop("_sl", "_local", "_off")
 
 
 def _same_slice(keys: list[str]) -> Column:

@@ -3,6 +3,8 @@ J13, J14, A17, A18, F18, A1, A4)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -10,7 +12,7 @@ from ..functions.rules import parse_date, truthy
 from ..operators import contacts as K
 from ..operators import shipping as SH
 from ..params import SEND_DATE, ShippingParams
-from ..sources import catalog
+from ..sources import catalog, store
 from .registry import check
 
 P = ShippingParams()
@@ -64,7 +66,7 @@ def _contacts(spark):
 
 
 def _open(spark):
-    return SH.open_orders(_lines(spark), _contacts(spark), P)
+    return SH.open_orders_once(_lines(spark), _contacts(spark), P)
 
 
 def _rest(spark):
@@ -173,7 +175,7 @@ rep as (select email, max(receive) as receive, cast(sum(FCR) as bigint) as FCR,
   string_agg(body, '-' order by conv_id, turn) as body from msgs group by email)"""
 
 
-@check("replies", f"with {MSGS} select * from rep")
+@check("replies", f"with {MSGS} select *, 0 as part from rep")
 def replies(spark):
     return SH.replies(spark.table("v_messages"), SEND_DATE)
 
@@ -250,6 +252,26 @@ def insert_absent(spark):
     return SH.insert_absent(incoming, existing)
 
 
+@check("insert_stored", f"""with {SHIP}, {SHIP_EARLIER},
+existing as (select distinct * from ship_earlier),
+new as (select * from ship except select * from existing)
+select 'first' as load_id, count(*) as n_rows from existing
+union all select 'again', 0 union all select 'second', count(*) from new""")
+def insert_stored(spark):
+    """A17 at size: the stored table is bucketed by a hash of the row; loads
+    insert what is new, a repeated load nothing."""
+    import dataclasses
+    import datetime as dt
+    earlier = SH.shipments(_lines(spark), dataclasses.replace(P, as_of=dt.date(1998, 5, 15)))
+    held = store.open_store(spark, f"shipments_{uuid.uuid4().hex}", earlier.schema)
+    store.insert_absent(held, earlier, "first")
+    store.insert_absent(held, earlier, "first")
+    store.insert_absent(held, earlier.union(earlier), "again")
+    store.insert_absent(held, SH.shipments(_lines(spark), P), "second")
+    counts = store.rows(held, load_id=True).groupBy("load_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return store.loads(held).join(counts, "load_id", "left").select("load_id", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
 @check("date_scalars", """select PURORD, PRODCT, try_cast(CONDAT as date) as CONDAT,
  cast(year(try_cast(CONDAT as date)) as integer) as CONDAT_YEAR,
  last_day(date '1998-06-15' + 10) as DEADLINE, last_day(date '1998-06-15') as WEB_DEADLINE,

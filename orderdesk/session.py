@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCALE_CONF = {
     "spark.ui.showConsoleProgress": "false",
@@ -64,3 +65,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: every later use
+    sees the same rows, and a lost executor costs a reread. The folder goes
+    when the application ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)

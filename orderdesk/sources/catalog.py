@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import fresh_key
+
 # name -> (SQL text, column that an item list restricts, or None)
 NAMED_QUERIES: dict[str, tuple[str, str | None]] = {
     "shipping": ("select * from v_open_po_lines", None),
@@ -41,6 +43,8 @@ def named_query(spark: SparkSession, name: str, items=None) -> DataFrame:
         return spark.sql(sql)
     if isinstance(items, DataFrame):
         keys = items.select(F.col(items.columns[0]).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+        if dict(keys.dtypes)["_key"] == "string":  # so that AQE can split a hot key
+            keys = fresh_key(keys, "_key")
         base = spark.sql(sql)
         return base.join(keys, base[key] == keys["_key"], "left_semi")
     return spark.sql(f"select * from ({sql}) t where array_contains(:items, t.{key})",

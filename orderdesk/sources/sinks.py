@@ -59,6 +59,14 @@ def widen(df: DataFrame, column: str, prefix: str = "", missing=None, order: Dat
                      *[v.alias(f"{prefix}{n}") for n, v in value.items()])
 
 
+def write_replies(parts: DataFrame, path: str) -> None:
+    """C5 sink: a folder per sender; its files hold the parts in order, one line
+    for each row with the sender's figures. A sender of many parts is written
+    by many tasks, each part whole in one file."""
+    ranged = parts.repartitionByRange("email", "part").sortWithinPartitions("email", "part")
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("email").json(path)
+
+
 def first_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
     """T4: the first rows shown for a look at a result (a display limit, the
     feature itself; Spark keeps only the top ``n`` per task before merging)."""

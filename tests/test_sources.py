@@ -1,7 +1,9 @@
 """File sources and sinks on small hand-made files (FIXTURES part B)."""
 
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderdesk.sources import files as FS
@@ -150,18 +152,21 @@ def test_first_rows(spark):
     assert [r["k"] for r in sinks.first_rows(df, ["k"], 5).collect()] == [1, 2, 3, 4, 5]
 
 
+def _cells(spark, path, **options):
+    rows = FS.split_cells(FS.read_lines(spark, str(path), **options)).collect()
+    return {(r["line_no"], i): v for r in rows for i, v in enumerate(r["cells"]) if v}
+
+
 def test_wide_sheet_keeps_every_column(spark, tmp_path):
     names = [f"H{i}" for i in range(60)]
     _write(str(tmp_path / "w" / "wide.csv"), ",".join(names) + "\n" + ",".join(str(i) for i in range(60)) + "\n")
-    cells = FS.split_cells(FS.read_lines(spark, str(tmp_path / "w")))
-    row = FS.table_after_header(cells, FS.fixed_header(cells, 0), names).first()
+    row = FS.table_after_header(FS.split_cells(FS.read_lines(spark, str(tmp_path / "w"))), 0, names).first()
     assert [row[n] for n in names] == [str(i) for i in range(60)]
 
 
 def test_very_wide_record(spark, tmp_path):
     _write(str(tmp_path / "v" / "x.csv"), "," * 16383 + '"last, one"')
-    cells = FS.split_cells(FS.read_lines(spark, str(tmp_path / "v"))).collect()
-    assert [(c["line_no"], c["cell_no"], c["value"]) for c in cells] == [(0, 16383, "last, one")]
+    assert _cells(spark, tmp_path / "v") == {(0, 16383): "last, one"}
 
 
 def test_quoted_cells(spark, tmp_path):
@@ -171,11 +176,86 @@ def test_quoted_cells(spark, tmp_path):
             '"",z\n')
     with open(tmp_path / "q.csv", "w", newline="") as f:
         f.write(text)
-    cells = FS.split_cells(FS.read_lines(spark, str(tmp_path / "q.csv"))).collect()
-    got = {(c["line_no"], c["cell_no"]): c["value"] for c in cells}
-    # the quote that opens '"open' is closed by the next one, as in any CSV reader
-    assert got[0, 0] == "a" and got[0, 1] == 'b "x", c' and got[0, 2] == "two\r\nlines"
-    assert got[1, 1] == '5" wide'
+    # nothing closes the quote before 'open' ('""' is a doubled one): it is plain text
+    assert _cells(spark, tmp_path / "q.csv") == {(0, 0): "a", (0, 1): 'b "x", c', (0, 2): "two\r\nlines", (1, 1): '5" wide',
+                                                 (1, 2): '"open', (3, 1): "z"}
+
+
+@pytest.fixture
+def small_pieces(spark):
+    """Files are cut into pieces of a few hundred bytes."""
+    keys = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_one_file_in_many_tasks(spark, tmp_path, small_pieces):
+    lines = [f"p{i},{i * 7}," + "x" * (i % 40) for i in range(400)]
+    _write(str(tmp_path / "big" / "order_confirmation_p1.csv"), "Product,Ordered,Note\n" + "\n".join(lines) + "\n")
+    _write(str(tmp_path / "big" / "order_confirmation_p2.csv"), "Ordered,Product\n3,q1\n")
+    assert FS._pieces(spark, str(tmp_path / "big"), None, False, "\n").rdd.getNumPartitions() > 20
+    df = FS.read_confirmations(spark, str(tmp_path / "big"), extra=["Note"])
+    got = sorted((r.file_name, r.row_no, r.Product, r.Ordered, r.Note) for r in df.collect())
+    assert got == sorted([("order_confirmation_p1.csv", i + 1, f"p{i}", i * 7, "x" * (i % 40) or None) for i in range(400)]
+                         + [("order_confirmation_p2.csv", 1, "q1", 3, None)])
+
+
+def _python_cells(text):
+    """Records by one pass over the characters; a quote that is never closed is plain."""
+    import re
+    cell = re.compile(r'"[^"]*+(?:""[^"]*+)*+"[^,\n]*+|[^,\n]*+')
+    out, line, column, at = {}, 0, 0, 0
+    while at < len(text):
+        m = cell.match(text, at)
+        v = m.group()
+        q = re.match(r'(?s)("[^"]*+(?:""[^"]*+)*+")(.*)$', v)
+        v = q.group(1)[1:-1].replace('""', '"') + q.group(2) if q else v
+        if v:
+            out[line, column] = v
+        at = m.end()
+        if at < len(text) and text[at] == "\n":
+            line, column = line + 1, 0
+        else:
+            column += 1
+        at += 1
+    return out
+
+
+def test_line_breaks_in_cells_across_pieces(spark, tmp_path, small_pieces):
+    rng = random.Random(4)
+    pool = ['a', '"q"', '"x\ny"', '"l,1\n\n""2"" "', '5" pipe', 'b c', '', '""', '"tail"x', '"' + "long\n" * 90 + '"', "z" * 50]
+    for k in range(6):
+        rows = [",".join(rng.choice(pool) for _ in range(rng.randrange(1, 5))) for _ in range(60)]
+        text = "\n".join(rows) + ("" if k % 2 else '\n,"never,closed\n1,2\n\n3' if k % 4 else "\n")
+        _write(str(tmp_path / f"{k}.csv"), text)
+        assert _cells(spark, tmp_path / f"{k}.csv") == _python_cells(text), k
+
+
+def test_spreadsheet_in_many_tasks(spark, tmp_path, small_pieces):
+    cell = "<Cell><Data ss:Type=\"String\">{}</Data></Cell>"
+    head = "".join(cell.format(c) for c in ("Description", "Product", "Ordered"))
+    body = "".join(f"<Row ss:Height=\"9\">\n{cell.format('d & e'.replace('&', '&amp;'))}<Cell/>{cell.format(i)}</Row>" if i % 5 == 0 else
+                   f"<Row/><Row>{cell.format(f'd{i}')}{cell.format(f'P{i}')}{cell.format(i)}</Row>\n" for i in range(200))
+    tail = f"</Table></Worksheet><Worksheet><Table><Row>{cell.format('other') * 3}</Row></Table></Worksheet></Workbook>"
+    _write(str(tmp_path / "x" / "c.xml"), XML[:XML.index("<Row>")] + f"<Row>{head}</Row>" + body + tail)
+    rows = FS.read_xml_rows(spark, str(tmp_path / "x")).collect()
+    assert [r.cells for r in sorted(rows, key=lambda r: r.line_no)] == [["Description", "Product", "Ordered"]] + [
+        ["d & e", None, str(i)] if i % 5 == 0 else [f"d{i}", f"P{i}", str(i)] for i in range(200)]
+    got = FS.read_spreadsheet_xml(spark, str(tmp_path / "x")).collect()
+    assert sorted((r.Product, r.Ordered) for r in got) == sorted((f"P{i}", str(i)) for i in range(200) if i % 5)
+
+
+def test_office_rows_do_not_depend_on_headers(spark, tmp_path):
+    _write(str(tmp_path / "o" / "a T1.csv"), "MARKER\nITEM,2025 PRICE,2025 NOTE,ITEM\nA1,2,n,\n,3,,B9\n,,,\n")
+    _write(str(tmp_path / "o" / "b T2.csv"), "x\nMARKER\nCODE,2024 PRICE,2025 PRICE\nC1,2,3\n")
+    rows = FS.office_rows(spark, str(tmp_path / "o"), "MARKER")
+    got = sorted((r.SUPPLR, r.line_no, r.CELLS, r.CHANGE) for r in rows.collect())
+    assert got == [("T1", 2, {"ITEM": "A1", "2025 COST": "2", "2025 NOTE": "n"}, None), ("T1", 3, {"ITEM": "B9", "2025 COST": "3"}, None),
+                   ("T2", 3, {"CODE": "C1", "2024 COST": "2", "2025 COST": "3"}, 0.5)]
 
 
 def test_csv_columns_by_each_files_header(spark, tmp_path):

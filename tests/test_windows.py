@@ -44,7 +44,7 @@ def test_row_numbers_dense_per_group(spark):
     rnd = random.Random(3)
     rows = [("HOT", f"P{i:05d}") for i in rnd.sample(range(100000), 2500)] + [("A", "X2"), ("A", "X1"), ("B", "Y")]
     df = spark.createDataFrame(rows, "g string, k string")
-    got = {(r["g"], r["k"]): r["n"] for r in W.row_numbers(df, ["g"], ["k"], "n", slices=16).collect()}
+    got = {(r["g"], r["k"]): r["n"] for r in W.row_numbers(df, ["g"], ["k"], "n", slice_rows=16).collect()}
     expect = {}
     for g in {g for g, _ in rows}:
         for i, k in enumerate(sorted(k for gg, k in rows if gg == g), 1):
@@ -63,7 +63,7 @@ def test_no_python_in_job_plans(spark, small_dir):
 def test_date_alarm_is_a_scalar_subquery(spark, small_dir):
     from orderdesk.plans import registry
     registry.load_all()
-    df = registry.run(spark, "open_orders", small_dir)
+    df = registry.run(spark, "date_correction", small_dir)
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" in plan
@@ -76,7 +76,7 @@ def test_row_numbers_keep_every_row_when_sampling_is_partial(spark):
     df = spark.range(300000).select(
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("V"), (F.col("id") % 50).cast("string"))).alias("g"),
         F.format_string("P%07d", (F.col("id") * 7919) % 1000003).alias("k")).dropDuplicates(["g", "k"])
-    out = W.row_numbers(df, ["g"], ["k"], "n", slices=16)
+    out = W.row_numbers(df, ["g"], ["k"], "n", slice_rows=16)
     stats = out.groupBy("g").agg(F.count("*").alias("c"), F.countDistinct("n").alias("d"),
                                  F.min("n").alias("lo"), F.max("n").alias("hi"))
     total = df.count()

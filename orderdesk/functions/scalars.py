@@ -59,10 +59,6 @@ def currency_to_number(c) -> Column:
     return as_number(F.regexp_replace(col(c), r"[$,]", ""))
 
 
-def strip_words_to_number(c, pattern: str = "EaOnly|,") -> Column:
-    return as_number(F.regexp_replace(col(c), pattern, ""))
-
-
 def item_codes(c, pattern: str = P.ITEM_CODE_PATTERN) -> Column:
     """All item codes in a text as an array (``re.findall``)."""
     return F.regexp_extract_all(col(c), F.lit(pattern), 0)

@@ -26,14 +26,16 @@ def table_keys(rows: DataFrame) -> list[str]:
 
 
 def drop_null_columns(df: DataFrame, keep=()) -> DataFrame:
-    """drop columns that are null in every row (one aggregate pass at
-    plan time; the column choice is made on the driver from one row)."""
+    """drop columns that are null in every row. Which they are depends on
+    the data, so this is a step of the sink (``sinks.write_csv``): one aggregate
+    row is read before the write."""
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).first().asDict()
     return df.select(*[c for c in df.columns if counts[c] > 0 or c in keep])
 
 
-def extracted_scan(rows: DataFrame, product: str = "style", drop_empty: bool = True) -> DataFrame:
-    """A10: extracted rows as order rows: Product required, null Product dropped."""
+def extracted_scan(rows: DataFrame, product: str = "style", drop_empty: bool = False) -> DataFrame:
+    """A10: extracted rows as order rows: Product required, null Product dropped;
+    empty columns go at the sink, or here (an action) with ``drop_empty``."""
     out = rows.withColumnRenamed(product, "Product")
     if drop_empty:
         out = drop_null_columns(out, keep=("Product",))

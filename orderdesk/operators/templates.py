@@ -4,8 +4,8 @@ producing the order-line schema ``Product, Qty, Unit Cost, Ext Cost``.
 Input is the extracted-table form of a document layout: one DataFrame per
 layout with ``doc_id``, ``row_no``, perhaps ``page_no``, and the layout's text columns
 (every document of that layout at once). Column choices that depend on content
-(B6, numeric columns) are made per table (document and page) by an aggregate
-that is joined back; only header names from a first row (B5) are read at plan time.
+(B6, numeric columns) and header names from a first row (B5) are made per table
+(document and page) by an aggregate that is joined back; nothing runs at plan time.
 """
 
 from __future__ import annotations
@@ -41,14 +41,19 @@ def rename_by_position(df: DataFrame, names: list[str], keys=KEYS) -> DataFrame:
     return df.select(*keys, *[_q(c).alias(n) for c, n in zip(data, names)])
 
 
-def header_from_first_row(df: DataFrame, keys=KEYS) -> DataFrame:
-    """The first row of a table holds the column names (MA0603 first
-    page): names read once at plan time, the row itself dropped."""
-    first = df.orderBy("row_no").first()
+def named_by_first_row(df: DataFrame) -> DataFrame:
+    """The first row of a table (document and page) holds its column names:
+    the rows below it as (keys, CELLS), CELLS mapping name -> filled cell. Each
+    table names its own columns, so the schema is the same for all of them
+    (``sinks.widen`` makes columns of the names that occur); a column without a
+    name keeps its own, of equal names the leftmost filled cell counts."""
+    tables, keys = table_keys(df), _keys(df)
     data = [c for c in df.columns if c not in keys]
-    names = [str(first[c]) if first[c] is not None else c for c in data]
-    return df.where(F.col("row_no") > first["row_no"]).select(
-        *keys, *[_q(c).alias(n) for c, n in zip(data, names)])
+    out = _first_rows(df, tables, data).where(F.col("row_no") > F.col("_top"))
+    cells = F.filter(F.array(*[F.struct(F.coalesce(F.col(f"_h{i}").cast("string"), F.lit(c)).alias("n"), _q(c).cast("string").alias("c"))
+                               for i, c in enumerate(data)]), lambda x: x["c"].isNotNull())
+    once = F.filter(cells, lambda x, i: ~F.exists(F.slice(cells, 1, i), lambda y: y["n"] == x["n"]))
+    return out.select(*keys, F.map_from_entries(once).alias("CELLS"))
 
 
 def _per_table(df: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
@@ -80,21 +85,23 @@ def _any(cond):
 
 
 def fl2658(df: DataFrame) -> DataFrame:
-    """Layout FL2658: tables with more than three columns, names mapped,
-    Product and Unit Cost required, money text to numbers (F6)."""
-    if len([c for c in df.columns if c not in KEYS]) <= 3:
-        return df.sparkSession.createDataFrame([], "doc_id bigint, row_no int, Product string, Qty double, "
-                                               "`Unit Cost` double, `Ext Cost` double")
-    out = df.withColumnsRenamed(P.LAYOUT_FL2658)
+    """Layout FL2658: of each document and page that fills more than three
+    columns, names mapped, Product and Unit Cost required, money text to
+    numbers (F6). A column the layout lacks is null."""
+    tables, keys = table_keys(df), _keys(df)
+    data = [c for c in df.columns if c not in keys]
+    width = df.groupBy(*tables).agg(sum((F.max(_q(c).isNotNull()).cast("int") for c in data), F.lit(0)).alias("_wide"))
+    out = _per_table(df, width, tables).where(F.col("_wide") > 3).withColumnsRenamed(P.LAYOUT_FL2658)
+    out = out.withColumns({c: F.lit(None).cast("string") for c in LINE if c not in out.columns})
     out = out.where(F.col("Product").isNotNull() & _q("Unit Cost").isNotNull())
-    return out.select(*KEYS, "Product", *[S.currency_to_number(_q(c)).alias(c) for c in LINE[1:]])
+    return out.select(*keys, "Product", *[S.currency_to_number(_q(c)).alias(c) for c in LINE[1:]])
 
 
 def pa1683(df: DataFrame) -> DataFrame:
     """Layout PA1683: four named columns by position, '$' and commas off,
     numbers coerced, Product and Qty required."""
-    out = df.select(*KEYS, *[_q(c) for c in P.LAYOUT_PA1683])
-    out = rename_by_position(out, LINE)
+    keys = _keys(df)
+    out = rename_by_position(df.select(*keys, *[_q(c) for c in P.LAYOUT_PA1683]), LINE, keys)
     out = out.withColumns({"Unit Cost": S.currency_to_number(_q("Unit Cost")),
                            "Ext Cost": S.currency_to_number(_q("Ext Cost"))})
     return out.where(F.col("Product").isNotNull() & F.col("Qty").isNotNull())

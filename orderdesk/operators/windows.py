@@ -75,32 +75,37 @@ def _same_slice(keys: list[str]) -> Column:
     return same
 
 
+def _in_slices(df: DataFrame, keys: list[str], order: str, slice_rows: int, **more: Column) -> DataFrame:
+    """The rows shuffled by (group, slice of ``slice_rows`` order values). Both
+    the rows and the per-slice table of a helper start from this one shuffle:
+    the table carries every column, so that Spark finds the two equal."""
+    return df.withColumns({"_sl": F.floor(F.col(order) / F.lit(slice_rows)), **more}).repartition(*keys, "_sl")
+
+
 def forward_fill(df: DataFrame, part: str | list[str], order: str, cols: list[str],
                  slice_rows: int = SLICE_ROWS) -> DataFrame:
     """pandas ``ffill`` per group: null takes the last non-null value before it.
 
     Rows are cut into slices of ``slice_rows`` consecutive order values. Each
-    slice fills itself (window keyed by (group, slice)); the last filled value
-    of every slice forms a one-row-per-slice table, whose running last value
-    is carried into the next slices. That table is aggregated from the input's
-    own values before any shuffle; the rows themselves are shuffled once.
+    slice fills itself (window keyed by (group, slice)); the last value of every
+    slice forms a one-row-per-slice table, whose running last value is carried
+    into the next slices. The input is read and shuffled once.
     """
     keys = [part] if isinstance(part, str) else list(part)
-    sl = F.floor(F.col(order) / F.lit(slice_rows))
-    data = df.withColumn("_sl", sl)
+    data = _in_slices(df, keys, order, slice_rows)
     inside = Window.partitionBy(*keys, "_sl").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = data.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(inside) for c in cols})
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     tails = data.groupBy(*keys, "_sl").agg(*[
-        F.max_by(c, F.when(F.col(f"`{c}`").isNotNull(), F.col(order))).alias(f"_t_{c}") for c in cols])
+        F.max_by(row, F.when(F.col(f"`{c}`").isNotNull(), F.col(order)))[c].alias(f"_t_{c}") for c in cols])
     prev = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
     carry = tails.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_sl").alias("_s"),
                          *[F.last(f"_t_{c}", ignorenulls=True).over(prev).alias(f"_c_{c}") for c in cols])
     # only slices that actually receive a value are joined back: one-slice
     # groups (the usual case) drop out, and the join side stays small
-    has_carry = None
+    has_carry = F.lit(False)
     for c in cols:
-        cond = F.col(f"_c_{c}").isNotNull()
-        has_carry = cond if has_carry is None else (has_carry | cond)
+        has_carry = has_carry | F.col(f"_c_{c}").isNotNull()
     out = filled.join(carry.where(has_carry), _same_slice(keys), "left").drop(
         "_s", *[f"_k{i}" for i in range(len(keys))])
     return out.withColumns({c: F.coalesce(F.col(f"_f_{c}"), F.col(f"_c_{c}")) for c in cols}).drop(
@@ -115,24 +120,26 @@ def look_ahead(df: DataFrame, part: str | list[str], row_no: str, value: Column
     share a number all stay, in any order among themselves). They are cut into
     slices of ``slice_rows`` consecutive numbers; a window keyed by (part,
     slice) answers every row but the last k of a slice, and those take the
-    first k values of the following slices from a one-row-per-slice table.
+    first k values of the following slices from a one-row-per-slice table. The
+    input is read and shuffled once.
     """
     keys = [part] if isinstance(part, str) else list(part)
     v = F.col(value) if isinstance(value, str) else value
-    data = df.withColumns({"_v": v, "_sl": F.floor(F.col(row_no) / F.lit(slice_rows))})
-    whole = Window.partitionBy(*keys, "_sl")
-    inside = data.withColumns({"_rn": F.row_number().over(whole.orderBy(row_no)),
-                               "_n": F.count(F.lit(1)).over(whole),
-                               **{f"_l{k}": F.lead("_v", k).over(whole.orderBy(row_no))
-                                  for k in range(1, steps + 1)}})
-    heads = inside.where(F.col("_rn") <= steps).groupBy(*keys, "_sl").agg(
-        F.sort_array(F.collect_list(F.struct("_rn", "_v"))).alias("_h"))
+    data = _in_slices(df, keys, row_no, slice_rows, _v=F.struct(v.alias("v")))
+    order = Window.partitionBy(*keys, "_sl").orderBy(row_no)
+    # a lead that is null lies beyond the slice (a null value is a struct that holds null)
+    leads = [f"_l{k}" for k in range(1, steps + 1)]
+    inside = data.withColumns({name: F.lead("_v", k).over(order) for k, name in enumerate(leads, 1)})
+    row = F.struct("_v", *[F.col(f"`{c}`") for c in df.columns])
+    heads = data.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= steps).groupBy(*keys, "_sl").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_rn", row.alias("r")))), lambda x: x["r"]["_v"]).alias("_h"))
     after = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(1, steps)
     carry = heads.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.col("_sl").alias("_s"),
                          F.slice(F.flatten(F.collect_list("_h").over(after)), 1, steps).alias("_c"))
     # one-slice groups (the usual case) take nothing over
     out = inside.join(carry.where(F.size("_c") > 0), _same_slice(keys), "left")
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[
-        F.when(F.col("_rn") + k <= F.col("_n"), F.col(f"_l{k}"))
-        .otherwise(F.get("_c", F.col("_rn") + k - F.col("_n") - 1)["_v"]).alias(f"{prefix}{k}")
-        for k in range(1, steps + 1)])
+    left = sum((F.col(name).isNotNull().cast("int") for name in leads), F.lit(0))  # rows left in the slice, k at most
+    return out.withColumn("_left", left).select(*[F.col(f"`{c}`") for c in df.columns], *[
+        F.when(F.col(name).isNotNull(), F.col(name)["v"])
+        .otherwise(F.get("_c", F.lit(k - 1) - F.col("_left"))["v"]).alias(f"{prefix}{k}")
+        for k, name in enumerate(leads, 1)])

@@ -6,11 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.documents import drop_null_columns
 from ..params import TRIAGE_MIN_ROWS
 
 
-def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """CSV report with header (sorted by ``order`` within the output)."""
+def write_csv(df: DataFrame, path: str, order: list[str] | None = None, drop_empty: bool = False) -> None:
+    """CSV report with header (sorted by ``order`` within the output);
+    ``drop_empty`` leaves out columns without a value (F20)."""
+    if drop_empty:
+        df = drop_null_columns(df, keep=order or ())
     out = df.orderBy(*order) if order else df
     out.write.mode("overwrite").option("header", True).csv(path)
 

@@ -40,14 +40,30 @@ def test_nv0356(spark):
     assert got == [(2, "AB12", 6.0, 9.0, "412000000001"), (3, "AB12", 6.0, 9.0, "412000000002")]
 
 
-def test_header_from_first_row_and_ma0603_retail(spark):
-    df = spark.createDataFrame([(1, 1, "UPC-A/EAN", "DESCRIPTION X", "PRICE"), (1, 2, "4120", "Tree", "UNIT RETAIL"),
-                                (1, 3, None, "n", "x"), (1, 4, "4121", "Star", "9.99")],
-                               "doc_id bigint, row_no int, a string, b string, c string")
-    named = T.header_from_first_row(df)
-    assert named.columns == ["doc_id", "row_no", "UPC-A/EAN", "DESCRIPTION X", "PRICE"]
-    got = [(r["row_no"], r["DESCRIPTION"], r["Retail"]) for r in T.ma0603_retail(named).orderBy("row_no").collect()]
-    assert got == [(2, "Tree", "9.99"), (4, "Star", None)]
+def test_first_row_names_each_tables_columns(spark):
+    df = spark.createDataFrame([(1, 1, 1, "UPC", "TEXT", None), (1, 1, 2, "4120", "Tree", "x"), (1, 1, 3, None, None, None),
+                                (1, 2, 5, "TEXT", "TEXT", "UPC"), (1, 2, 6, None, "Star", "9"), (2, 1, 1, "A", "B", "C")],
+                               "doc_id bigint, page_no int, row_no int, c0 string, c1 string, c2 string")
+    got = T.named_by_first_row(df)
+    assert got.columns == ["doc_id", "page_no", "row_no", "CELLS"]
+    assert sorted((r.doc_id, r.page_no, r.row_no, r.CELLS) for r in got.collect()) == [
+        (1, 1, 2, {"UPC": "4120", "TEXT": "Tree", "c2": "x"}), (1, 1, 3, {}), (1, 2, 6, {"TEXT": "Star", "UPC": "9"})]
+
+
+def test_fl2658_and_pa1683_per_document_and_page(spark):
+    cols = "doc_id bigint, page_no int, row_no int, `ITEM NO.` string, QTY string, `Unit Price` string, SubTotal string"
+    df = spark.createDataFrame([(1, 1, 1, "A1", "2", "$1,000.5", "$9"), (1, 1, 2, None, "2", "1", "1"), (1, 2, 1, "B2", "3", "2", "6"),
+                                (2, 1, 1, "C3", "4", "5", None), (None, None, 1, "D4", "1", "2", "3")], cols)
+    got = T.fl2658(df)
+    assert got.columns == ["doc_id", "page_no", "row_no", "Product", "Qty", "Unit Cost", "Ext Cost"]
+    assert sorted((str(r.doc_id), r.page_no, r.row_no, r.Product, r.Qty, r["Unit Cost"]) for r in got.collect()) == [
+        ("1", 1, 1, "A1", 2.0, 1000.5), ("1", 2, 1, "B2", 3.0, 2.0), ("None", None, 1, "D4", 1.0, 2.0)]
+    three = df.drop("SubTotal")
+    assert T.fl2658(three).count() == 0 and T.fl2658(three.drop("page_no")).count() == 0
+    pa = spark.createDataFrame([(1, 1, 1, "x", "A1", "2", "$1.5", "$3"), (1, 2, 1, "x", "B1", "2", "n/a", "$1,000"), (1, 2, 2, "x", "B2", None, "1", "1")],
+                               "doc_id bigint, page_no int, row_no int, TEXT string, `SUPPLIER #` string, QTY string, `PRICE/UN` string, AMOUNT string")
+    assert sorted((r.page_no, r.row_no, r.Product, r["Unit Cost"], r["Ext Cost"]) for r in T.pa1683(pa).collect()) == [
+        (1, 1, "A1", 1.5, 3.0), (2, 1, "B1", None, 1000.0)]
 
 
 def test_rename_by_position_checks_count(spark):

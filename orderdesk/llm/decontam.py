@@ -14,7 +14,11 @@ in lower case; also those the text writes with a capital inside a sentence), and
 any reading of an item may match any reading of a text.
 
 The benchmark is taken in blocks of bounded size, each sent to the tasks as a
-table of window hashes; documents never move.
+table of window hashes; documents never move. A sieve over the letters of a
+whole batch first sets aside the texts that cannot hold a window: those without
+a run of enough tokens that are each a word of the benchmark, a unit, a number
+or capitalised. Items too short for a template are looked for as they are
+written.
 """
 
 from __future__ import annotations
@@ -22,15 +26,17 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
+import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import add_columns, free_name, text_of
+from .repeats import _mixed, _powers
 
 WINDOW = 8
-#: Items with fewer template tokens are not looked for.
+#: Items with fewer template tokens are found only as they are written (same words, signs and capitals).
 LEAST_TOKENS = 5
 COVERAGE = 0.5
 #: Shifts so close to an alignment belong to it (words put in or left out).
@@ -103,6 +109,87 @@ def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class _Letters:
+    """What each code point is, for whole arrays of them: part of a word, a digit, a capital; its lower case."""
+
+    made = None
+
+    @classmethod
+    def tables(cls):
+        if cls.made is None:
+            points = np.r_[np.arange(0xD800), np.arange(0xE000, 0x110000)]
+            every = points.astype("<u4").tobytes().decode("utf-32-le")
+            word = np.zeros(0x110000, dtype=bool)
+            lower = np.arange(0x110000, dtype=np.uint32)
+            free, digit = np.zeros(0x110000, dtype=bool), np.zeros(0x110000, dtype=bool)
+            for m in re.finditer(r"\w+", every):
+                word[points[m.start():m.end()]] = True
+                for c in m.group():
+                    low = c.lower()
+                    lower[ord(c)] = 0x3C3 if low == "ς" else ord(low[0])  # one sigma: its form depends on its place
+                    digit[ord(c)] = c.isdigit()
+                    free[ord(c)] = c.isupper() or c.isdigit()
+            cls.made = word, lower, free, digit
+        return cls.made
+
+
+class Sieve:
+    """Finds the texts of a batch that may hold a window of a template: ``least`` tokens in a row, each a
+    word of the benchmark or free (capitalised, a number, a unit after one), where any three words in a row
+    stand so in the benchmark too. Words of a template that follow each other do so in the text, so no
+    window is lost; hashes are looked up in tables of bits, so a text may pass for nothing.
+    """
+
+    WORDS, THREES, LARGEST = 22, 24, 4_000_000
+
+    def __init__(self, items: list[str], least: int):
+        self.least = least
+        self.units = np.sort(self._tokens(sorted(UNITS))[1])
+        self.words, self.threes = (np.zeros(1 << n, dtype=bool) for n in (self.WORDS, self.THREES))
+        for s in range(0, len(items), 1000):
+            text, h, _, _ = self._tokens(items[s:s + 1000])
+            self.words[h >> np.uint64(64 - self.WORDS)] = True
+            self.threes[self._three(h)[text[2:] == text[:-2]]] = True
+
+    @staticmethod
+    def _tokens(texts: list[str]):
+        """Text, hash of the lower case, and whether it starts with a capital or digit, or a digit, of each run of letters."""
+        word, lower, free, digit = _Letters.tables()
+        raw = np.frombuffer("\n".join(texts).encode("utf-32-le"), dtype="<u4")
+        edge = np.diff(np.r_[False, word[raw], False].astype(np.int8))
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        up, down = _powers(len(raw) + 1)
+        part = (lower[raw].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((part ^ (part >> np.uint64(29))) * up[:len(raw)], dtype=np.uint64)])
+        h = _mixed((total[end] - total[start]) * down[start]) * np.uint64(0xD6E8FEB86659FD93)
+        text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, np.cumsum([0] + [len(t) + 1 for t in texts]))))
+        first = raw[start]
+        return text, h, free[first], digit[first]
+
+    def _three(self, h: np.ndarray) -> np.ndarray:
+        mixed = (h[:-2] * np.uint64(0xBF58476D1CE4E5B9) ^ h[1:-1]) * np.uint64(0x94D049BB133111EB) ^ h[2:]
+        return (mixed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.THREES)
+
+    def passing(self, texts: list[str]) -> np.ndarray:
+        """Indices of the texts that may hold a window."""
+        if sum(map(len, texts)) > self.LARGEST:  # one very long text: read it as it is
+            return np.arange(len(texts))
+        text, h, free, digit = self._tokens(texts)
+        if len(h) < self.least:
+            return np.zeros(0, dtype=np.int64)
+        after = np.flatnonzero(_after(digit))
+        free[after[np.isin(h[after], self.units)]] = True
+        known = self.words[h >> np.uint64(64 - self.WORDS)]
+        place = np.arange(len(h))
+        begin = np.where(free | known, 0, place + 1)  # no run goes over an unknown word
+        begin[1:] = np.maximum(begin[1:], np.where(text[1:] != text[:-1], place[1:], 0))
+        fixed = known & ~free
+        odd = np.flatnonzero(fixed[2:] & fixed[1:-1] & fixed[:-2]) + 2
+        odd = odd[~self.threes[self._three(h)[odd - 2]]]
+        begin[odd] = np.maximum(begin[odd], odd - 1)
+        return np.unique(text[place - np.maximum.accumulate(begin) + 1 >= self.least])
+
+
 def known_windows(ids: np.ndarray, n: int):
     """Places and hashes of the windows whose words all occur in the benchmark (no other window can match)."""
     edge = np.ones(len(ids) + 2, dtype=bool)
@@ -146,6 +233,18 @@ class Bench:
                 for q, h in enumerate(window_hashes(ids, n).tolist()):
                     by_size[n][h].append((k, q))
         self.sizes = {n: (np.array(sorted(table), dtype=np.uint64), dict(table)) for n, table in by_size.items()}
+        self.sieve = Sieve([text for _, text in items], min(by_size, default=WINDOW))
+        # short items by their longest token; one token alone is no item
+        self.short = defaultdict(list)
+        for item, tokens in texts:
+            real = [t for t in tokens if _flags(t, t.lower()) != BREAK]
+            if len(tokens) > 1 and real and all(len(ids) < LEAST_TOKENS for ids, _ in self.readings(tokens)):
+                self.short[max(real, key=len)].append((item, tokens))
+        self.finder = ahocorasick.Automaton() if self.short else None
+        for key in self.short:
+            self.finder.add_word(key, key)
+        if self.short:
+            self.finder.make_automaton()
 
     def codes(self, tokens: list[str]):
         memo, vocab = self.memo, self.vocab
@@ -163,9 +262,8 @@ class Bench:
     def find(self, texts: list[str]) -> list[list[dict]]:
         """For each text the items it contains."""
         out = [[] for _ in texts]
-        if not self.items:
-            return out
-        for i, text in enumerate(texts):
+        for i in self.sieve.passing(texts).tolist() if self.items else []:
+            text = texts[i]
             tokens = TOKEN.findall(text)
             best = {}
             for ids, at in self.readings(tokens):
@@ -185,6 +283,26 @@ class Bench:
                 out[i] = [{**best[k], "start": spans[best[k]["start"]][0], "end": spans[best[k]["end"]][1]} for k in sorted(best)]
         return out
 
+    def find_short(self, texts: list[str], out: list[list[dict]]) -> list[list[dict]]:
+        """Adds the short items that stand in a text token by token."""
+        for i, text in enumerate(texts if self.finder else []):
+            keys = {key for _, key in self.finder.iter(text)}
+            if not keys:
+                continue
+            tokens, best = TOKEN.findall(text), {}
+            for key in sorted(keys):
+                for p in [p for p, t in enumerate(tokens) if t == key]:
+                    for item, want in self.short[key]:
+                        at = p - want.index(key)
+                        if at >= 0 and tokens[at:at + len(want)] == want:
+                            best.setdefault(item, (at, at + len(want) - 1))
+            if best:
+                spans = [m.span() for m in TOKEN.finditer(text)]
+                new = {k: {"item_id": k, "coverage": 1.0, "same_values": True, "start": spans[a][0], "end": spans[b][1]}
+                       for k, (a, b) in best.items()}
+                out[i] = [x for _, x in sorted(({x["item_id"]: x for x in out[i]} | new).items())]
+        return out
+
     def _judge(self, k, shifts, tokens, at, best):
         """Slot check along each shift, alone and with the shifts near it; ``best`` keeps the widest cover of every item."""
         item, words, want, n = self.items[k]
@@ -231,10 +349,12 @@ def match(docs: DataFrame, benchmark: DataFrame, column: str = "leaks", keep=Non
 
     One entry per item: item_id, coverage (share of its template tokens),
     same_values (no slot was replaced), start and end (characters). Null and
-    empty texts contain nothing; items without an id or with fewer than
-    ``LEAST_TOKENS`` tokens are not looked for; rows with the same item_id are
+    empty texts contain nothing; items without an id or of one token are not
+    looked for, those with fewer than ``LEAST_TOKENS`` template tokens only
+    as they are written; rows with the same item_id are
     separate texts of one item; repeated documents each give a row; an empty
-    benchmark gives empty lists.
+    benchmark gives empty lists. A very long text takes memory in proportion to
+    its length; columns of any name pass through.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c != column]
     out, found = docs, []
@@ -243,7 +363,11 @@ def match(docs: DataFrame, benchmark: DataFrame, column: str = "leaks", keep=Non
 
         def build(shared=shared):
             bench = Bench(shared.value)
-            return lambda texts: [bench.find([t or "" for t in texts.to_pylist()])]
+
+            def call(texts):
+                texts = [t or "" for t in texts.to_pylist()]
+                return [bench.find_short(texts, bench.find(texts))]
+            return call
 
         name = free_name(out, f"_leaks{len(found)}")
         out = add_columns(out, build, ["text"], [(name, HIT)], None if keep is None else [*dict.fromkeys([*kept, "text", *found])])

@@ -154,7 +154,8 @@ def request_rows(items: DataFrame, contacts: DataFrame, fx: DataFrame,
 def price_requests(items: DataFrame, contacts: DataFrame, fx: DataFrame,
                    season: str = SEASON, photo_limit: int = PHOTO_ITEM_LIMIT) -> DataFrame:
     """The request rows, ROW_NO numbering each vendor's items by PRODCT."""
-    return row_numbers(request_rows(items, contacts, fx, season, photo_limit), ["SUPPLR"], ["PRODCT"], "ROW_NO")
+    rows = request_rows(items, contacts, fx, season, photo_limit)
+    return row_numbers(rows, ["SUPPLR"], ["PRODCT"], "ROW_NO", bounds_of=prepare_items(items, season))
 
 
 def with_new_costs(requests: DataFrame, quotes: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def _rank_in(sorted_keys: str, key: Column) -> Column:
 
 
 def row_numbers(df: DataFrame, part: list[str], order: list[str], name: str = "ROW_NO",
-                slice_rows: int = SLICE_ROWS) -> DataFrame:
+                slice_rows: int = SLICE_ROWS, bounds_of: DataFrame | None = None) -> DataFrame:
     """1..n per ``part`` in ``order`` (which must be unique within ``part``).
 
     About one row in ``slice_rows``, picked by a hash of its keys, bounds a
@@ -44,10 +44,11 @@ def row_numbers(df: DataFrame, part: list[str], order: list[str], name: str = "R
     is built, and a recomputed task finds the same slices. Slices number their
     own rows; the counts of the slices before are added. Groups without a bound
     (nearly all of fewer rows than ``slice_rows``) are one slice and take no
-    part in the counts.
+    part in the counts. ``bounds_of``: a table with the same keys that is cheaper
+    to compute (the rows before a join, say) and holds the bounds as well.
     """
     keys = [f"_k{i}" for i in range(len(part))]
-    bound = df.where(F.pmod(F.xxhash64(*part, *order), F.lit(slice_rows)) == 0)
+    bound = (df if bounds_of is None else bounds_of).where(F.pmod(F.xxhash64(*part, *order), F.lit(slice_rows)) == 0)
     bounds = bound.groupBy(*[F.col(c).alias(k) for c, k in zip(part, keys)]).agg(
         F.array_sort(F.collect_set(F.struct(*order))).alias("_b"))
     # null-safe on the group keys: rows without a key are a group of their own

@@ -41,6 +41,9 @@ def test_row_numbers_of_a_hot_group_in_slices(spark):
     # the slices: the hot group lies in some thirty of them, in order
     bounds = df.where("k = 'hot'").where(F.pmod(F.xxhash64("k", "item"), F.lit(100)) == 0).count()
     assert bounds > 10
+    more = df.union(df.withColumn("item", F.concat("item", F.lit("x")))).where("item is not null")
+    other = windows.row_numbers(df, ["k"], ["item"], slice_rows=100, bounds_of=more)
+    assert sorted((r.k or "", r.v, r.ROW_NO) for r in other.collect()) == want
     both = windows.row_numbers(df, ["k", "item"], ["v"], slice_rows=2)
     assert {r.ROW_NO for r in both.collect()} == {1}
 

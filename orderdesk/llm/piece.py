@@ -11,10 +11,15 @@ Simultaneous merging equals the library's one-at-a-time queue: an occurrence
 whose new symbol would form a pair of equal or better rank with a neighbour
 holds back the later occurrences near it (within twice the longest piece)
 until the next round.
+
+A word of more than ``LONG_WORD`` characters has rounds of its own: its symbols
+are linked to their neighbours and its pairs lie sorted by rank, so a round
+touches the pairs it merges, not the whole word.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import struct
 from hashlib import sha256
@@ -29,10 +34,16 @@ from .common import add_columns, text_of
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NONE = np.int64(1) << 40
+#: No pair, and a symbol merged into another, among the 32-bit numbers of a long word.
+NONE_32, GONE = np.int32(2 ** 31 - 1), np.int32(-2 ** 31)
+#: Pairs looked up at once in a long word.
+LONG_STEP = 1 << 18
 #: Words kept per task; the cache starts anew beyond it (bounded memory).
 CACHE_WORDS = 250_000
 #: Words whose merge rounds run at once.
 BATCH_WORDS = 50_000
+#: Characters from which a word's pairs are kept by rank.
+LONG_WORD = 4096
 
 
 def _fields(buf: bytes):
@@ -163,6 +174,10 @@ class PieceModel:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as the bytes of an int32 array."""
+        short = [w for w in words if len(w) <= LONG_WORD]
+        if len(short) < len(words):
+            made = iter(self.encode_words(short) if short else ())
+            return [next(made) if len(w) <= LONG_WORD else self.encode_long(w) for w in words]
         codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         word = np.repeat(np.arange(len(words)), sizes)
@@ -224,6 +239,67 @@ class PieceModel:
         order = np.argsort(place, kind="stable")
         return self._ids(word[order], sym[order], len(words))
 
+    def encode_long(self, word: str) -> bytes:
+        """Ids of one word by the same rounds, over linked symbols and pairs kept by rank."""
+        codes = np.frombuffer(word.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        n = len(codes)
+        sym = self.char[codes]
+        sym = np.append(np.where(sym < 0, -2 - codes, sym), -1).astype(np.int32)  # place n: the end
+        after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+        rank, made = np.full(n + 1, NONE_32, dtype=np.int32), np.zeros(n + 1, dtype=np.int32)
+        queue, held = [], {}
+
+        def pairs(at):
+            """Look up the pairs that begin at these places and keep them by rank."""
+            r, m = self._lookup(sym[at].astype(np.int64), sym[after[at]].astype(np.int64))
+            rank[at], made[at] = np.minimum(r, NONE_32), m
+            at, r = at[r < NONE], r[r < NONE]
+            order = np.argsort(r, kind="stable")
+            at, r = at[order], r[order]
+            first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]]) if len(r) else r
+            for a, b, k in zip(first.tolist(), [*first[1:].tolist(), len(r)], r[first].tolist()):
+                if k in held:
+                    held[k].append(at[a:b])
+                else:
+                    held[k] = [at[a:b]]
+                    heapq.heappush(queue, k)
+
+        for c in range(0, n, LONG_STEP):
+            pairs(np.arange(c, min(n, c + LONG_STEP)))
+        while queue:
+            best = heapq.heappop(queue)
+            cand = np.concatenate(held.pop(best))
+            cand = np.unique(cand[rank[cand] == best])
+            if not len(cand):
+                continue
+            run = np.r_[True, after[cand[:-1]] != cand[1:]]
+            run_at = np.maximum.accumulate(np.where(run, np.arange(len(cand)), 0))
+            pick = cand[(np.arange(len(cand)) - run_at) % 2 == 0]
+            gone = after[pick]
+            prod = made[pick].astype(np.int64)
+            # pairs that the new symbol would form with its neighbours
+            right = sym[after[gone]].astype(np.int64)
+            left = np.where(pick > 0, sym[before[pick]], -1).astype(np.int64)
+            touch = np.r_[False, after[gone[:-1]] == pick[1:]]
+            left = np.where(touch, np.r_[0, prod[:-1]], left)
+            halt = (self._lookup(prod, right)[0] <= best) | (self._lookup(left, prod)[0] <= best)
+            if halt.any():
+                apart = np.r_[True, np.diff(pick) > self.reach]
+                earlier = np.cumsum(halt) - halt
+                base = np.maximum.accumulate(np.where(apart, earlier, 0))
+                go = earlier == base
+                pick, gone, prod = pick[go], gone[go], prod[go]
+            if len(pick) < len(cand):  # what was not merged is looked at again
+                held[best] = [cand]
+                heapq.heappush(queue, best)
+            beyond = after[gone]
+            sym[pick], rank[gone] = prod, NONE_32
+            after[pick], before[beyond] = beyond, pick
+            pairs(np.unique(np.r_[pick, before[pick][before[pick] >= 0]]))
+            sym[gone] = GONE
+        sym = sym[:n][sym[:n] != GONE].astype(np.int64)
+        return self._ids(np.zeros(len(sym), dtype=np.int64), sym, 1)[0]
+
     def _ids(self, word, sym, n) -> list[bytes]:
         odd = np.flatnonzero((sym < 0) | (sym >= self.n_pieces))
         if len(odd):  # characters without a piece: their UTF-8 bytes

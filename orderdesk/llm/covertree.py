@@ -28,7 +28,7 @@ from .graph import components
 
 THRESHOLD = 0.9
 #: Vectors of the sample that the top centres come from; centres; vectors in a block.
-SAMPLE, CENTRES, BLOCK = 2048, 64, 4096
+SAMPLE, CENTRES, BLOCK = 2048, 64, 8192
 #: Radius of the cells' net, then of the nested nets inside a block.
 TOP, RADII = 1.0, (0.5, 0.25, 0.125)
 SLACK = 1e-4
@@ -260,7 +260,10 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, vec_id: str = "
     """
     spark = df.sparkSession
     v = F.col("embedding")
-    rows = df.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding"))
+    # single-precision input travels as it is; tasks compute in double precision
+    single = df.select(F.col(embedding)).schema[0].dataType == T.ArrayType(T.FloatType())
+    kind = "array<float>" if single else "array<double>"
+    rows = df.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast(kind).alias("embedding"))
     sound = (v.isNotNull() & F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists(v, lambda e: e != 0))
     rows = rows.withColumn("cid", F.when(F.coalesce(sound, F.lit(False)), F.xxhash64(v)))
     classes = rows.where("cid is not null").groupBy("cid", "embedding").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least"))
@@ -286,7 +289,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, vec_id: str = "
     table = spark.createDataFrame([(c, *place[c], [list(p) for p in partner[c]]) for c in place],
                                   "cell int, first int, many int, partners array<array<int>>")  # a row per cell
     rows_ = placed.join(F.broadcast(table), "cell").withColumn("block", F.col("first") + F.pmod(F.hash("cid"), F.col("many")))
-    grown_type = "cid long, n long, embedding array<double>, block int, partners array<array<int>>, path array<long>"
+    grown_type = f"cid long, n long, embedding {kind}, block int, partners array<array<int>>, path array<long>"
 
     def grown(pdf):
         # vectors of another length are in cells, so in blocks, of their own or are grown apart

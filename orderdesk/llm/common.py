@@ -77,6 +77,16 @@ def add_columns(df: DataFrame, fn: Callable[..., Sequence[pa.Array]], inputs: Se
     return narrow.mapInArrow(run, schema)
 
 
+def fresh_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows under computed whole-number keys, for the per-key side of a join with rows.
+
+    An aggregate already lies by its key, so such a join would shuffle only the
+    rows and could not be split. Under a computed key its few rows are shuffled
+    for the join too, and AQE deals a hot key of the other side out to several tasks.
+    """
+    return df.withColumns({k: F.col(k).bitwiseXOR(F.lit(0)) for k in keys})
+
+
 def text_of(column: str = "text"):
     """The text, null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

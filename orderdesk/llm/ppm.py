@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, materialise, text_of
+from .common import fold, fresh_keys, materialise, text_of
 
 ORDER = 4
 #: Bytes of text in a block; a longer text is a block of its own.
@@ -236,9 +236,10 @@ def log_probabilities(grams_: DataFrame, order: int = ORDER) -> DataFrame:
         state = state.withColumns({"g": F.col("gram").bitwiseAND(mask), "ctx": F.shiftright(F.col("gram").bitwiseAND(mask), 8),
                                    "long_ctx": F.shiftright(F.col("gram").bitwiseAND((1 << 8 * (k + 2)) - 1), 8)})
         state = state.join(tables[k].select(F.col("gram").alias("g"), "n"), "g", "left")
-        state = state.join(tables[f"nodes{k}"].select("ctx", F.col("t").alias("t0"), F.col("d").alias("d0")), "ctx", "left")
+        nodes = fresh_keys(tables[f"nodes{k}"].select("ctx", F.col("t").alias("t0"), F.col("d").alias("d0")), "ctx")
+        state = state.join(nodes, "ctx", "left")
         if k < order:
-            state = state.join(tables[f"left{k}"].select("long_ctx", "t", "d"), "long_ctx", "left")
+            state = state.join(fresh_keys(tables[f"left{k}"].select("long_ctx", "t", "d"), "long_ctx"), "long_ctx", "left")
             t = F.when(F.col("entered"), F.col("t")).otherwise(F.col("t0"))
             d = F.when(F.col("entered"), F.col("d")).otherwise(F.col("d0"))
         else:

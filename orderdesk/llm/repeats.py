@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_BYTES, add_columns, materialise, text_of
+from .common import SLICE_BYTES, add_columns, fresh_keys, materialise, text_of
 
 LENGTH, GRAM = 400, 100
 #: Window starts handled at once in a task.
@@ -242,18 +242,18 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int
     key = ["gram", "region", "hi", "lo"]
     rows = materialise(anchors(docs, length, gram), "anchors")
     twice = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
-    rows = materialise(rows.join(twice.hint("merge"), "gram", "left_semi"), "shared")
+    rows = materialise(rows.join(fresh_keys(twice, "gram").hint("merge"), "gram", "left_semi"), "shared")
     regions = materialise(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "pos")).alias("one")), "regions")
     whole = rows.join(regions.where("n > 1").select(*key), key, "left_semi")
     several = regions.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    ask = regions.join(several, "gram").select("one.*", "hi", "lo", "n", "gram", "members")
+    ask = regions.join(fresh_keys(several, "gram"), "gram").select("one.*", "hi", "lo", "n", "gram", "members")
     ask = ask.groupBy("doc_id", "th").agg(F.collect_list(F.struct("pos", "hi", "lo", "n", "gram", "members")).alias("rows"))
     texts = _packed(docs.where(F.octet_length(text_of()) >= length)).withColumnsRenamed({"doc_id": "_id", "th": "_th"})
     asked = texts.join(ask.hint("merge"), texts["_id"].eqNullSafe(ask["doc_id"]) & (texts["_th"] == ask["th"]))
     asked = materialise(_region_bytes(asked.select("doc_id", "th", "packed", "rows"), length), "opened")
     windows = _open_windows(asked.where(F.col("members") > group), length)
     equal = windows.groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 1").select("a", "b")
-    single = windows.where("n = 1").join(equal.hint("merge"), ["a", "b"], "left_semi")
+    single = windows.where("n = 1").join(fresh_keys(equal, "a", "b").hint("merge"), ["a", "b"], "left_semi")
     spans = whole.select("doc_id", "th", (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + length).alias("end"))
     spans = spans.unionByName(_settle(asked.where(F.col("members") <= group), length))
     spans = spans.unionByName(single.select("doc_id", "th", "start", (F.col("start") + length).alias("end")))

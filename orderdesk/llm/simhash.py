@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, free_name, materialise, text_of, token_bytes
+from .common import add_columns, free_name, fresh_keys, materialise, text_of, token_bytes
 from .graph import components
 
 CHUNK = 1 << 16
@@ -87,14 +87,14 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     masks = ", ".join(f"struct({i} as k, fp & {_literal(m)} as v)" for i, m in enumerate(block_masks(distance)))
     keys = fps.select("fp", F.expr(f"inline(array({masks}))"))
     shared = keys.groupBy("k", "v").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("k", "v")
-    suspects = materialise(keys.join(shared.hint("merge"), ["k", "v"], "left_semi").select("fp").distinct(), "suspects")
+    suspects = materialise(keys.join(fresh_keys(shared, "k", "v").hint("merge"), ["k", "v"], "left_semi").select("fp").distinct(), "suspects")
     low, high = distance // 2, distance - distance // 2
     spread = suspects.repartition("fp").select(
         "fp", F.explode(F.expr(f"array({', '.join(map(_literal, ball(high)))})")).alias("m"))
     spread = spread.select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("z"), (F.bit_count("m") <= low).alias("near"))
     hubs = spread.where("near").groupBy("z").agg(F.min("fp").alias("hub"))
     # a size estimate does not see the explosion: never broadcast these
-    return (spread.hint("merge").join(hubs.hint("merge"), "z").where("fp <> hub")
+    return (spread.hint("merge").join(fresh_keys(hubs, "z").hint("merge"), "z").where("fp <> hub")
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= distance)
             .select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct())
 
@@ -134,7 +134,7 @@ def survivors(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame
     keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("th"))
     prints = materialise(fingerprints(keyed, shingle, keep=["doc_id", "th"]), "fingerprints")
     grouped = cluster(prints.select("fp").distinct(), distance)
-    first = prints.join(grouped, "fp").groupBy("group").agg(
+    first = prints.join(fresh_keys(grouped, "fp"), "fp").groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("one"))
     own, th = free_name(docs, "_id"), free_name(docs, "_th")
     chosen = first.select(F.col("one.doc_id").alias(own), F.col("one.th").alias(th)).distinct()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.rules import any_flag, flag, fresh_key, ne, parse_date, ratio, truthy
 from ..params import TYPE_NAMES, ShippingParams
-from ..session import ensure_checkpoint_dir, written
+from ..session import by_whole_row, ensure_checkpoint_dir, written
 
 LINE_COLS = ["PURORD", "SUPPLR", "PRODCT", "ORDQTY", "OUTQTY", "CONDAT", "NEWCONDAT",
              "DATEDFF", "TYPE", "PCTSHIP"]
@@ -436,12 +436,12 @@ def rows_to_insert(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """Incoming rows whose whole value is not stored yet (once each).
 
     Incoming and stored rows are tagged, united and grouped on every column
-    (grouping treats nulls as equal, so the test is null-safe). Partial
-    aggregation collapses a value repeated many times before the shuffle.
+    (grouping treats nulls as equal, so the test is null-safe), in the pieces
+    of ``by_whole_row``.
     """
     cols = existing.columns
-    tagged = existing.select(*cols).withColumn("_old", F.lit(1)).unionByName(
-        incoming.select(*cols).withColumn("_old", F.lit(0)))
+    tagged = by_whole_row(existing.select(*cols)).withColumn("_old", F.lit(1)).unionByName(
+        by_whole_row(incoming.select(*cols)).withColumn("_old", F.lit(0)))
     return (tagged.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.max("_old").alias("_old"))
             .where(F.col("_old") == 0).select(*cols))
 

@@ -12,6 +12,7 @@ from ..functions.rules import parse_date, truthy
 from ..operators import contacts as K
 from ..operators import shipping as SH
 from ..params import SEND_DATE, ShippingParams
+from ..session import by_whole_row
 from ..sources import catalog, store
 from .registry import check
 
@@ -247,7 +248,7 @@ def insert_absent(spark):
     import dataclasses
     import datetime as dt
     earlier = dataclasses.replace(P, as_of=dt.date(1998, 5, 15))
-    existing = SH.shipments(_lines(spark), earlier).distinct()
+    existing = by_whole_row(SH.shipments(_lines(spark), earlier)).distinct()
     incoming = SH.shipments(_lines(spark), P)
     return SH.insert_absent(incoming, existing)
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import DecimalType
 from ..functions import scalars as S
 from ..functions.rules import dec, flag, ne, truthy
 from ..params import CUSTOMER_CODE, OrderParams
+from ..session import pieces
 
 
 def outlet(df: DataFrame) -> DataFrame:
@@ -134,9 +135,13 @@ def dummy_check(customer: DataFrame, dummy: DataFrame, code: str = CUSTOMER_CODE
         cust = cust.join(codes.select("Customer", F.col("CODE").alias("_code")), "Customer", "left").withColumn(
             "Product", F.when(F.col("_code").isNull(), F.col("Product")).otherwise(
                 F.replace(F.col("Product"), F.concat(F.lit("Y"), F.col("_code")), F.lit(""))))
-    c = cust.where(F.col("Product").isNotNull()).groupBy(*by).agg(
+    cust, dummy = (df.where(F.col("Product").isNotNull()) for df in (cust, dummy))
+    if keys:
+        # an order hardly repeats a product: summing before the shuffle would save none and hold every group of a task
+        cust, dummy = (df.repartition(pieces(df.sparkSession), *by) for df in (cust, dummy))
+    c = cust.groupBy(*by).agg(
         F.coalesce(F.sum("Ordered"), F.lit(0)).cast("bigint").alias("Ordered"))
-    d = dummy.where(F.col("Product").isNotNull()).groupBy(*by).agg(
+    d = dummy.groupBy(*by).agg(
         F.coalesce(F.sum("Dummy_Qty"), F.lit(0)).cast("bigint").alias("Dummy_Qty"))
     j = d.join(c, by, "full")
     return j.withColumn("FLAG", flag(ne("Ordered", "Dummy_Qty")))

@@ -1,5 +1,6 @@
 """Whole-row and per-order grouping in pieces that AQE does not put together."""
 
+from orderdesk.operators import orders as O
 from orderdesk.operators import shipping as SH
 from orderdesk.session import by_whole_row, pieces
 
@@ -14,3 +15,16 @@ def test_rows_to_insert_are_grouped_in_pieces(spark):
     assert SH.insert_absent(more, stored).count() == 8  # stored rows stay as they are
     held = by_whole_row(stored).distinct()
     assert held.rdd.getNumPartitions() == pieces(spark) and held.count() == 4
+
+
+def test_dummy_check_per_order_is_summed_in_pieces(spark):
+    cust = spark.createDataFrame([("a", 1, "YKXP1", 2), ("a", 1, "YKXP1", 3), ("a", 2, "YKXP1", 1), (None, 1, "YKXP1", 4)],
+                                 "Customer string, PO long, Product string, Ordered int")
+    dummy = spark.createDataFrame([("a", 1, "P1", 5), ("a", 2, "P1", 2), (None, 1, "P1", 4), ("b", 9, "P2", 1), ("b", 9, None, 1)],
+                                  "Customer string, PO long, Product string, Dummy_Qty int")
+    out = O.dummy_check(cust, dummy, keys=("Customer", "PO"))
+    assert out.rdd.getNumPartitions() == pieces(spark)
+    got = sorted((tuple(r) for r in out.select("Customer", "PO", "Product", "Dummy_Qty", "Ordered", "FLAG").collect()), key=str)
+    # orders without a customer meet none
+    assert got == sorted([("a", 1, "P1", 5, 5, 0), ("a", 2, "P1", 2, 1, 1), (None, 1, "P1", 4, None, 1), (None, 1, "P1", None, 4, 1),
+                          ("b", 9, "P2", 1, None, 1)], key=str)

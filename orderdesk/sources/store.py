@@ -9,7 +9,7 @@ way may be repeated too: rows it did store are found like any others.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-BUCKETS = 64
+#: As many as Spark shuffles to without sorting in the task that writes (200 at most).
+BUCKETS = 192
 HASH, LOAD = "_row_hash", "_load_id"
 
 
@@ -43,7 +44,10 @@ def open_store(spark: SparkSession, name: str, schema: T.StructType, folder: str
         empty = spark.createDataFrame([], T.StructType([*fields, T.StructField(LOAD, T.StringType()), T.StructField(HASH, T.LongType())]))
         _writer(held, empty).option("path", f"{folder}/rows").saveAsTable(name)
         spark.createDataFrame([], "load_id string").write.option("path", f"{folder}/loads").saveAsTable(held.loads_name)
-    return held
+        return held
+    # a table keeps the buckets it was made with
+    made = spark.sql(f"describe extended {name}").where("col_name = 'Num Buckets'").first()
+    return replace(held, buckets=int(made["data_type"]))
 
 
 def _writer(held: Store, df: DataFrame):
@@ -67,9 +71,9 @@ def absent(held: Store, incoming: DataFrame) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in held.columns]
     # each value with its being null, so that the hash tells nulls from blanks and columns from each other
     row_hash = F.xxhash64(*[F.struct(c.isNull(), c) for c in columns])
-    # a row repeated many times is one row per task before it moves; what is left goes to the buckets
-    new = incoming.groupBy(row_hash.alias(HASH)).agg(F.collect_set(F.struct(*columns)).alias("_v"))
-    new = new.repartition(held.buckets, HASH).select(HASH, F.inline("_v"))
+    # one shuffle, to the buckets; the hash is made again there, so that it does not travel. Equal rows have one
+    # hash and so lie in one bucket, where they are one row before anything is sorted
+    new = incoming.select(*columns).repartition(held.buckets, row_hash).withColumn(HASH, row_hash).distinct()
     old = held.spark.table(held.name).select(*[c.alias(f"_o{i}") for i, c in enumerate(columns)], F.col(HASH).alias("_oh"))
     # the hash alone is the join key, as it is the bucket key; the values are compared where it is equal
     equal = F.forall(F.array(*[c.eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(columns)]), lambda x: x)

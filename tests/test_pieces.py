@@ -1,8 +1,11 @@
-"""Whole-row and per-order grouping in pieces that AQE does not put together."""
+"""Whole-row and per-order grouping in pieces that AQE does not put together; a load in one shuffle."""
+
+import uuid
 
 from orderdesk.operators import orders as O
 from orderdesk.operators import shipping as SH
 from orderdesk.session import by_whole_row, pieces
+from orderdesk.sources import store
 
 
 def test_rows_to_insert_are_grouped_in_pieces(spark):
@@ -28,3 +31,15 @@ def test_dummy_check_per_order_is_summed_in_pieces(spark):
     # orders without a customer meet none
     assert got == sorted([("a", 1, "P1", 5, 5, 0), ("a", 2, "P1", 2, 1, 1), (None, 1, "P1", 4, None, 1), (None, 1, "P1", None, 4, 1),
                           ("b", 9, "P2", 1, None, 1)], key=str)
+
+
+def test_store_load_is_shuffled_once(spark):
+    one = spark.range(50).selectExpr("cast(id % 9 as string) as po", "cast(id % 9 as int) as n")
+    held = store.open_store(spark, f"store_{uuid.uuid4().hex}", one.schema, buckets=3)
+    assert store.insert_absent(held, one, "l1")
+    out = store.absent(held, one.union(one).union(spark.createDataFrame([(None, 1), (None, 1), ("1", None)], one.schema)))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert sorted(map(str, out.drop(store.HASH).collect())) == ["Row(po='1', n=None)", "Row(po=None, n=1)"]
+    again = store.open_store(spark, held.name, one.schema)  # the buckets are those it was made with
+    assert again.buckets == 3 and store.insert_absent(again, one, "l2") and store.rows(again).count() == 9

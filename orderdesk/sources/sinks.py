@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.documents import drop_null_columns
+from ..operators.windows import SLICE_ROWS
 from ..params import TRIAGE_MIN_ROWS
+from ..session import pieces
 
 
 def write_csv(df: DataFrame, path: str, order: list[str] | None = None, drop_empty: bool = False) -> None:
@@ -19,11 +21,19 @@ def write_csv(df: DataFrame, path: str, order: list[str] | None = None, drop_emp
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def per_vendor_layout(df: DataFrame, vendor: str = "SUPPLR", order: list[str] | None = None) -> DataFrame:
-    """Rows as the per-vendor writer lays them out: clustered by vendor,
-    sorted within each task. The rebalance hint lets AQE split a hot vendor
-    over several tasks (several files in its folder); none is lost."""
-    out = df.hint("rebalance", vendor)
+def per_vendor_layout(df: DataFrame, vendor: str = "SUPPLR", order: list[str] | None = None,
+                      slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Rows as the per-vendor writer lays them out: dealt to many tasks by
+    vendor, sorted within each task. AQE, which goes by bytes, would leave the
+    folders of millions of short rows to one task, so the tasks are named. A
+    vendor of more than ``slice_rows`` rows is cut into slices by a hash of the
+    row (several files in its folder); the list of those is short, as each
+    stands for ``slice_rows`` rows."""
+    hot = df.groupBy(F.col(vendor).alias("_v")).agg(F.floor(F.count(F.lit(1)) / slice_rows).alias("_n")).where("_n > 0")
+    out = df.join(F.broadcast(hot), F.col(vendor).eqNullSafe(F.col("_v")), "left")
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    out = out.repartition(pieces(df.sparkSession), vendor, F.when(F.col("_n").isNotNull(), F.pmod(row, F.col("_n") + 1)))
+    out = out.select(*[F.col(f"`{c}`") for c in df.columns])
     return out.sortWithinPartitions(vendor, *order) if order else out
 
 

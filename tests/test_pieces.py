@@ -5,7 +5,7 @@ import uuid
 from orderdesk.operators import orders as O
 from orderdesk.operators import shipping as SH
 from orderdesk.session import by_whole_row, pieces
-from orderdesk.sources import store
+from orderdesk.sources import sinks, store
 
 
 def test_rows_to_insert_are_grouped_in_pieces(spark):
@@ -43,3 +43,17 @@ def test_store_load_is_shuffled_once(spark):
     assert sorted(map(str, out.drop(store.HASH).collect())) == ["Row(po='1', n=None)", "Row(po=None, n=1)"]
     again = store.open_store(spark, held.name, one.schema)  # the buckets are those it was made with
     assert again.buckets == 3 and store.insert_absent(again, one, "l2") and store.rows(again).count() == 9
+
+
+def test_vendor_folders_are_made_by_many_tasks(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("case when id % 2 = 0 then 'HOT' when id % 100 > 1 then concat('V', id % 100) end as SUPPLR", "id as n")
+    dealt = sinks.per_vendor_layout(rows).select("SUPPLR").rdd.glom().map(set).collect()
+    assert sum(len(s) > 0 for s in dealt) > pieces(spark) / 2
+    assert sum(map(len, dealt)) == 51  # each vendor whole
+    cut = sinks.per_vendor_layout(rows, order=["n"], slice_rows=500).rdd.glom().map(lambda s: [tuple(r) for r in s]).collect()
+    assert sum(any(v == "HOT" for v, _ in s) for s in cut) > 1  # a hot vendor lies in several tasks
+    assert all([n for v, n in s if v == x] == sorted(n for v, n in s if v == x) for s in cut for x in {v for v, _ in s})
+    assert sorted(map(str, (r for s in cut for r in s))) == sorted(str(tuple(r)) for r in rows.collect())
+    sinks.write_per_vendor(rows, str(tmp_path / "out"))
+    back = spark.read.schema("n long, SUPPLR string").option("header", True).csv(str(tmp_path / "out")).select("SUPPLR", "n")
+    assert sorted(str(tuple(r)) for r in back.collect()) == sorted(str(tuple(r)) for r in rows.collect())

@@ -10,14 +10,14 @@ layout with ``doc_id``, ``row_no``, perhaps ``page_no``, and the layout's text c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.rules import ne, truthy
 from .. import params as P
 from .documents import barcodes_ahead, item_of, table_keys
-from .windows import forward_fill, look_ahead
+from .windows import fill_sliced, forward_fill, look_ahead, look_ahead_sliced, sliced, unsliced
 
 LINE = ["Product", "Qty", "Unit Cost", "Ext Cost"]
 KEYS = ("doc_id", "row_no")
@@ -211,29 +211,45 @@ def ma0603(df: DataFrame) -> DataFrame:
     tables, keys = table_keys(df), _keys(df)
     desc, marker, barcode = (P.LAYOUT_MA0603[k] for k in ("description", "retail_marker", "barcode"))
     data = [c for c in df.columns if c not in keys]
-    first_page = F.col("page_no").eqNullSafe(F.lit(1)) if "page_no" in keys else F.lit(True)
-    out = _first_rows(df, tables, data).withColumn("_p1", first_page)
-    out = out.where(~F.col("_p1") | (F.col("row_no") > F.col("_top")))
-    out = choose_column(out, {c: _any(_q(c).contains(marker)) for c in data}, tables, "_pick")
-    names = [F.when(F.col("_p1"), F.col(f"_h{i}")).otherwise(F.lit(c)) for i, c in enumerate(data)]
+    first_page = F.col("_key")["page_no"].eqNullSafe(F.lit(1)) if "page_no" in keys else F.lit(True)
+    rows = sliced(df, tables, "row_no")
+    # what a table decides, from its slices: first row, and per column the last rows with the marker and with a value
+    facts = rows.groupBy("_key", "_sl").agg(
+        F.min("row_no").alias("_top"), F.min_by(F.struct(*[_q(c).alias(f"h{i}") for i, c in enumerate(data)]), "row_no").alias("_head"),
+        *[F.max(F.when(_q(c).contains(marker), F.col("row_no"))).alias(f"_m{i}") for i, c in enumerate(data)],
+        *[F.max(F.when(_q(c).isNotNull(), F.col("row_no"))).alias(f"_v{i}") for i, c in enumerate(data)])
+    table = Window.partitionBy("_key").orderBy("_sl").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = [f"_{x}{i}" for x in "mv" for i in range(len(data))]
+    facts = facts.select("_key", "_sl", F.first("_top").over(table).alias("_top"), F.first("_head").over(table).alias("_head"),
+                         *[F.max(x).over(table).alias(x) for x in last])
+    names = [F.when(first_page, F.col("_head")[f"h{i}"]).otherwise(F.lit(c)) for i, c in enumerate(data)]
+    below = {x: F.col(x).isNotNull() & (~first_page | (F.col(x) > F.col("_top"))) for x in last}
+    renamed = {new: old for old, new in P.LAYOUT_NV0356.items()}
+    item_names = ["Product", *([renamed["Product"]] if "Product" in renamed else []), P.LAYOUT_NV0356_PRODUCT_ALT]
+    has_item = F.lit(False)
+    for i, n in enumerate(names):
+        has_item = has_item | (truthy(n.isin(*item_names)) & below[f"_v{i}"])
+    pick = F.coalesce(F.lit(None).cast("string"), *[F.when(below[f"_m{i}"], F.lit(c)) for i, c in enumerate(data)])
+    facts = facts.select("_key", "_sl", F.array(*names).alias("_names"), pick.alias("_pick"), has_item.alias("_lines"),
+                         F.when(first_page, F.col("_top")).alias("_top"))
+    out = rows.join(facts, ["_key", "_sl"]).where(F.col("_top").isNull() | (F.col("row_no") > F.col("_top")))
+    names = [F.col("_names")[i] for i in range(len(data))]
 
     def by_name(*wanted):
         return F.coalesce(*[_named(data, names, lambda n, w=w: n == w) for w in wanted])
 
-    renamed = {new: old for old, new in P.LAYOUT_NV0356.items()}
     cols = {c: by_name(c, *([renamed[c]] if c in renamed else [])) for c in P.LAYOUT_NV0356_COLUMNS if c != "UPC"}
     cols["Product"] = F.coalesce(cols["Product"], by_name(P.LAYOUT_NV0356_PRODUCT_ALT))
     cols["UPC"] = by_name("UPC", barcode)
     cols[desc] = _named(data, names, lambda n: n.contains(desc))
-    out = out.select(*keys, *[v.alias(c) for c, v in cols.items()], picked(data).alias("_retail"))
-    out = look_ahead(out, tables, "row_no", "_retail", 2, prefix="_R")
+    out = out.select("_key", "_sl", "row_no", *[v.alias(c) for c, v in cols.items()], picked(data).alias("_retail"), "_lines")
+    out = look_ahead_sliced(out, "row_no", "_retail", 2, prefix="_R")
     out = out.withColumn("_code", F.col("UPC")).withColumnRenamed("_R2", "Retail")
-    has_item = out.groupBy(*tables).agg(_any(F.col("Product").isNotNull()).alias("_lines"))
-    out = _per_table(forward_fill(out, tables, "row_no", list(P.LAYOUT_NV0356_COLUMNS)), has_item, tables)
+    out = fill_sliced(out, "row_no", list(P.LAYOUT_NV0356_COLUMNS))
     line = F.col("Product").isNotNull() & truthy(F.col("Product").rlike(P.STYLE_PATTERN))
     out = out.where(F.when(F.col("_lines"), line).otherwise(F.col("_code").isNotNull()))
-    return out.withColumns({c: S.number_in_text(_q(c)) for c in LINE[1:]}).select(
-        *keys, *LINE, "Unit retail", "UPC", desc, "Retail")
+    return unsliced(out.withColumns({c: S.number_in_text(_q(c)) for c in LINE[1:]}),
+                    [*keys, *LINE, "Unit retail", "UPC", desc, "Retail"])
 
 
 #: Layout code -> function from extracted rows to order lines.

@@ -76,11 +76,21 @@ def _same_slice(keys: list[str]) -> Column:
     return same
 
 
-def _in_slices(df: DataFrame, keys: list[str], order: str, slice_rows: int, **more: Column) -> DataFrame:
-    """The rows shuffled by (group, slice of ``slice_rows`` order values). Both
-    the rows and the per-slice table of a helper start from this one shuffle:
-    the table carries every column, so that Spark finds the two equal."""
-    return df.withColumns({"_sl": F.floor(F.col(order) / F.lit(slice_rows)), **more}).repartition(*keys, "_sl")
+def sliced(df: DataFrame, part: list[str], order: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """The rows shuffled by (group, slice of ``slice_rows`` order values): the
+    group's columns packed in ``_key`` (a struct, so null equals null), the slice
+    in ``_sl``. Helpers on sliced rows (``fill_sliced``, ``look_ahead_sliced``)
+    leave them where they are: per-slice tables come to the rows. Those tables
+    start from the same shuffle and carry every column, so that Spark finds the
+    two equal."""
+    rows = df.select(F.struct(*part).alias("_key"), F.floor(F.col(order) / F.lit(slice_rows)).alias("_sl"),
+                     *[F.col(f"`{c}`") for c in df.columns if c not in part])
+    return rows.repartition("_key", "_sl")
+
+
+def unsliced(data: DataFrame, columns: list[str]) -> DataFrame:
+    """Sliced rows with the group's columns back in their places among ``columns``."""
+    return data.select(*[F.col(f"`{c}`") if c in data.columns else F.col("_key")[c].alias(c) for c in columns])
 
 
 def forward_fill(df: DataFrame, part: str | list[str], order: str, cols: list[str],
@@ -93,24 +103,26 @@ def forward_fill(df: DataFrame, part: str | list[str], order: str, cols: list[st
     into the next slices. The input is read and shuffled once.
     """
     keys = [part] if isinstance(part, str) else list(part)
-    data = _in_slices(df, keys, order, slice_rows)
-    inside = Window.partitionBy(*keys, "_sl").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return unsliced(fill_sliced(sliced(df, keys, order, slice_rows), order, cols), df.columns)
+
+
+def fill_sliced(data: DataFrame, order: str, cols: list[str]) -> DataFrame:
+    """``forward_fill`` of rows that ``sliced`` made."""
+    inside = Window.partitionBy("_key", "_sl").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = data.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(inside) for c in cols})
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    tails = data.groupBy(*keys, "_sl").agg(*[
+    row = F.struct(*[F.col(f"`{c}`") for c in data.columns])
+    tails = data.groupBy("_key", "_sl").agg(*[
         F.max_by(row, F.when(F.col(f"`{c}`").isNotNull(), F.col(order)))[c].alias(f"_t_{c}") for c in cols])
-    prev = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_sl").alias("_s"),
-                         *[F.last(f"_t_{c}", ignorenulls=True).over(prev).alias(f"_c_{c}") for c in cols])
+    prev = Window.partitionBy("_key").orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.select("_key", "_sl", *[F.last(f"_t_{c}", ignorenulls=True).over(prev).alias(f"_c_{c}") for c in cols])
     # only slices that actually receive a value are joined back: one-slice
     # groups (the usual case) drop out, and the join side stays small
     has_carry = F.lit(False)
     for c in cols:
         has_carry = has_carry | F.col(f"_c_{c}").isNotNull()
-    out = filled.join(carry.where(has_carry), _same_slice(keys), "left").drop(
-        "_s", *[f"_k{i}" for i in range(len(keys))])
-    return out.withColumns({c: F.coalesce(F.col(f"_f_{c}"), F.col(f"_c_{c}")) for c in cols}).drop(
-        "_sl", *[f"_f_{c}" for c in cols], *[f"_c_{c}" for c in cols])
+    out = filled.join(carry.where(has_carry), ["_key", "_sl"], "left")
+    return out.withColumns({c: F.coalesce(F.col(f"_f_{c}"), F.col(f"_c_{c}")) for c in cols}).select(
+        *[F.col(f"`{c}`") for c in data.columns])
 
 
 def look_ahead(df: DataFrame, part: str | list[str], row_no: str, value: Column | str, steps: int,
@@ -125,22 +137,27 @@ def look_ahead(df: DataFrame, part: str | list[str], row_no: str, value: Column
     input is read and shuffled once.
     """
     keys = [part] if isinstance(part, str) else list(part)
-    v = F.col(value) if isinstance(value, str) else value
-    data = _in_slices(df, keys, row_no, slice_rows, _v=F.struct(v.alias("v")))
-    order = Window.partitionBy(*keys, "_sl").orderBy(row_no)
+    data = df.withColumn("_v", F.struct((F.col(value) if isinstance(value, str) else value).alias("v")))
+    data = look_ahead_sliced(sliced(data, keys, row_no, slice_rows), row_no, F.col("_v")["v"], steps, prefix)
+    return unsliced(data, [*df.columns, *[f"{prefix}{k}" for k in range(1, steps + 1)]])
+
+
+def look_ahead_sliced(data: DataFrame, row_no: str, value: Column | str, steps: int, prefix: str = "NEXT") -> DataFrame:
+    """``look_ahead`` of rows that ``sliced`` made."""
+    columns = [F.col(f"`{c}`") for c in data.columns]
+    row = F.struct(*columns, F.struct((F.col(value) if isinstance(value, str) else value).alias("v")).alias("_w"))
+    order = Window.partitionBy("_key", "_sl").orderBy(row_no)
     # a lead that is null lies beyond the slice (a null value is a struct that holds null)
     leads = [f"_l{k}" for k in range(1, steps + 1)]
-    inside = data.withColumns({name: F.lead("_v", k).over(order) for k, name in enumerate(leads, 1)})
-    row = F.struct("_v", *[F.col(f"`{c}`") for c in df.columns])
-    heads = data.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= steps).groupBy(*keys, "_sl").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_rn", row.alias("r")))), lambda x: x["r"]["_v"]).alias("_h"))
-    after = Window.partitionBy(*keys).orderBy("_sl").rowsBetween(1, steps)
-    carry = heads.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.col("_sl").alias("_s"),
-                         F.slice(F.flatten(F.collect_list("_h").over(after)), 1, steps).alias("_c"))
+    inside = data.withColumns({name: F.lead(row["_w"], k).over(order) for k, name in enumerate(leads, 1)})
+    heads = data.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= steps).groupBy("_key", "_sl").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_rn", row.alias("r")))), lambda x: x["r"]["_w"]).alias("_h"))
+    after = Window.partitionBy("_key").orderBy("_sl").rowsBetween(1, steps)
+    carry = heads.select("_key", "_sl", F.slice(F.flatten(F.collect_list("_h").over(after)), 1, steps).alias("_c"))
     # one-slice groups (the usual case) take nothing over
-    out = inside.join(carry.where(F.size("_c") > 0), _same_slice(keys), "left")
+    out = inside.join(carry.where(F.size("_c") > 0), ["_key", "_sl"], "left")
     left = sum((F.col(name).isNotNull().cast("int") for name in leads), F.lit(0))  # rows left in the slice, k at most
-    return out.withColumn("_left", left).select(*[F.col(f"`{c}`") for c in df.columns], *[
+    return out.withColumn("_left", left).select(*columns, *[
         F.when(F.col(name).isNotNull(), F.col(name)["v"])
         .otherwise(F.get("_c", F.lit(k - 1) - F.col("_left"))["v"]).alias(f"{prefix}{k}")
         for k, name in enumerate(leads, 1)])

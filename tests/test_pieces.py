@@ -4,6 +4,9 @@ import uuid
 
 from orderdesk.operators import orders as O
 from orderdesk.operators import shipping as SH
+from orderdesk.operators import templates as T
+from orderdesk.operators.windows import SLICE_ROWS
+from orderdesk.plans.checks_documents import MA_COLUMNS
 from orderdesk.session import by_whole_row, pieces
 from orderdesk.sources import sinks, store
 
@@ -57,3 +60,29 @@ def test_vendor_folders_are_made_by_many_tasks(spark, tmp_path):
     sinks.write_per_vendor(rows, str(tmp_path / "out"))
     back = spark.read.schema("n long, SUPPLR string").option("header", True).csv(str(tmp_path / "out")).select("SUPPLR", "n")
     assert sorted(str(tuple(r)) for r in back.collect()) == sorted(str(tuple(r)) for r in rows.collect())
+
+
+def test_ma0603_decides_per_table_across_slices(spark):
+    schema = "doc_id long, page_no int, row_no int, " + ", ".join(f"`{c}` string" for c in MA_COLUMNS)
+
+    def rows(shift):
+        first = ("Product", "Unit Cost", "Qty", "Ext Cost", "UPC-A/EAN", "DESCRIPTION")
+        out = [(d, p, 1 + shift, *first) for d in (1, None) for p in (1,)]
+        for d in (1, 2, None):
+            for p in (1, 2, None):
+                for i in range(2, 9):
+                    style = "AB12" if i == 3 and d != 2 else "CD34" if i == 6 and d != 2 else None
+                    out.append((d, p, i + shift, style, f"EA {i}", f"${i}.50", f"${i}9.00" if i % 2 else None,
+                                f"41{i}" if i % 3 else None, "UNIT RETAIL" if i == 5 and p != 1 else f"R{i}"))
+        return spark.createDataFrame(out, schema)
+
+    def got(shift):
+        out = T.ma0603(rows(shift))
+        return out, sorted(str(tuple(r)) for r in out.withColumn("row_no", out.row_no - shift).collect())
+
+    out, near = got(0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") < 10  # 19 when each step put its facts beside the rows anew
+    assert len(near) > 20
+    assert near == got(SLICE_ROWS - 5)[1]  # rows 5 and on lie in the next slice
+    assert near == got(SLICE_ROWS - 2)[1]

@@ -229,20 +229,24 @@ def ma0603(df: DataFrame) -> DataFrame:
     has_item = F.lit(False)
     for i, n in enumerate(names):
         has_item = has_item | (truthy(n.isin(*item_names)) & below[f"_v{i}"])
-    pick = F.coalesce(F.lit(None).cast("string"), *[F.when(below[f"_m{i}"], F.lit(c)) for i, c in enumerate(data)])
-    facts = facts.select("_key", "_sl", F.array(*names).alias("_names"), pick.alias("_pick"), has_item.alias("_lines"),
+    wanted = {c: [c, *([renamed[c]] if c in renamed else [])] for c in P.LAYOUT_NV0356_COLUMNS if c != "UPC"}
+    wanted["Product"] = item_names
+    wanted["UPC"] = ["UPC", barcode]
+
+    # per table, where each column stands (in the order in which a filled cell counts), so that a row only looks it up
+    def places(tests):
+        return F.filter(F.array(*[F.when(truthy(t), F.lit(i)) for i, t in enumerate(tests)]), lambda i: i.isNotNull())
+
+    at = {c: F.concat(*[places([n == w for n in names]) for w in ws]) for c, ws in wanted.items()}
+    at |= {desc: places([n.contains(desc) for n in names]),
+           "_retail": F.slice(places([below[f"_m{i}"] for i in range(len(data))]), 1, 1)}
+    facts = facts.select("_key", "_sl", F.struct(*[v.alias(c) for c, v in at.items()]).alias("_at"), has_item.alias("_lines"),
                          F.when(first_page, F.col("_top")).alias("_top"))
     out = rows.join(facts, ["_key", "_sl"]).where(F.col("_top").isNull() | (F.col("row_no") > F.col("_top")))
-    names = [F.col("_names")[i] for i in range(len(data))]
-
-    def by_name(*wanted):
-        return F.coalesce(*[_named(data, names, lambda n, w=w: n == w) for w in wanted])
-
-    cols = {c: by_name(c, *([renamed[c]] if c in renamed else [])) for c in P.LAYOUT_NV0356_COLUMNS if c != "UPC"}
-    cols["Product"] = F.coalesce(cols["Product"], by_name(P.LAYOUT_NV0356_PRODUCT_ALT))
-    cols["UPC"] = by_name("UPC", barcode)
-    cols[desc] = _named(data, names, lambda n: n.contains(desc))
-    out = out.select("_key", "_sl", "row_no", *[v.alias(c) for c, v in cols.items()], picked(data).alias("_retail"), "_lines")
+    out = out.withColumn("_cells", F.array(*[_q(c).cast("string") for c in data]))
+    value = {c: F.get(F.filter(F.transform(F.col("_at")[c], lambda i: F.get("_cells", i)), lambda x: x.isNotNull()), F.lit(0))
+             for c in at}
+    out = out.select("_key", "_sl", "row_no", *[v.alias(c) for c, v in value.items()], "_lines")
     out = look_ahead_sliced(out, "row_no", "_retail", 2, prefix="_R")
     out = out.withColumn("_code", F.col("UPC")).withColumnRenamed("_R2", "Retail")
     out = fill_sliced(out, "row_no", list(P.LAYOUT_NV0356_COLUMNS))
